@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The surveyed platform has no stream reader, writer, event-time watermark,
+window or state: every job is a bounded batch. Its "watermark" is a
+high-water mark in a batch extract, implemented in
+:mod:`tidewater.sources.jdbc` (``watermark_filter`` / ``watermark_subquery``).
+"""
