@@ -9,6 +9,7 @@ else is a JVM built-in so it stays inside whole-stage codegen.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -40,6 +41,14 @@ def _fold(s: pd.Series) -> pd.Series:
     return s.map(_fold_one)
 
 
+# Ship this module's UDF code by value, so executors need no copy of the package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError):  # pragma: no cover
+    pass
+
+
 def normalize_key(c: Column | str) -> Column:
     """null -> "", NFKC, lower, strip all whitespace (Unicode \\s)."""
     return _fold(F.col(c) if isinstance(c, str) else c)
@@ -74,7 +83,7 @@ def tokenize(c: Column | str, pattern: str = TOKEN_PATTERN) -> Column:
 
 def token_set(c: Column | str, pattern: str = TOKEN_PATTERN) -> Column:
     """Distinct tokens in a canonical (sorted) order."""
-    return F.array_sort(F.array_distinct(tokenize(c, pattern)))
+    return F.sort_array(F.array_distinct(tokenize(c, pattern)))
 
 
 def digest(c: Column | str) -> Column:

@@ -81,28 +81,48 @@ def load_counts(sides: dict[str, DataFrame]) -> DataFrame:
 
 def _sets(df: DataFrame, id_col: str, text_col: str | None, tokens_col: str | None,
           pattern: str) -> DataFrame:
-    toks = F.array_sort(F.array_distinct(F.col(tokens_col))) if tokens_col \
+    """Distinct token sets of one side: (rep, cnt, toks, n).
+
+    Identical sets collapse into one row, keyed by the smallest member id
+    (``rep``, unique within the side). The grouping key is a SHA-256 of the
+    sorted set; partial aggregation runs before the shuffle, so a hot group
+    of copies is already one row per map task.
+    """
+    toks = F.sort_array(F.array_distinct(F.col(tokens_col))) if tokens_col \
         else token_set(text_col, pattern)
     d = df.select(F.col(id_col).alias("_id"), toks.alias("toks"))
     d = d.filter(F.size("toks") > 0)
-    # collapse identical sets: partial aggregation runs before the shuffle,
-    # so a hot group of copies is already one row per map task
-    return (d.groupBy(F.sha2(F.array_join("toks", "\u0001"), 256).alias("set_key"))
+    return (d.groupBy(F.sha2(F.array_join("toks", "\u0001"), 256).alias("_set"))
             .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"),
                  F.first("toks").alias("toks"))
-            .withColumn("n", F.size("toks")))
+            .select("rep", "cnt", "toks", F.size("toks").alias("n")))
 
 
 def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                  max_distance: float, text_col: str | None = "text",
                  tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
-                 out_left: str = "v2_id", out_right: str = "lg_id") -> DataFrame:
+                 out_left: str = "v2_id", out_right: str = "lg_id",
+                 cut_lineage: bool = True) -> DataFrame:
     """Exact Jaccard similarity join, ``distance < max_distance``.
 
     Columns: ``out_left``, ``out_right`` (representative ids of distinct token
     sets), ``n_left``, ``n_right`` (rows sharing that set), ``inter``,
     ``uni``, ``jaccard_dist``. Distances are computed in double as
     ``1 - inter / union``.
+
+    Filters, all exact (no true pair is lost):
+
+    * prefix: only the ``|A| - ceil(s|A|) + 1`` rarest tokens of a set are
+      joined (``s = 1 - max_distance``);
+    * length: ``s|A| <= |B| <= |A|/s``;
+    * position: if the last shared prefix token sits at positions ``i`` and
+      ``j`` after ``c`` shared prefix tokens, every other shared token comes
+      later in both sets, so ``overlap <= c + min(|A| - i, |B| - j)``; pairs
+      whose bound cannot exceed ``s (|A| + |B|) / (1 + s)`` are dropped
+      before any token array is touched.
+
+    The distinct token sets are checkpointed to the shared checkpoint folder
+    (``cut_lineage``) because three later stages read them.
     """
     if not 0.0 < max_distance <= 1.0:
         raise ValueError("max_distance must be in (0, 1]")
@@ -110,27 +130,38 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     a = _sets(left, left_id, text_col, tokens_col, pattern).withColumn("side", F.lit(0))
     b = _sets(right, right_id, text_col, tokens_col, pattern).withColumn("side", F.lit(1))
     both = a.unionByName(b)
+    if cut_lineage:
+        from ..session import checkpoint_root
+        checkpoint_root(both.sparkSession)
+        both = both.checkpoint(eager=True)
 
-    exploded = both.select("side", "set_key", "n", F.explode("toks").alias("tok"))
+    exploded = both.select("side", "rep", "n", F.explode("toks").alias("tok"))
     dfreq = exploded.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     # prefix length |A| - ceil(s|A|) + 1 (the epsilon only ever lengthens it)
     plen = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * F.lit(s) - F.lit(1e-9)) + 1)
-    w = Window.partitionBy("side", "set_key").orderBy("df", "tok")
+    w = Window.partitionBy("side", "rep").orderBy("df", "tok")
     prefix = (exploded.join(dfreq, "tok")
               .withColumn("pos", F.row_number().over(w))
               .filter(F.col("pos") <= plen)
-              .select("side", "set_key", "n", "tok"))
+              .select("side", "rep", "n", "tok", "pos"))
 
-    pa = prefix.filter("side = 0").select(F.col("set_key").alias("ka"), F.col("n").alias("na"), "tok")
-    pb = prefix.filter("side = 1").select(F.col("set_key").alias("kb"), F.col("n").alias("nb"), "tok")
+    pa = prefix.filter("side = 0").select(F.col("rep").alias("ka"), F.col("n").alias("na"),
+                                          "tok", F.col("pos").alias("ia"))
+    pb = prefix.filter("side = 1").select(F.col("rep").alias("kb"), F.col("n").alias("nb"),
+                                          "tok", F.col("pos").alias("ib"))
+    need = F.lit(s) * (F.col("na") + F.col("nb")) / F.lit(1.0 + s) - F.lit(1e-9)
     cand = (pa.join(pb, "tok")
             .filter((F.col("nb") >= F.col("na") * F.lit(s)) & (F.col("na") >= F.col("nb") * F.lit(s)))
-            .select("ka", "kb").distinct())
-
-    sa = a.select(F.col("set_key").alias("ka"), F.col("rep").alias(out_left),
-                  F.col("cnt").alias("n_left"), F.col("toks").alias("ta"))
-    sb = b.select(F.col("set_key").alias("kb"), F.col("rep").alias(out_right),
-                  F.col("cnt").alias("n_right"), F.col("toks").alias("tb"))
+            .groupBy("ka", "kb")
+            .agg(F.count(F.lit(1)).alias("c"), F.max("ia").alias("i"), F.max("ib").alias("j"),
+                 F.first("na").alias("na"), F.first("nb").alias("nb"))
+            .filter(F.col("c") + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) > need)
+            .select("ka", "kb"))
+
+    sa = both.filter("side = 0").select(F.col("rep").alias("ka"), F.col("cnt").alias("n_left"),
+                                        F.col("toks").alias("ta"))
+    sb = both.filter("side = 1").select(F.col("rep").alias("kb"), F.col("cnt").alias("n_right"),
+                                        F.col("toks").alias("tb"))
     inter = F.size(F.array_intersect("ta", "tb"))
     out = (cand.join(sa, "ka").join(sb, "kb")
            .withColumn("inter", inter.cast("long"))
@@ -138,7 +169,8 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
            .withColumn("jaccard_dist",
                        F.lit(1.0) - F.col("inter").cast("double") / F.col("uni").cast("double"))
            .filter(F.col("jaccard_dist") < F.lit(max_distance)))
-    return out.select(out_left, out_right, "n_left", "n_right", "inter", "uni", "jaccard_dist")
+    return out.select(F.col("ka").alias(out_left), F.col("kb").alias(out_right),
+                      "n_left", "n_right", "inter", "uni", "jaccard_dist")
 
 
 # ---------------------------------------------------------------- MinHash LSH
@@ -147,8 +179,8 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
                         threshold: float = SIMILARITY_THRESHOLD,
                         num_features: int = TF_NUM_FEATURES,
                         num_bands: int = LSH_NUM_HASH_TABLES, rows_per_band: int = 1,
-                        seed: int = 1, text_col: str = "text",
-                        pattern: str = TOKEN_PATTERN,
+                        seed: int = 1, text_col: str | None = "text",
+                        tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
                         out_left: str = "v2_id", out_right: str = "lg_id") -> DataFrame:
     """J3 + F5 + F6: MinHash-LSH similarity join, distance ``< threshold``.
 
@@ -164,7 +196,8 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
     from pyspark.ml.functions import vector_to_array
 
     def prep(df, idc, side):
-        return (df.select(F.col(idc).alias("_id"), token_set(text_col, pattern).alias("toks"))
+        toks = F.array_distinct(F.col(tokens_col)) if tokens_col else token_set(text_col, pattern)
+        return (df.select(F.col(idc).alias("_id"), toks.alias("toks"))
                 .filter(F.size("toks") > 0).withColumn("side", F.lit(side)))
 
     both = prep(left, left_id, 0).unionByName(prep(right, right_id, 1))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.text import normalize_key, text_features, tokenize
 from ..operators import dims, match, scan, usage
-from ..session import scratch_path
+from ..session import scratch_path, spread_for_cpu
 from ..sources import files, jdbc, sinks
 from . import standins as S
 
@@ -188,7 +188,7 @@ def q_compact_partitions(spark, d):
 
 @query("normalize_key")
 def q_normalize_key(spark, d):
-    docs = S.table(spark, d, "documents")
+    docs = S.documents(spark, d, ["doc_id", "text"])
     return docs.select("doc_id", F.md5(normalize_key("text")).alias("key_md5"))
 
 
@@ -211,7 +211,7 @@ def q_text_features(spark, d):
 
 @query("tokenize")
 def q_tokenize(spark, d):
-    docs = S.table(spark, d, "documents")
+    docs = S.documents(spark, d, ["doc_id", "text"])
     t = tokenize(F.coalesce(F.col("text"), F.lit("")))
     return docs.select("doc_id", t.alias("t")).select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"),
@@ -245,15 +245,34 @@ def q_load_counts(spark, d):
     return match.load_counts({"current": cur, "legacy": leg})
 
 
+def _doc_features(spark, d):
+    """One pass over documents: side, key digest, empty flag, token set.
+
+    The NFKC UDF and the tokenizer run once per document; the result is
+    checkpointed to the shared folder so the anti-joins and the similarity
+    join read it instead of re-running them.
+    """
+    from ..functions.text import det_key, digest, token_set
+    from ..session import checkpoint_root
+    docs = S.documents(spark, d, ["doc_id", "text", "source"])
+    f = det_key(docs, ["text"]).select(
+        "doc_id", S.is_current(F.col("source")).alias("cur"),
+        digest("det_key").alias("kd"), "det_key_empty", token_set("text").alias("toks"))
+    checkpoint_root(spark)
+    return f.filter(F.col("cur").isNotNull()).checkpoint(eager=True)
+
+
 def _remainders(spark, d):
-    cur, leg = S.doc_sides(spark, d)
-    return (match.unmatched(cur, leg, empty_col="det_key_empty"),
-            match.unmatched(leg, cur, empty_col="det_key_empty"))
+    f = _doc_features(spark, d)
+    cur, leg = f.filter("cur"), f.filter("NOT cur")
+    return (match.unmatched(cur, leg, key="kd", empty_col="det_key_empty"),
+            match.unmatched(leg, cur, key="kd", empty_col="det_key_empty"))
 
 
 def _jaccard(spark, d):
     a, b = _remainders(spark, d)
-    return match.jaccard_join(a, b, "doc_id", "doc_id", JACCARD_MAX_DISTANCE)
+    return match.jaccard_join(a, b, "doc_id", "doc_id", JACCARD_MAX_DISTANCE,
+                              text_col=None, tokens_col="toks")
 
 
 @query("jaccard_join")
@@ -266,7 +285,8 @@ def q_lsh_similarity_join(spark, d):
     a, b = _remainders(spark, d)
     return match.lsh_similarity_join(a, b, "doc_id", "doc_id", threshold=JACCARD_MAX_DISTANCE,
                                      num_features=LSH_FEATURES, num_bands=LSH_BANDS,
-                                     rows_per_band=LSH_ROWS, seed=LSH_SEED)
+                                     rows_per_band=LSH_ROWS, seed=LSH_SEED,
+                                     text_col=None, tokens_col="toks")
 
 
 @query("fee_diff")
@@ -379,6 +399,7 @@ def q_flow_log_scan(spark, d):
 
 def _doc_cells(spark, d):
     docs = scan.in_scope(S.table(spark, d, "documents"), ["documents"])
+    docs = spread_for_cpu(docs, "doc_id")
     return scan.scan_cells(docs, "doc_id", ["text", "lang", "source"], object_name="documents")
 
 

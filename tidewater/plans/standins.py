@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import det_key
-from ..session import ensure_utc, scratch_path
+from ..session import ensure_utc, list_partition_dirs, rename_path, scratch_path, spread_for_cpu
 from ..sources.files import AUDIT_REGIONS, AUDIT_TEMPLATE
-from ..session import list_partition_dirs, rename_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- documents as two masters
 
+def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """Documents for regex/NFKC-heavy work, spread over every task slot."""
+    d = table(spark, sf_dir, "documents")
+    if cols:
+        d = d.select(*cols)
+    return spread_for_cpu(d, "doc_id")
+
+
 def is_current(source: Column) -> Column:
     """Documents are split in two by source: even source number = current."""
     return (F.substring(source, 4, 16).cast("int") % 2) == 0
@@ -31,7 +38,7 @@ def is_current(source: Column) -> Column:
 
 def doc_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(current, legacy) documents with ``det_key`` over the text."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    d = documents(spark, sf_dir, ["doc_id", "text", "source", "n_chars"])
     d = det_key(d, ["text"])
     cur = d.filter(is_current(F.col("source")))
     leg = d.filter(~is_current(F.col("source")))

@@ -42,6 +42,7 @@ def build_session(master: str = "local[8]", app: str = "tidewater",
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -50,6 +51,20 @@ def build_session(master: str = "local[8]", app: str = "tidewater",
     return spark
 
 
+def spread_for_cpu(df, key: str):
+    """Hash-spread CPU-heavy per-row work over all task slots.
+
+    Only when the input has fewer partitions than the cluster has task
+    slots (a small file with few row groups); on a large input this is a
+    no-op, so no shuffle is added at scale. Hash partitioning on ``key``
+    keeps the split deterministic for task retries.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
