@@ -33,26 +33,44 @@ def hash_sample(df: DataFrame, key: str, percentage: int = SAMPLING_PERCENTAGE)
     return df.filter(hash_bucket(key) < F.lit(percentage))
 
 
-def in_scope(df: DataFrame, prefixes: list[str], path_col: str | None = None) -> DataFrame:
-    """Keep rows whose object key (file name by default) starts with a prefix."""
-    p = F.col(path_col) if path_col else F.col("_metadata.file_name")
+def in_scope(df: DataFrame, prefixes: list[str], root: str | None = None,
+             path_col: str | None = None) -> DataFrame:
+    """Keep rows whose object key starts with one of ``prefixes``.
+
+    The object key is ``path_col`` if given, else the file path below
+    ``root`` (``_metadata.file_path``), else the file name.
+    """
+    if path_col:
+        key = F.col(path_col)
+    elif root:
+        base = root.rstrip("/") + "/"
+        p = F.col("_metadata.file_path")
+        key = F.regexp_extract(p, "^(?:file:)?" + _re_escape(base) + "(.*)$", 1)
+    else:
+        key = F.col("_metadata.file_name")
     cond = F.lit(False)
     for x in prefixes:
-        cond = cond | p.startswith(x)
+        cond = cond | key.startswith(x)
     return df.filter(cond)
 
 
+def _re_escape(s: str) -> str:
+    import re
+    return re.escape(s)
+
+
 def scan_cells(df: DataFrame, row_key: str, columns: list[str] | None = None,
                detectors: tuple[Detector, ...] = DEFAULT_DETECTORS,
-               object_name: str | Column = "object") -> DataFrame:
+               object_name: str | Column = "object",
+               positions: dict[str, int] | None = None) -> DataFrame:
     """F14 + detectors: one row per (cell, detector) with at least one hit.
 
     Columns: object, row (the key as text), column (1-based position in
-    ``df``), columnName, detector, hits.
+    ``df``, or as given by ``positions``), columnName, detector, hits.
     """
     all_cols = df.columns
     cols = columns or [c for c in all_cols if c != row_key]
-    pos = {c: all_cols.index(c) + 1 for c in cols}
+    pos = {c: (positions or {}).get(c, all_cols.index(c) + 1) for c in cols}
     obj = F.lit(object_name) if isinstance(object_name, str) else object_name
     base = df.select(F.col(row_key).cast("string").alias("row"), obj.alias("object"),
                      *[F.col(c).cast("string").alias(c) for c in cols])
