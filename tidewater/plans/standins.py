@@ -199,7 +199,8 @@ def write_audit_log(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "audit")
     staging = root + "__kv"
     df = audit_rows(spark, sf_dir)
-    (df.write.mode("overwrite").option("compression", "gzip")
+    (df.hint("rebalance", "region", "year", "month", "day")
+     .write.mode("overwrite").option("compression", "gzip")
      .partitionBy("region", "year", "month", "day").json(staging))
     for kv in list_partition_dirs(spark, staging, ["region", "year", "month", "day"]):
         vals = [seg.split("=", 1)[1] for seg in kv.split("/")]
@@ -231,6 +232,6 @@ def flow_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_flow_logs(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "flowlogs")
-    (flow_rows(spark, sf_dir).write.mode("overwrite")
-     .partitionBy("year", "month", "day", "hour").parquet(root))
+    (flow_rows(spark, sf_dir).hint("rebalance", "year", "month", "day", "hour")
+     .write.mode("overwrite").partitionBy("year", "month", "day", "hour").parquet(root))
     return root
