@@ -62,7 +62,8 @@ def unmatched(side: DataFrame, other: DataFrame, key: str = "det_key",
     o = other
     if empty_col and empty_col in other.columns:
         o = o.filter(~F.col(empty_col))
-    keys = o.select(digest(key).alias("_k"))
+    # distinct keys: a key held by many rows of ``other`` collapses map-side
+    keys = o.select(digest(key).alias("_k")).distinct()
     return (side.withColumn("_k", digest(key))
             .join(keys, "_k", "left_anti").drop("_k"))
 
@@ -84,17 +85,16 @@ def _sets(df: DataFrame, id_col: str, text_col: str | None, tokens_col: str | No
     """Distinct token sets of one side: (rep, cnt, toks, n).
 
     Identical sets collapse into one row, keyed by the smallest member id
-    (``rep``, unique within the side). The grouping key is a SHA-256 of the
-    sorted set; partial aggregation runs before the shuffle, so a hot group
-    of copies is already one row per map task.
+    (``rep``, unique within the side). The grouping key is the sorted set
+    itself (exact, and a hash aggregate); partial aggregation runs before
+    the shuffle, so a hot group of copies is already one row per map task.
     """
     toks = F.sort_array(F.array_distinct(F.col(tokens_col))) if tokens_col \
         else token_set(text_col, pattern)
     d = df.select(F.col(id_col).alias("_id"), toks.alias("toks"))
     d = d.filter(F.size("toks") > 0)
-    return (d.groupBy(F.sha2(F.array_join("toks", "\u0001"), 256).alias("_set"))
-            .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"),
-                 F.first("toks").alias("toks"))
+    return (d.groupBy("toks")
+            .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"))
             .select("rep", "cnt", "toks", F.size("toks").alias("n")))
 
 
@@ -121,8 +121,9 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
       whose bound cannot exceed ``s (|A| + |B|) / (1 + s)`` are dropped
       before any token array is touched.
 
-    The distinct token sets are checkpointed to the shared checkpoint folder
-    (``cut_lineage``) because three later stages read them.
+    The distinct token sets and the ranked prefixes are checkpointed to the
+    shared checkpoint folder (``cut_lineage``) because several later stages
+    read each of them.
     """
     if not 0.0 < max_distance <= 1.0:
         raise ValueError("max_distance must be in (0, 1]")
@@ -144,6 +145,10 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
               .withColumn("pos", F.row_number().over(w))
               .filter(F.col("pos") <= plen)
               .select("side", "rep", "n", "tok", "pos"))
+    if cut_lineage:
+        # both probe sides read it; without this the side filters are pushed
+        # below the window and the ranking runs once per side
+        prefix = prefix.checkpoint(eager=True)
 
     pa = prefix.filter("side = 0").select(F.col("rep").alias("ka"), F.col("n").alias("na"),
                                           "tok", F.col("pos").alias("ia"))
