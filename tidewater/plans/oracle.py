@@ -215,7 +215,8 @@ SELECT fund_id, fund_category, CAST(trust_fee_rate AS DECIMAL(5,2)) AS trust_fee
                                FROM orders""",
     "full_overwrite": f"SELECT *, {MONTHS} AS o_month, 2 AS load_id FROM orders WHERE {RELOAD}",
     "replace_table": f"""SELECT {MONTHS} AS o_month, count(*) AS n_orders,
-                                sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1""",
+                                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+                         FROM orders GROUP BY 1""",
     "union_snapshots": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, DATE '2025-06-30' AS ingest_date
                            FROM orders
                            UNION ALL
