@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TOKEN_PATTERN, digest, token_set
+from ..session import materialize
 
 # The reference's matching defaults.
 TF_NUM_FEATURES = 512
@@ -121,9 +122,9 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
       whose bound cannot exceed ``s (|A| + |B|) / (1 + s)`` are dropped
       before any token array is touched.
 
-    The distinct token sets and the ranked prefixes are checkpointed to the
-    shared checkpoint folder (``cut_lineage``) because several later stages
-    read each of them.
+    The distinct token sets and the ranked prefixes are written as tables in
+    the shared checkpoint folder (``cut_lineage``) because several later
+    stages read each of them.
     """
     if not 0.0 < max_distance <= 1.0:
         raise ValueError("max_distance must be in (0, 1]")
@@ -132,9 +133,7 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     b = _sets(right, right_id, text_col, tokens_col, pattern).withColumn("side", F.lit(1))
     both = a.unionByName(b)
     if cut_lineage:
-        from ..session import checkpoint_root
-        checkpoint_root(both.sparkSession)
-        both = both.checkpoint(eager=True)
+        both = materialize(both, "jaccard_sets")
 
     exploded = both.select("side", "rep", "n", F.explode("toks").alias("tok"))
     dfreq = exploded.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
@@ -148,7 +147,7 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     if cut_lineage:
         # both probe sides read it; without this the side filters are pushed
         # below the window and the ranking runs once per side
-        prefix = prefix.checkpoint(eager=True)
+        prefix = materialize(prefix, "jaccard_prefix")
 
     pa = prefix.filter("side = 0").select(F.col("rep").alias("ka"), F.col("n").alias("na"),
                                           "tok", F.col("pos").alias("ia"))

@@ -97,6 +97,19 @@ def q_ingest_snapshot(spark, d):
     return C.stamp_ingest_date(df, INGEST_DAY)
 
 
+@query("routed_ingest")
+def q_routed_ingest(spark, d):
+    """The legacy extract job end to end: scan, rename, casts, stamp, then a
+    partition overwrite by ``ingest_date`` into the table the environment
+    routes to (a non-main environment gets its own namespace)."""
+    from ..session import checkpoint_root
+    df = C.stamp_ingest_date(C.bool_normalize(_legacy_typed(spark, d), ["is_active"]), INGEST_DAY)
+    path = sinks.table_path(checkpoint_root(spark) + "/lake", "dev", "legacy_fund_master")
+    sinks.partition_overwrite(df, path, "ingest_date")
+    sinks.partition_overwrite(df, path, "ingest_date")  # a rerun replaces, never duplicates
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @query("watermark_extract")
 def q_watermark_extract(spark, d):
     return jdbc.watermark_filter(S.table(spark, d, "orders"), "o_orderdate", WATERMARK)
@@ -253,13 +266,12 @@ def _doc_features(spark, d):
     join read it instead of re-running them.
     """
     from ..functions.text import det_key, digest, token_set
-    from ..session import checkpoint_root
+    from ..session import materialize
     docs = S.documents(spark, d, ["doc_id", "text", "source"])
     f = det_key(docs, ["text"]).select(
         "doc_id", S.is_current(F.col("source")).alias("cur"),
         digest("det_key").alias("kd"), "det_key_empty", token_set("text").alias("toks"))
-    checkpoint_root(spark)
-    return f.filter(F.col("cur").isNotNull()).checkpoint(eager=True)
+    return materialize(f.filter(F.col("cur").isNotNull()), "doc_features")
 
 
 def _remainders(spark, d):

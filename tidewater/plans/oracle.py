@@ -209,6 +209,7 @@ SELECT fund_id, fund_category, CAST(trust_fee_rate AS DECIMAL(5,2)) AS trust_fee
        internal_strategy_code FROM en""",
     "bool_normalize": LEGACY_TYPED,
     "ingest_snapshot": f"SELECT *, DATE '2025-07-01' AS ingest_date FROM ({LEGACY_TYPED})",
+    "routed_ingest": f"SELECT *, DATE '2025-07-01' AS ingest_date FROM ({LEGACY_TYPED})",
     "watermark_extract": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-08-01 00:00:00'",
     # sinks
     "partition_overwrite": f"""SELECT *, {MONTHS} AS o_month, CASE WHEN {RELOAD} THEN 2 ELSE 1 END AS load_id

@@ -65,6 +65,24 @@ def spread_for_cpu(df, key: str):
     return df
 
 
+def materialize(df, name: str, how: str = "checkpoint"):
+    """Cut lineage in the shared checkpoint folder: Spark's reliable
+    ``checkpoint()`` (default), or a Parquet table written to a fresh folder
+    and read back (``how="parquet"``).
+
+    Either way a lost executor costs a re-read, not a recompute of the
+    lineage. Measured on the similarity join, the checkpoint is faster for
+    rows carrying token arrays; Parquet suits wide rows read by column.
+    """
+    spark = df.sparkSession
+    if how == "checkpoint":
+        checkpoint_root(spark)
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
