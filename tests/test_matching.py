@@ -115,7 +115,8 @@ def test_similarity_joins_against_brute_force(spark):
     assert exact == brute
     lsh = match.lsh_similarity_join(a, b, "doc_id", "doc_id", threshold=0.5, num_features=1 << 18,
                                     num_bands=10, rows_per_band=4, seed=7).collect()
+    assert lsh, "expected the near copies to collide in at least one band"
     for r in lsh:
         d = 1.0 - len(A[r.v2_id] & B[r.lg_id]) / len(A[r.v2_id] | B[r.lg_id])
         assert r.jaccard_dist == pytest.approx(d) and d < 0.5
-        assert (rep_a[A[r.v2_id]], rep_b[B[r.lg_id]]) in brute
+        assert (r.v2_id, r.lg_id) in brute  # representatives, as in the exact join

@@ -191,42 +191,46 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
     Tokens -> ``HashingTF(num_features)`` -> ``MinHashLSH`` with
     ``num_bands * rows_per_band`` hash functions fitted on the union of both
     sides (U1). With ``rows_per_band=1`` this is MLlib's
-    ``approxSimilarityJoin`` candidate rule (any one table collides). The
-    distance reported is the exact Jaccard distance of the token sets, and
-    pairs are deduplicated (A6). Rows with no token are skipped (MinHash
-    cannot hash an empty vector).
+    ``approxSimilarityJoin`` candidate rule (any one table collides); more
+    rows per band AND the hashes of a band together, which cuts candidates
+    of low similarity. Candidates come from an equi-join on (band, band
+    hash), are deduplicated (A6) and verified with the exact Jaccard
+    distance of the token sets.
+
+    As in :func:`jaccard_join`, identical token sets are collapsed first
+    (columns ``n_left`` / ``n_right`` count the rows behind each
+    representative id), so copies never meet in a bucket pairwise. Rows
+    with no token are skipped (MinHash cannot hash an empty vector).
     """
     from pyspark.ml.feature import HashingTF, MinHashLSH
     from pyspark.ml.functions import vector_to_array
 
-    def prep(df, idc, side):
-        toks = F.array_distinct(F.col(tokens_col)) if tokens_col else token_set(text_col, pattern)
-        return (df.select(F.col(idc).alias("_id"), toks.alias("toks"))
-                .filter(F.size("toks") > 0).withColumn("side", F.lit(side)))
-
-    both = prep(left, left_id, 0).unionByName(prep(right, right_id, 1))
+    a = _sets(left, left_id, text_col, tokens_col, pattern).withColumn("side", F.lit(0))
+    b = _sets(right, right_id, text_col, tokens_col, pattern).withColumn("side", F.lit(1))
+    both = a.unionByName(b)
     tf = HashingTF(inputCol="toks", outputCol="tf", numFeatures=num_features).transform(both)
-    n_hash = num_bands * rows_per_band
-    model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=n_hash,
+    model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=num_bands * rows_per_band,
                        seed=seed).fit(tf.select("tf"))
     hashed = model.transform(tf).withColumn(
         "h", F.transform("hashes", lambda v: vector_to_array(v)[0]))
     bands = hashed.select(
-        "side", "_id", "toks",
+        "side", "rep",
         F.posexplode(F.transform(
             F.sequence(F.lit(0), F.lit(num_bands - 1)),
             lambda i: F.xxhash64(F.slice("h", i * rows_per_band + 1, rows_per_band)))
         ).alias("band", "bh"))
-    ka = bands.filter("side = 0").select(F.col("_id").alias("a"), "band", "bh")
-    kb = bands.filter("side = 1").select(F.col("_id").alias("b"), "band", "bh")
-    cand = ka.join(kb, ["band", "bh"]).select("a", "b").distinct()
-    ta = both.filter("side = 0").select(F.col("_id").alias("a"), F.col("toks").alias("ta"))
-    tb = both.filter("side = 1").select(F.col("_id").alias("b"), F.col("toks").alias("tb"))
+    ka = bands.filter("side = 0").select(F.col("rep").alias("ka"), "band", "bh")
+    kb = bands.filter("side = 1").select(F.col("rep").alias("kb"), "band", "bh")
+    cand = ka.join(kb, ["band", "bh"]).select("ka", "kb").distinct()
+    sa = both.filter("side = 0").select(F.col("rep").alias("ka"), F.col("cnt").alias("n_left"),
+                                        F.col("toks").alias("ta"))
+    sb = both.filter("side = 1").select(F.col("rep").alias("kb"), F.col("cnt").alias("n_right"),
+                                        F.col("toks").alias("tb"))
     inter = F.size(F.array_intersect("ta", "tb")).cast("double")
     dist = F.lit(1.0) - inter / (F.size("ta") + F.size("tb") - inter)
-    return (cand.join(ta, "a").join(tb, "b")
-            .select(F.col("a").alias(out_left), F.col("b").alias(out_right),
-                    dist.alias("jaccard_dist"))
+    return (cand.join(sa, "ka").join(sb, "kb")
+            .select(F.col("ka").alias(out_left), F.col("kb").alias(out_right),
+                    "n_left", "n_right", dist.alias("jaccard_dist"))
             .filter(F.col("jaccard_dist") < F.lit(threshold)))
 
 
