@@ -58,15 +58,23 @@ def exact_match_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id:
 
 
 def unmatched(side: DataFrame, other: DataFrame, key: str = "det_key",
-              empty_col: str | None = None) -> DataFrame:
-    """Rows of ``side`` whose key has no exact counterpart in ``other``."""
+              empty_col: str | None = None, key_is_digest: bool = False) -> DataFrame:
+    """Rows of ``side`` whose key has no exact counterpart in ``other``.
+
+    The keys both sides share are found first from 64-byte digest rows
+    (distinct on each side, so a hot key collapses map-side); only then are
+    the full ``side`` rows anti-joined against that matched-key set, which
+    AQE broadcasts when it measures small -- the wide rows (texts, token
+    arrays) then never cross the network for this step.
+    """
+    k = F.col(key) if key_is_digest else digest(key)
     o = other
     if empty_col and empty_col in other.columns:
         o = o.filter(~F.col(empty_col))
-    # distinct keys: a key held by many rows of ``other`` collapses map-side
-    keys = o.select(digest(key).alias("_k")).distinct()
-    return (side.withColumn("_k", digest(key))
-            .join(keys, "_k", "left_anti").drop("_k"))
+    other_keys = o.select(k.alias("_k")).distinct()
+    side_keys = side.select(k.alias("_k")).distinct()
+    matched = side_keys.join(other_keys, "_k", "left_semi")
+    return side.withColumn("_k", k).join(matched, "_k", "left_anti").drop("_k")
 
 
 def load_counts(sides: dict[str, DataFrame]) -> DataFrame:

@@ -277,8 +277,8 @@ def _doc_features(spark, d):
 def _remainders(spark, d):
     f = _doc_features(spark, d)
     cur, leg = f.filter("cur"), f.filter("NOT cur")
-    return (match.unmatched(cur, leg, key="kd", empty_col="det_key_empty"),
-            match.unmatched(leg, cur, key="kd", empty_col="det_key_empty"))
+    return (match.unmatched(cur, leg, key="kd", empty_col="det_key_empty", key_is_digest=True),
+            match.unmatched(leg, cur, key="kd", empty_col="det_key_empty", key_is_digest=True))
 
 
 def _jaccard(spark, d):
