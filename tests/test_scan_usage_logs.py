@@ -8,7 +8,7 @@ from tidewater.functions.detectors import EMAIL, SECRET_TOKEN, STRATEGY_CODE
 from tidewater.operators import scan, usage
 from tidewater.sources import files
 from tidewater.plans import standins as S
-from tests.fixtures import LEGACY, MASTER_V2, write
+from tests.fixtures import LEGACY, MASTER_V2
 
 
 def _with_line_numbers(spark, text):

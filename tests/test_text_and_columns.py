@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tidewater.functions import columns as C
 from tidewater.functions.text import det_key, normalize_key, text_features, tokenize
