@@ -89,3 +89,11 @@ def test_latest_snapshot(spark):
     df = spark.createDataFrame([(1, "a", D1), (1, "b", D2), (2, "c", D1)], "k int, v string, ingest_date date")
     got = sorted(map(tuple, dims.latest_snapshot(df, ["k"]).collect()))
     assert got == [(1, "b", D2), (2, "c", D1)]
+
+
+def test_nav_change_zero_previous(spark):
+    df = spark.createDataFrame([("F", dt.date(2025, 1, 1), decimal.Decimal("0")),
+                                ("F", dt.date(2025, 1, 2), decimal.Decimal("5"))],
+                               "k string, d date, v decimal(18,4)")
+    r = dims.nav_change(df, "k", "d", "v").orderBy("d").collect()
+    assert r[1].price_change == decimal.Decimal("5.0000") and r[1].price_change_rate_pct is None

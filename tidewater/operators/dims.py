@@ -80,15 +80,17 @@ def nav_change(daily: DataFrame, key: str, day_col: str, value_col: str,
     """Change from the previous day of the same key, absolute and in %.
 
     The absolute change stays decimal; the percentage is computed in double
-    and rounded, because decimal(10,6) overflows on real swings.
+    and rounded, because decimal(10,6) overflows on real swings. A zero
+    previous value gives a null percentage (ANSI division would fail).
     """
     w = Window.partitionBy(key).orderBy(day_col)
     prev = F.lag(value_col).over(w)
     return (daily.withColumn("_prev", prev)
             .withColumn("price_change", (F.col(value_col) - F.col("_prev")).cast(value_type))
             .withColumn("price_change_rate_pct",
-                        F.round((F.col(value_col) - F.col("_prev")).cast("double")
-                                / F.col("_prev").cast("double") * F.lit(100.0), pct_digits))
+                        # try_divide: a zero previous value gives null, not a failed job
+                        F.round(F.try_divide((F.col(value_col) - F.col("_prev")).cast("double"),
+                                             F.col("_prev").cast("double")) * F.lit(100.0), pct_digits))
             .drop("_prev"))
 
 
