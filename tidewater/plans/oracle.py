@@ -24,9 +24,9 @@ def two_dp(x: str) -> str:
 
 
 DOCS = f"""d AS (
-  SELECT doc_id, text, n_chars, CAST(substr(source, 4) AS INTEGER) % 2 = 0 AS cur,
+  SELECT doc_id, text, n_chars, TRY_CAST(substr(source, 4) AS INTEGER) % 2 = 0 AS cur,
          {N('text')} AS k
-  FROM documents WHERE source IS NOT NULL)"""
+  FROM documents WHERE TRY_CAST(substr(source, 4) AS INTEGER) IS NOT NULL)"""
 
 UNMATCHED = """um AS (
   SELECT c.* FROM d c
@@ -278,7 +278,7 @@ WHERE region IN ('us-east-1', 'eu-west-1')
     "flow_log_scan": """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
        CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'ACCEPT' END AS action,
        count(*) AS flows,
-       CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS packets,
+       CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS packets,
        CAST(sum(CAST(round(value * 100, 0) AS BIGINT)) AS BIGINT) AS bytes
 FROM events WHERE strftime(ts, '%H') BETWEEN '09' AND '17' GROUP BY 1, 2, 3, 4""",
     # sensitive scan

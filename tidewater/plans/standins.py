@@ -33,7 +33,7 @@ def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -
 
 def is_current(source: Column) -> Column:
     """Documents are split in two by source: even source number = current."""
-    return (F.substring(source, 4, 16).cast("int") % 2) == 0
+    return (F.substring(source, 4, 16).try_cast("int") % 2) == 0
 
 
 def doc_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -221,7 +221,7 @@ def flow_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("10.1.0.1").alias("dstaddr"),
         (F.lit(1024) + e.event_id % 50000).cast("int").alias("srcport"),
         F.lit(443).alias("dstport"), F.lit(6).alias("protocol"),
-        F.get_json_object(e.props, "$.k").cast("bigint").alias("packets"),
+        F.get_json_object(e.props, "$.k").try_cast("bigint").alias("packets"),
         F.round(e.value * 100, 0).cast("bigint").alias("bytes"),
         start.alias("start"), (start + 60).alias("end"),
         F.when(e.event_type == "error", "REJECT").otherwise("ACCEPT").alias("action"),

@@ -42,10 +42,14 @@ def read_versioned_csv(spark: SparkSession, base: str, version: str,
 def read_nav_csv(spark: SparkSession, path: str, date_col: str = "base_date",
                  date_format: str = "yyyy-MM-dd", value_col: str = "nav_price",
                  value_type: str = "decimal(18,4)") -> DataFrame:
-    """S2 + F8: NAV rows with the date parsed and the price as decimal."""
+    """S2 + F8: NAV rows with the date parsed and the price as decimal.
+
+    Text that is not a date / a number becomes null (``try_to_date``,
+    ``try_cast``) instead of failing the load under ANSI mode.
+    """
     df = read_csv(spark, path)
     return df.withColumns({
-        date_col: F.to_date(F.col(date_col), date_format),
+        date_col: F.expr(f"try_to_date(`{date_col}`, '{date_format}')"),
         value_col: F.expr(f"try_cast(`{value_col}` as {value_type})"),
     })
 
