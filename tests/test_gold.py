@@ -28,6 +28,10 @@ def test_scd2_from_two_snapshots(spark, tmp_dir):
     ]
     sks = [r.fund_sk for r in dim.collect()]
     assert len(set(sks)) == 4
+    dims.assert_unique(dim, "fund_sk")
+    import pytest
+    with pytest.raises(ValueError):
+        dims.assert_unique(dim, "fund_id")
     again = [r.fund_sk for r in dims.scd2_dimension(snaps, "fund_id", "ingest_date", ATTRS, sk_col="fund_sk").collect()]
     assert sorted(again) == sorted(sks)  # stable across reruns
 

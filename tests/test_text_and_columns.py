@@ -84,3 +84,11 @@ def test_master_csv_inference(spark, tmp_dir):
     types = dict(df.dtypes)
     assert types["is_active"] == "boolean" and types["trust_fee_rate"] == "double"
     assert df.count() == 3
+
+
+def test_rules_table_round_trip(spark, tmp_dir):
+    rules = C.rules_frame(spark)
+    assert rules.count() == 8 and rules.schema.simpleString() == \
+        "struct<regex:string,canonical_name:string,priority:int>"
+    raw = spark.read.option("header", "true").csv(write(tmp_dir, "legacy.csv", LEGACY))
+    assert C.canonicalize_columns(raw, rules).columns == C.canonicalize_columns(raw).columns

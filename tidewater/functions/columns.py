@@ -49,6 +49,19 @@ ALIAS_RULES = [
 ]
 
 
+RULES_SCHEMA = "regex string, canonical_name string, priority int"
+
+
+def rules_frame(spark, rules: list[AliasRule] = ALIAS_RULES):
+    """The alias rules as an in-memory table with an explicit schema."""
+    return spark.createDataFrame([(r.regex, r.canonical_name, r.priority) for r in rules], RULES_SCHEMA)
+
+
+def rules_from_frame(df) -> list[AliasRule]:
+    """Rules kept as a (small, configuration-sized) table, read back in order."""
+    return [AliasRule(r["regex"], r["canonical_name"], r["priority"]) for r in df.collect()]
+
+
 def stamp_ingest_date(df: DataFrame, day: str | _dt.date, col: str = "ingest_date") -> DataFrame:
     """Add the load date as a DATE literal."""
     return df.withColumn(col, F.lit(str(day)).cast("date"))
@@ -80,8 +93,13 @@ def resolve_aliases(columns: list[str], rules: list[AliasRule] = ALIAS_RULES) ->
     return out
 
 
-def canonicalize_columns(df: DataFrame, rules: list[AliasRule] = ALIAS_RULES) -> DataFrame:
-    """One projection that applies the resolved alias map."""
+def canonicalize_columns(df: DataFrame, rules: list[AliasRule] | DataFrame = ALIAS_RULES) -> DataFrame:
+    """One projection that applies the resolved alias map.
+
+    ``rules`` may be a list or a rules table (:func:`rules_frame`).
+    """
+    if isinstance(rules, DataFrame):
+        rules = rules_from_frame(rules)
     m = resolve_aliases(df.columns, rules)
     return df.withColumnsRenamed(m) if m else df
 

@@ -75,6 +75,17 @@ def scd2_dimension(daily: DataFrame, key: str, day_col: str, attrs: list[str],
     return out
 
 
+def assert_unique(df: DataFrame, cols: list[str] | str) -> None:
+    """W2 check: no two rows share the key (for example a hashed surrogate key).
+
+    One aggregate pass; raises with a sample of the colliding keys.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    dup = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(5).collect()
+    if dup:
+        raise ValueError(f"duplicate keys on {cols}: {[tuple(r)[:-1] for r in dup]}")
+
+
 def nav_change(daily: DataFrame, key: str, day_col: str, value_col: str,
                value_type: str = "decimal(18,4)", pct_digits: int = 6) -> DataFrame:
     """Change from the previous day of the same key, absolute and in %.
