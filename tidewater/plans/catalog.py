@@ -271,7 +271,8 @@ def _doc_features(spark, d):
     f = det_key(docs, ["text"]).select(
         "doc_id", S.is_current(F.col("source")).alias("cur"),
         digest("det_key").alias("kd"), "det_key_empty", token_set("text").alias("toks"))
-    return materialize(f.filter(F.col("cur").isNotNull()), "doc_features")
+    # columnar: the key-only reads of the anti-joins skip the token arrays
+    return materialize(f.filter(F.col("cur").isNotNull()), "doc_features", how="parquet")
 
 
 def _remainders(spark, d):
