@@ -15,6 +15,14 @@ def test_normalize_key_nfkc_lower_whitespace(spark):
     assert out == ["全部カントリー(ゼンカン)", "ファンド運用会社b(株)", "", "abc", "funda"]
 
 
+def test_ascii_fast_path_matches_python(spark):
+    import re
+    import unicodedata
+    vals = ["Plain ASCII\tText\x1cwith\x0bseps", "MiXeD Ünïcode  text", "", "   ", "a\u3000b", "x\x85y"]
+    want = [re.sub(r"\s+", "", unicodedata.normalize("NFKC", v).lower()) for v in vals]
+    assert _norm(spark, vals) == want
+
+
 def test_nfkc_makes_nicknames_equal(spark):
     a, b = _norm(spark, ["全部カントリー（ゼンカン）", "全部カントリー(ｾﾞﾝｶﾝ)"])
     assert a == b

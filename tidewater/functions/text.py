@@ -2,8 +2,9 @@
 
 Only NFKC needs Python: Spark has no Unicode normal-form function. It runs
 as an Arrow-batched pandas UDF (one Arrow transfer per batch, not per row),
-with an ASCII fast path because NFKC leaves ASCII unchanged. Everything
-else is a JVM built-in so it stays inside whole-stage codegen.
+and only for non-ASCII text: NFKC leaves ASCII unchanged, so ASCII values
+are folded by JVM built-ins. Everything else is a JVM built-in so it stays
+inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -49,9 +50,21 @@ except (ImportError, AttributeError):  # pragma: no cover
     pass
 
 
+# Python's \s restricted to ASCII: space, \t \n \v \f \r and the separators \x1c-\x1f
+_ASCII_WS = r"[\t\n\x0B\f\r \x1c-\x1f]+"
+
+
 def normalize_key(c: Column | str) -> Column:
-    """null -> "", NFKC, lower, strip all whitespace (Unicode \\s)."""
-    return _fold(F.col(c) if isinstance(c, str) else c)
+    """null -> "", NFKC, lower, strip all whitespace (Unicode \\s).
+
+    NFKC leaves ASCII text unchanged, so ASCII values (character length ==
+    byte length) are folded by JVM built-ins and reach the Python UDF as
+    nulls: only non-ASCII text crosses into Python.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    ascii_only = F.length(col) == F.octet_length(col)
+    jvm = F.regexp_replace(F.lower(col), _ASCII_WS, "")
+    return F.when(ascii_only, jvm).otherwise(_fold(F.when(ascii_only, F.lit(None)).otherwise(col)))
 
 
 def det_key(df: DataFrame, fields: list[str], out: str = "det_key",
