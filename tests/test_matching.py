@@ -120,3 +120,18 @@ def test_similarity_joins_against_brute_force(spark):
         d = 1.0 - len(A[r.v2_id] & B[r.lg_id]) / len(A[r.v2_id] | B[r.lg_id])
         assert r.jaccard_dist == pytest.approx(d) and d < 0.5
         assert (r.v2_id, r.lg_id) in brute  # representatives, as in the exact join
+
+
+def test_resolve_masters_takes_latest_snapshot(spark, tmp_dir):
+    from tests.fixtures import MASTER_V1
+    v1 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "m1.csv", MASTER_V1)), "2025-06-30")
+    v2 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "m2.csv", MASTER_V2)), "2025-07-01")
+    cur = C.decimal_cast(v1.unionByName(v2), ["trust_fee_rate"])
+    lg = C.decimal_cast(C.rename_map(spark.read.option("header", "true").csv(write(tmp_dir, "lg.csv", LEGACY))),
+                        ["trust_fee_rate", "hidden_cost"])
+    r = match.resolve_masters(cur, lg)
+    assert r["current"].count() == 3  # one row per fund, not per snapshot
+    assert [(x.v2_id, x.lg_id) for x in r["exact"].collect()] == [("FND001", "NFD001")]
+    fees = {(x.v2_id, x.lg_id): x.fee_diff for x in r["similar_with_fee"].collect()}
+    assert fees[("FND002", "NFD002")] == decimal.Decimal("0.00")  # the v2 fee 0.11, not v1's 0.25
+    assert len(fees) == 4

@@ -269,3 +269,49 @@ def match_preview(pairs: DataFrame, n: int = 10, order: list[str] | None = None)
     """O2: the first ``n`` pairs in a total order (closest first)."""
     order = order or ["jaccard_dist", "v2_id", "lg_id"]
     return pairs.orderBy(*order).limit(n)
+
+
+# ---------------------------------------------------------------- the whole job
+
+KEY_FIELDS = ["fund_name", "management_company", "nickname"]
+
+
+def resolve_masters(current: DataFrame, legacy: DataFrame, id_col: str = "fund_id",
+                    key_fields: list[str] | None = None, fee_col: str | None = "trust_fee_rate",
+                    max_distance: float = SIMILARITY_THRESHOLD,
+                    snapshot_col: str | None = "ingest_date") -> dict[str, DataFrame]:
+    """Exact then similarity matching of two masters, end to end.
+
+    1. latest snapshot per id when the inputs carry ``snapshot_col`` (a
+       master holds one row per load date; matching on the id alone would
+       fan out over snapshots);
+    2. column canonicalisation (P3), composite key (F1, F2), text (F3);
+    3. exact pairs (J1), both remainders (J2), exact Jaccard on the
+       remainders (J4), fee difference (J5).
+
+    Returns the named intermediate and final frames; nothing is computed
+    until one of them is used.
+    """
+    from ..functions.columns import canonicalize_columns
+    from ..functions.text import det_key, text_features
+    from .dims import latest_snapshot
+
+    fields = key_fields or KEY_FIELDS
+
+    def prep(df):
+        df = canonicalize_columns(df)
+        if snapshot_col and snapshot_col in df.columns:
+            df = latest_snapshot(df, [id_col], snapshot_col)
+        df = det_key(df, fields)
+        return text_features(df, [f"{f}_norm" for f in fields])
+
+    cur, leg = prep(current), prep(legacy)
+    out = {"current": cur, "legacy": leg,
+           "exact": exact_match_pairs(cur, leg, id_col, id_col, empty_col="det_key_empty"),
+           "unmatched_current": unmatched(cur, leg, empty_col="det_key_empty"),
+           "unmatched_legacy": unmatched(leg, cur, empty_col="det_key_empty")}
+    out["similar"] = jaccard_join(out["unmatched_current"], out["unmatched_legacy"], id_col, id_col,
+                                  max_distance, text_col="text")
+    if fee_col:
+        out["similar_with_fee"] = fee_diff(out["similar"], cur, leg, id_col, id_col, fee_col)
+    return out
