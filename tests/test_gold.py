@@ -101,3 +101,19 @@ def test_nav_change_zero_previous(spark):
                                "k string, d date, v decimal(18,4)")
     r = dims.nav_change(df, "k", "d", "v").orderBy("d").collect()
     assert r[1].price_change == decimal.Decimal("5.0000") and r[1].price_change_rate_pct is None
+
+
+def test_build_gold(spark, tmp_dir):
+    v1 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "g1.csv", MASTER_V1)),
+                             dt.date(2025, 4, 1))
+    v2 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "g2.csv", MASTER_V2)),
+                             dt.date(2025, 7, 1))
+    snaps = C.decimal_cast(v1.unionByName(v2), ["trust_fee_rate"])
+    g = dims.build_gold(snaps, _nav(spark, tmp_dir))
+    assert g["dim_fund"].count() == 4
+    dims.assert_unique(g["fact"], ["fund_id", "base_date"])
+    fact = {(r.fund_id, r.base_date.isoformat()): r for r in g["fact"].collect()}
+    assert fact[("FND002", "2025-06-30")].date_sk == 20250630
+    wide = {(r.fund_id, r.base_date.isoformat()): str(r.trust_fee_rate) for r in g["wide"].collect()}
+    assert wide[("FND002", "2025-06-30")] == "0.25" and wide[("FND002", "2025-07-01")] == "0.11"
+    assert g["dim_date"].count() == (dt.date(2025, 7, 2) - dt.date(2025, 4, 1)).days + 1

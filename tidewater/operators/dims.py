@@ -186,3 +186,31 @@ def daily_wide(daily: DataFrame, master: DataFrame, key: str, master_key: str |
     mk = master_key or key
     m = master if mk == key else master.withColumnRenamed(mk, key)
     return daily.join(m, key, "left")
+
+
+# The fund dimension's tracked attributes (the master's columns).
+FUND_ATTRS = ["fund_category", "trust_fee_rate", "is_active", "fund_name", "nickname",
+              "management_company", "manager_name", "manager_email"]
+
+
+def build_gold(master_snapshots: DataFrame, nav: DataFrame, id_col: str = "fund_id",
+               snapshot_col: str = "ingest_date", date_col: str = "base_date",
+               value_col: str = "nav_price", attrs: list[str] | None = None) -> dict[str, DataFrame]:
+    """The gold star schema from bronze snapshots and NAV rows.
+
+    * ``dim_fund``: SCD2 over the master snapshots, ``fund_sk`` surrogate key;
+    * ``dim_date``: calendar spanning the NAV dates (``date_sk`` = yyyyMMdd);
+    * ``fact``: one row per (fund, day) with the day-over-day change, the
+      ``fund_sk`` of the version in effect that day and the ``date_sk``;
+    * ``wide``: the fact with the attributes of that version.
+    """
+    attrs = [a for a in (attrs or FUND_ATTRS) if a in master_snapshots.columns]
+    daily_master = latest_snapshot(master_snapshots, [id_col, snapshot_col], snapshot_col)
+    dim = scd2_dimension(daily_master, id_col, snapshot_col, attrs, sk_col="fund_sk")
+    daily_nav = (nav.groupBy(id_col, date_col)
+                 .agg(F.max(value_col).alias(value_col)))  # one price per fund and day
+    changes = nav_change(daily_nav, id_col, date_col, value_col)
+    cal = calendar_for(changes, date_col)
+    fact = fact_performance(changes, dim, cal, id_col, date_col, carry=["fund_sk"])
+    wide = fact.join(dim.select("fund_sk", *attrs), "fund_sk", "left")
+    return {"dim_fund": dim, "dim_date": cal, "fact": fact, "wide": wide}
