@@ -89,22 +89,31 @@ def load_counts(sides: dict[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- Jaccard join
 
+def _side_tokens(df: DataFrame, id_col: str, text_col: str | None, tokens_col: str | None,
+                 pattern: str, side: int) -> DataFrame:
+    toks = F.sort_array(F.array_distinct(F.col(tokens_col))) if tokens_col \
+        else token_set(text_col, pattern)
+    return (df.select(F.col(id_col).alias("_id"), toks.alias("toks"))
+            .filter(F.size("toks") > 0).withColumn("side", F.lit(side)))
+
+
 def _sets(df: DataFrame, id_col: str, text_col: str | None, tokens_col: str | None,
-          pattern: str) -> DataFrame:
-    """Distinct token sets of one side: (rep, cnt, toks, n).
+          pattern: str, right: DataFrame | None = None, right_id: str | None = None) -> DataFrame:
+    """Distinct token sets: (side, rep, cnt, toks, n).
 
     Identical sets collapse into one row, keyed by the smallest member id
     (``rep``, unique within the side). The grouping key is the sorted set
     itself (exact, and a hash aggregate); partial aggregation runs before
     the shuffle, so a hot group of copies is already one row per map task.
+    With ``right`` given, both sides go through one aggregation (side 0 =
+    ``df``, side 1 = ``right``).
     """
-    toks = F.sort_array(F.array_distinct(F.col(tokens_col))) if tokens_col \
-        else token_set(text_col, pattern)
-    d = df.select(F.col(id_col).alias("_id"), toks.alias("toks"))
-    d = d.filter(F.size("toks") > 0)
-    return (d.groupBy("toks")
+    d = _side_tokens(df, id_col, text_col, tokens_col, pattern, 0)
+    if right is not None:
+        d = d.unionByName(_side_tokens(right, right_id or id_col, text_col, tokens_col, pattern, 1))
+    return (d.groupBy("side", "toks")
             .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"))
-            .select("rep", "cnt", "toks", F.size("toks").alias("n")))
+            .select("side", "rep", "cnt", "toks", F.size("toks").alias("n")))
 
 
 def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -137,9 +146,7 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     if not 0.0 < max_distance <= 1.0:
         raise ValueError("max_distance must be in (0, 1]")
     s = 1.0 - max_distance  # candidates need similarity > s
-    a = _sets(left, left_id, text_col, tokens_col, pattern).withColumn("side", F.lit(0))
-    b = _sets(right, right_id, text_col, tokens_col, pattern).withColumn("side", F.lit(1))
-    both = a.unionByName(b)
+    both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
     if cut_lineage:
         both = materialize(both, "jaccard_sets")
 
@@ -213,9 +220,7 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
     from pyspark.ml.feature import HashingTF, MinHashLSH
     from pyspark.ml.functions import vector_to_array
 
-    a = _sets(left, left_id, text_col, tokens_col, pattern).withColumn("side", F.lit(0))
-    b = _sets(right, right_id, text_col, tokens_col, pattern).withColumn("side", F.lit(1))
-    both = a.unionByName(b)
+    both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
     tf = HashingTF(inputCol="toks", outputCol="tf", numFeatures=num_features).transform(both)
     model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=num_bands * rows_per_band,
                        seed=seed).fit(tf.select("tf"))
