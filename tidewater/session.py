@@ -32,8 +32,9 @@ def build_session(master: str = "local[8]", app: str = "tidewater",
     measured side is under ``autoBroadcastJoinThreshold``), coalesces small
     shuffle partitions and splits skewed ones.
     """
-    cores = master[master.find("[") + 1:master.find("]")] if "[" in master else "8"
-    n = shuffle_partitions or max(8, 2 * (os.cpu_count() or 8 if cores == "*" else int(cores)))
+    spec = master[master.find("[") + 1:master.find("]")] if "[" in master else "*"
+    cores = (os.cpu_count() or 8) if spec == "*" else int(spec.split(",")[0])
+    n = shuffle_partitions or max(8, 2 * cores)
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(n))
          .config("spark.sql.adaptive.enabled", "true")
@@ -71,8 +72,9 @@ def materialize(df, name: str, how: str = "checkpoint"):
     and read back (``how="parquet"``).
 
     Either way a lost executor costs a re-read, not a recompute of the
-    lineage. Measured on the similarity join, the checkpoint is faster for
-    rows carrying token arrays; Parquet suits wide rows read by column.
+    lineage. The checkpoint writes rows as they are (fast for rows carrying
+    token arrays); Parquet is compressed and columnar, so readers that need
+    a few columns skip the rest.
     """
     spark = df.sparkSession
     if how == "checkpoint":
@@ -99,7 +101,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                 f"{_CKPT_KEY} is not set; point it at a shared folder the executors can reach")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-", dir="/tmp")
         spark.conf.set(_CKPT_KEY, root)
-    sc.setCheckpointDir(root) if not sc.getCheckpointDir() else None
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
