@@ -200,7 +200,8 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
                         num_bands: int = LSH_NUM_HASH_TABLES, rows_per_band: int = 1,
                         seed: int = 1, text_col: str | None = "text",
                         tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
-                        out_left: str = "v2_id", out_right: str = "lg_id") -> DataFrame:
+                        out_left: str = "v2_id", out_right: str = "lg_id",
+                        cut_lineage: bool = True) -> DataFrame:
     """J3 + F5 + F6: MinHash-LSH similarity join, distance ``< threshold``.
 
     Tokens -> ``HashingTF(num_features)`` -> ``MinHashLSH`` with
@@ -221,6 +222,8 @@ def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
     from pyspark.ml.functions import vector_to_array
 
     both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
+    if cut_lineage:  # read three times: hashing, and both sides of the verification
+        both = materialize(both, "lsh_sets")
     tf = HashingTF(inputCol="toks", outputCol="tf", numFeatures=num_features).transform(both)
     model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=num_bands * rows_per_band,
                        seed=seed).fit(tf.select("tf"))
