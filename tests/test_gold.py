@@ -117,3 +117,19 @@ def test_build_gold(spark, tmp_dir):
     wide = {(r.fund_id, r.base_date.isoformat()): str(r.trust_fee_rate) for r in g["wide"].collect()}
     assert wide[("FND002", "2025-06-30")] == "0.25" and wide[("FND002", "2025-07-01")] == "0.11"
     assert g["dim_date"].count() == (dt.date(2025, 7, 2) - dt.date(2025, 4, 1)).days + 1
+
+
+def test_scd2_refresh_with_late_snapshot(spark):
+    rows = [("A", dt.date(2025, 1, 1), "x"), ("A", dt.date(2025, 1, 10), "y"),
+            ("B", dt.date(2025, 1, 1), "p")]
+    hist = spark.createDataFrame(rows, "k string, d date, v string")
+    dim = dims.scd2_dimension(hist, "k", "d", ["v"], sk_col="sk")
+    late = spark.createDataFrame([("A", dt.date(2025, 1, 5), "z")], "k string, d date, v string")
+    refreshed = dims.scd2_refresh(dim, hist, late, "k", "d", ["v"], sk_col="sk")
+    full = dims.scd2_dimension(hist.unionByName(late), "k", "d", ["v"], sk_col="sk")
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, refreshed.collect()), key=key) == sorted(map(tuple, full.select(*refreshed.columns).collect()), key=key)
+    a = {(r.v, r.effective_start_date.isoformat(), r.effective_end_date.isoformat())
+         for r in refreshed.filter("k = 'A'").collect()}
+    assert a == {("x", "2025-01-01", "2025-01-04"), ("z", "2025-01-05", "2025-01-09"),
+                 ("y", "2025-01-10", "9999-12-31")}

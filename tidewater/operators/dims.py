@@ -75,6 +75,25 @@ def scd2_dimension(daily: DataFrame, key: str, day_col: str, attrs: list[str],
     return out
 
 
+def scd2_refresh(dim: DataFrame, history: DataFrame, new_rows: DataFrame, key: str, day_col: str,
+                 attrs: list[str], sk_col: str | None = "dim_sk",
+                 open_end: str = SCD2_OPEN_END) -> DataFrame:
+    """W1 with late or out-of-order loads: rebuild only the keys that changed.
+
+    ``history`` holds the daily rows the current ``dim`` was built from;
+    ``new_rows`` may fall anywhere in time (before, between or after known
+    days). The keys they touch are rebuilt from their complete history (a
+    semi-join, so only those keys' rows move); every other key keeps its
+    rows from ``dim``. Equal to a full rebuild, at the cost of the changed
+    keys only.
+    """
+    affected = new_rows.select(key).distinct()
+    touched = history.unionByName(new_rows).join(affected, key, "left_semi")
+    touched = latest_snapshot(touched, [key, day_col], day_col)  # a reload of a known day wins
+    rebuilt = scd2_dimension(touched, key, day_col, attrs, sk_col=sk_col, open_end=open_end)
+    return dim.join(affected, key, "left_anti").unionByName(rebuilt.select(*dim.columns))
+
+
 def assert_unique(df: DataFrame, cols: list[str] | str) -> None:
     """W2 check: no two rows share the key (for example a hashed surrogate key).
 
