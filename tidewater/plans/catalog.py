@@ -338,6 +338,18 @@ def q_scd2_dimension(spark, d):
     return _scd2(spark, d)
 
 
+@query("scd2_refresh")
+def q_scd2_refresh(spark, d):
+    """Odd days load first, even days arrive late: the refreshed dimension
+    must equal the one built from everything at once."""
+    daily = dims.daily_last(S.daily_orders(spark, d), "o_custkey", "base_date",
+                            ["o_orderpriority"], "o_orderkey")
+    first = daily.filter(F.dayofmonth("base_date") % 2 == 1)
+    late = daily.filter(F.dayofmonth("base_date") % 2 == 0)
+    dim = dims.scd2_dimension(first, "o_custkey", "base_date", ["o_orderpriority"], sk_col=None)
+    return dims.scd2_refresh(dim, first, late, "o_custkey", "base_date", ["o_orderpriority"], sk_col=None)
+
+
 @query("nav_change")
 def q_nav_change(spark, d):
     return dims.nav_change(_daily_nav(spark, d), "o_custkey", "base_date", "nav")

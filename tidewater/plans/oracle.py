@@ -257,6 +257,7 @@ FROM jp JOIN documents a ON a.doc_id = jp.v2_id JOIN documents b ON b.doc_id = j
     "match_preview": JACCARD_PAIRS + "SELECT * FROM jp ORDER BY jaccard_dist, v2_id, lg_id LIMIT 10",
     # gold
     "scd2_dimension": f"WITH {DAILY}, {SCD2} SELECT * FROM scd",
+    "scd2_refresh": f"WITH {DAILY}, {SCD2} SELECT * FROM scd",
     "nav_change": f"WITH {DAILY}, {NAV} SELECT * FROM navc",
     "dim_date": f"WITH {CALENDAR} SELECT * FROM cal",
     "fact_performance": f"""WITH {DAILY}, {SCD2}, {NAV}, {CALENDAR}
