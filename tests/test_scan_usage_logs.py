@@ -58,6 +58,15 @@ def test_hash_sample_deterministic(spark):
     assert a == b and 0.72 < len(a) / 4000 < 0.78
 
 
+def test_object_sample_keeps_whole_files(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "objects")
+    for i in range(40):
+        spark.range(5).coalesce(1).write.parquet(os.path.join(p, f"obj{i:02d}"))
+    df = spark.read.parquet(os.path.join(p, "*"))
+    kept = scan.hash_sample(df, "_metadata.file_path").groupBy("_metadata.file_path").count().collect()
+    assert all(r["count"] == 5 for r in kept) and 20 <= len(kept) <= 38
+
+
 def test_scope_filter(spark, tmp_dir):
     p = os.path.join(tmp_dir, "scope")
     spark.range(3).write.parquet(os.path.join(p, "fund_x"))

@@ -24,11 +24,12 @@ def hash_bucket(key: Column | str) -> Column:
     return F.conv(F.substring(F.md5(k.cast("string")), 1, 4), 16, 10).cast("int") % 100
 
 
-def hash_sample(df: DataFrame, key: str, percentage: int = SAMPLING_PERCENTAGE) -> DataFrame:
+def hash_sample(df: DataFrame, key: str | Column, percentage: int = SAMPLING_PERCENTAGE) -> DataFrame:
     """P10: deterministic ``percentage`` % sample by key hash.
 
     Unlike ``df.sample`` the same key is always in or out, whatever the
-    partitioning or the rerun.
+    partitioning or the rerun. Sample rows by a key column, or whole
+    objects by ``"_metadata.file_path"`` (every row of a kept file stays).
     """
     return df.filter(hash_bucket(key) < F.lit(percentage))
 
