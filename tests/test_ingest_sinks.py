@@ -101,3 +101,18 @@ def test_replace_table_and_routing(spark, tmp_dir):
     assert sinks.target_namespace("main") == "brz_ingestion"
     assert sinks.target_namespace("dev") == "brz_ingestion_dev"
     assert sinks.table_path("/lake", "dev", "fund_nav").endswith("/brz_ingestion_dev/fund_nav")
+
+
+def test_line_numbers_across_splits(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for k, n in (("a", 3000), ("b", 700), ("c", 5)):
+            with open(os.path.join(tmp_dir, f"{k}.csv"), "w") as fh:
+                fh.write("id,val\n" + "\n".join(f"{k}{i},{i * 7}" for i in range(n)))
+        df = files.read_csv(spark, [os.path.join(tmp_dir, f"{k}.csv") for k in "abc"])
+        assert df.rdd.getNumPartitions() > 3
+        rows = files.with_line_numbers(df).select("id", "line").collect()
+        assert len(rows) == 3705 and all(int(r.id[1:]) + 2 == r.line for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

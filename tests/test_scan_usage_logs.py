@@ -11,19 +11,16 @@ from tidewater.plans import standins as S
 from tests.fixtures import LEGACY, MASTER_V2
 
 
-def _with_line_numbers(spark, text):
-    """CSV rows with their line number (header = line 1) as the row key."""
-    import csv
-    import io
-    rows = list(csv.reader(io.StringIO(text)))
-    header, body = rows[0], rows[1:]
-    data = [tuple(r) + (i + 2,) for i, r in enumerate(body)]
-    schema = ", ".join(f"`{h}` string" for h in header) + ", line long"
-    return spark.createDataFrame(data, schema), header
-
-
-def test_strategy_code_golden(spark):
-    df, header = _with_line_numbers(spark, LEGACY)
+def _with_line_numbers(spark, text, tmp_dir, name):
+    """The CSV object read by Spark, each row keyed by its line (header = line 1)."""
+    from tests.fixtures import write
+    path = write(tmp_dir, name, text)
+    df = files.with_line_numbers(files.read_csv(spark, path))
+    return df, [c for c in df.columns if c != "line"]
+
+
+def test_strategy_code_golden(spark, tmp_dir):
+    df, header = _with_line_numbers(spark, LEGACY, tmp_dir, "legacy_fund_master.csv")
     cells = scan.scan_cells(df, "line", header, detectors=(STRATEGY_CODE,), object_name="legacy_fund_master.csv")
     got = sorted((r.row, r.column, r.columnName, r.hits) for r in cells.collect())
     assert got == [("2", 9, "内部戦略コード", 1), ("3", 9, "内部戦略コード", 1), ("4", 9, "内部戦略コード", 1)]
@@ -31,8 +28,8 @@ def test_strategy_code_golden(spark):
     assert [(r.detector, r.cells, r.hits) for r in f] == [("strategy-code-detector", 3, 3)]
 
 
-def test_email_detector_on_master(spark):
-    df, header = _with_line_numbers(spark, MASTER_V2)
+def test_email_detector_on_master(spark, tmp_dir):
+    df, header = _with_line_numbers(spark, MASTER_V2, tmp_dir, "fund_master_v2.csv")
     cells = scan.scan_cells(df, "line", header, detectors=(EMAIL,), object_name="fund_master_v2.csv")
     got = sorted((r.row, r.column, r.columnName) for r in cells.collect())
     assert got == [("2", 9, "manager_email"), ("3", 9, "manager_email"), ("4", 9, "manager_email")]

@@ -54,6 +54,33 @@ def read_nav_csv(spark: SparkSession, path: str, date_col: str = "base_date",
     })
 
 
+def with_line_numbers(df: DataFrame, col: str = "line", header_lines: int = 1,
+                      max_broadcast_chunks: int = 1_000_000) -> DataFrame:
+    """1-based line number of each row within its source file (F14 cell rows).
+
+    A window per file would sort a hot file in one task, so this is the
+    distributed zip-with-index instead: rows are counted per (file, read
+    partition) chunk -- one row per chunk --, chunk offsets are prefix sums
+    over that small table in partition order, and each row adds its index
+    inside the chunk. It relies on Spark reading one file's splits in offset
+    order, and each split's rows in file order; both ids are recomputed
+    identically on a retry because the splits are fixed by the input.
+    Use on a plain scan (before any shuffle).
+    """
+    from pyspark.sql import Window
+
+    d = df.withColumns({"_f": F.col("_metadata.file_path"), "_p": F.spark_partition_id(),
+                        "_m": F.monotonically_increasing_id()})
+    chunks = d.groupBy("_f", "_p").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_f").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    if chunks.count() <= max_broadcast_chunks:  # one row per split: bounded by input size / split size
+        chunks = F.broadcast(chunks)
+    line = F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1 + header_lines)
+    return (d.join(chunks.select("_f", "_p", "_m0", "_off"), ["_f", "_p"])
+            .withColumn(col, line).drop("_f", "_p", "_m", "_m0", "_off"))
+
+
 # ---------------------------------------------------------------- audit log
 
 # The audit-log partition projection.
