@@ -116,3 +116,16 @@ def test_line_numbers_across_splits(spark, tmp_dir):
         assert len(rows) == 3705 and all(int(r.id[1:]) + 2 == r.line for r in rows)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_compaction_recovers_a_half_done_swap(spark, tmp_dir):
+    from tidewater.session import rename_path
+    path = os.path.join(tmp_dir, "t")
+    spark.range(100).withColumn("p", F.lit("x")).write.partitionBy("p").parquet(path)
+    spark.range(100).withColumn("p", F.lit("x")).coalesce(1).write.partitionBy("p").parquet(path + "__compacted")
+    rename_path(spark, path, path + "__old")          # the driver died right here
+    assert sinks.recover_compaction(spark, path) == "finished swap"
+    assert spark.read.parquet(path).count() == 100 and not os.path.exists(path + "__old")
+    spark.range(5).write.parquet(path + "__compacted")  # an unverified leftover
+    assert sinks.recover_compaction(spark, path) == "discarded unverified"
+    assert sinks.recover_compaction(spark, path) == "nothing"
