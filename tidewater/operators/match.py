@@ -132,7 +132,8 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
 
     * prefix: only the ``|A| - ceil(s|A|) + 1`` rarest tokens of a set are
       joined (``s = 1 - max_distance``);
-    * length: ``s|A| <= |B| <= |A|/s``;
+    * length: ``s|A| <= |B| <= |A|/s``, also folded into the join key as
+      logarithmic size bands;
     * position: if the last shared prefix token sits at positions ``i`` and
       ``j`` after ``c`` shared prefix tokens, every other shared token comes
       later in both sets, so ``overlap <= c + min(|A| - i, |B| - j)``; pairs
@@ -168,8 +169,19 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                                           "tok", F.col("pos").alias("ia"))
     pb = prefix.filter("side = 1").select(F.col("rep").alias("kb"), F.col("n").alias("nb"),
                                           "tok", F.col("pos").alias("ib"))
+    join_keys = ["tok"]
+    if s > 0.0:
+        # length bands: size n sits in band floor(log_{1/s} n); a partner's size is within a
+        # factor 1/s, so its band is one of three -- replicate the left row into those and
+        # the length filter becomes part of the equi-join key (a hot token's group is only
+        # enumerated between compatible sizes)
+        lb = F.log(1.0 / s, F.col("na"))
+        pa = pa.withColumn("lb", F.explode(F.sequence(F.floor(lb - F.lit(1.0 + 1e-9)).cast("int"),
+                                                      F.floor(lb + F.lit(1.0 + 1e-9)).cast("int"))))
+        pb = pb.withColumn("lb", F.floor(F.log(1.0 / s, F.col("nb"))).cast("int"))
+        join_keys = ["tok", "lb"]
     need = F.lit(s) * (F.col("na") + F.col("nb")) / F.lit(1.0 + s) - F.lit(1e-9)
-    cand = (pa.join(pb, "tok")
+    cand = (pa.join(pb, join_keys)
             .filter((F.col("nb") >= F.col("na") * F.lit(s)) & (F.col("na") >= F.col("nb") * F.lit(s)))
             .groupBy("ka", "kb")
             .agg(F.count(F.lit(1)).alias("c"), F.max("ia").alias("i"), F.max("ib").alias("j"),
