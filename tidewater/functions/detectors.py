@@ -22,6 +22,8 @@ class Detector:
     regex: str
     keywords: tuple[str, ...] = field(default_factory=tuple)
     max_distance: int = 300
+    # a literal every match contains: cells without it skip the regex entirely
+    hint: str | None = None
 
     def proximity_regex(self) -> str:
         """``(?s)(?i:kw1|kw2).{0,N}?(regex)`` -- the match is group 1.
@@ -34,11 +36,13 @@ class Detector:
     def hits(self, value: Column, column_name: Column) -> Column:
         """Number of matches in one cell (0 when none)."""
         bare = F.size(F.regexp_extract_all(value, F.lit(f"({self.regex})"), 1))
-        if not self.keywords:
-            return bare
-        near = F.size(F.regexp_extract_all(value, F.lit(self.proximity_regex()), 1))
-        under = F.lower(column_name).isin([k.lower() for k in self.keywords])
-        return F.when(under, bare).otherwise(near)
+        if self.keywords:
+            near = F.size(F.regexp_extract_all(value, F.lit(self.proximity_regex()), 1))
+            under = F.lower(column_name).isin([k.lower() for k in self.keywords])
+            bare = F.when(under, bare).otherwise(near)
+        if self.hint:
+            return F.when(F.instr(value, self.hint) > 0, bare).otherwise(F.lit(0))
+        return bare
 
 
 # Fixed values. The strategy-code detector's pattern, keywords and distance;
@@ -48,10 +52,12 @@ STRATEGY_CODE = Detector(
     regex=r"STRAT-[A-Z]{3}-[0-9]{2}",
     keywords=("内部戦略コード", "戦略コード"),
     max_distance=300,
+    hint="STRAT-",
 )
 EMAIL = Detector(
     name="email-address",
     regex=r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    hint="@",
 )
 SECRET_TOKEN = Detector(
     name="secret-token",
