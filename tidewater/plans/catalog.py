@@ -262,8 +262,9 @@ def _doc_features(spark, d):
     """One pass over documents: side, key digest, empty flag, token set.
 
     The NFKC UDF and the tokenizer run once per document; the result is
-    checkpointed to the shared folder so the anti-joins and the similarity
-    join read it instead of re-running them.
+    written as a Parquet table in the shared checkpoint folder so the
+    anti-joins and the similarity join read it instead of re-running them
+    (columnar: the key-only reads of the anti-joins skip the token arrays).
     """
     from ..functions.text import det_key, digest, token_set
     from ..session import materialize
@@ -271,7 +272,6 @@ def _doc_features(spark, d):
     f = det_key(docs, ["text"]).select(
         "doc_id", S.is_current(F.col("source")).alias("cur"),
         digest("det_key").alias("kd"), "det_key_empty", token_set("text").alias("toks"))
-    # columnar: the key-only reads of the anti-joins skip the token arrays
     return materialize(f.filter(F.col("cur").isNotNull()), "doc_features", how="parquet")
 
 
