@@ -129,3 +129,12 @@ def test_compaction_recovers_a_half_done_swap(spark, tmp_dir):
     spark.range(5).write.parquet(path + "__compacted")  # an unverified leftover
     assert sinks.recover_compaction(spark, path) == "discarded unverified"
     assert sinks.recover_compaction(spark, path) == "nothing"
+
+
+def test_spread_for_cpu_only_when_few_splits(spark):
+    from tidewater.session import spread_for_cpu
+    slots = spark.sparkContext.defaultParallelism
+    small = spark.range(100).coalesce(1)
+    assert spread_for_cpu(small, "id").rdd.getNumPartitions() == max(slots, 1)
+    wide = spark.range(0, 1000, numPartitions=slots + 3)
+    assert spread_for_cpu(wide, "id") is wide  # no shuffle added

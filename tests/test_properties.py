@@ -57,3 +57,29 @@ def test_scd2_equals_python(spark, days):
             end = nxt - dt.timedelta(days=1) if nxt else dt.date(9999, 12, 31)
             want.append((k, v, d, end, nxt is None))
     assert got == sorted(want, key=key)
+
+
+PIECES = ["from ", "FROM ", "join ", "JOIN ", "(", "select 1 ", '"', "`", ".", "a", "b1", "sys",
+          "information_schema", "unnest", "json_table", "x_y", "$", " ", "\n"]
+
+
+@settings(**SETTINGS)
+@given(queries=st.lists(st.lists(st.sampled_from(PIECES), max_size=14).map("".join), min_size=1, max_size=6))
+def test_table_refs_equal_python_regex(spark, queries):
+    import re
+
+    from tidewater.functions.sqlrefs import REJECT_PREFIXES, SYSTEM_SCHEMA, TABLE_REF
+    from tidewater.operators import usage
+
+    rows = [(f"q{i}", "2025-07-01T00:00:00Z", q) for i, q in enumerate(queries)]
+    df = spark.createDataFrame(rows, "qid string, submitted string, query string")
+    got = sorted((r.qid, r.tbl) for r in usage.query_table_refs(df).collect())
+    want = set()
+    for qid, _, q in rows:
+        for raw in re.findall(TABLE_REF, q.lower()):
+            if raw.startswith(REJECT_PREFIXES) or re.match(SYSTEM_SCHEMA, raw):
+                continue
+            t = re.sub(r'[`"]', "", raw)
+            parts = t.split(".")
+            want.add((qid, ".".join(parts[1:]) if len(parts) == 3 else t))
+    assert got == sorted(want)
