@@ -38,17 +38,20 @@ SIMILARITY_THRESHOLD = 1.0
 
 def exact_match_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                       key: str = "det_key", empty_col: str | None = None,
-                      out_left: str = "v2_id", out_right: str = "lg_id") -> DataFrame:
+                      out_left: str = "v2_id", out_right: str = "lg_id",
+                      key_is_digest: bool = False) -> DataFrame:
     """Each left row whose key occurs on the right, linked to the right group.
 
     Columns: ``out_left``, ``out_right`` (smallest right id with that key),
-    ``n_right`` (right rows with that key), ``key_sha256``.
+    ``n_right`` (right rows with that key), ``key_sha256`` (``key`` itself
+    when it already is the digest).
     """
     def keyed(df, idc):
         d = df
         if empty_col and empty_col in df.columns:
             d = d.filter(~F.col(empty_col))
-        return d.select(F.col(idc).alias("_id"), digest(key).alias("key_sha256"))
+        k = F.col(key) if key_is_digest else digest(key)
+        return d.select(F.col(idc).alias("_id"), k.alias("key_sha256"))
 
     r = (keyed(right, right_id).groupBy("key_sha256")
          .agg(F.min("_id").alias(out_right), F.count(F.lit(1)).alias("n_right")))

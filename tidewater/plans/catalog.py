@@ -236,20 +236,19 @@ def q_tokenize(spark, d):
 
 @query("exact_match_pairs")
 def q_exact_match_pairs(spark, d):
-    cur, leg = S.doc_sides(spark, d)
-    return match.exact_match_pairs(cur, leg, "doc_id", "doc_id", empty_col="det_key_empty")
+    f = _doc_features(spark, d)
+    return match.exact_match_pairs(f.filter("cur"), f.filter("NOT cur"), "doc_id", "doc_id",
+                                   key="kd", empty_col="det_key_empty", key_is_digest=True)
 
 
 @query("unmatched_left")
 def q_unmatched_left(spark, d):
-    cur, leg = S.doc_sides(spark, d)
-    return match.unmatched(cur, leg, empty_col="det_key_empty").select("doc_id")
+    return _remainders(spark, d)[0].select("doc_id")
 
 
 @query("unmatched_right")
 def q_unmatched_right(spark, d):
-    cur, leg = S.doc_sides(spark, d)
-    return match.unmatched(leg, cur, empty_col="det_key_empty").select("doc_id")
+    return _remainders(spark, d)[1].select("doc_id")
 
 
 @query("load_counts")
