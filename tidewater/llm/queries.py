@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe
+from tidewater.llm import bpe, langid, quality_gam
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,20 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> bytes:
         return f.read()
 
 
+def _remainder(by: int):
+    """crc32 of the document id as text, modulo ``by`` (a null id counts as empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(by))
+
+
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_gam.train(docs, labels.filter(_remainder(3) != 1))
+    return quality_gam.score(docs, model).select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file(), ids_col="ids", decoded_col="decoded")
@@ -30,7 +44,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(_remainder(5) != 0))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_quality_gam": op1_quality_gam,
+    "op9_langid": op9_langid,
     "op7_bpe": op7_bpe,
 }
 

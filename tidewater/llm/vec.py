@@ -54,7 +54,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
-           max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+           max_bytes: int = 1 << 20, max_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``max_bytes`` of ``column``
     each (a longer text is a slice of its own, whole)."""
     for batch in batches:
@@ -66,7 +66,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
         at = 0
         while at < n:
             base = total[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(total, base + max_bytes, side="right")))
+            to = max(at + 1, min(at + max_rows, int(np.searchsorted(total, base + max_bytes, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 
