@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, quality_gam
+from tidewater.llm import bpe, langid, quality_gam, reply_trees
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,42 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                              "conv_id long, turn long, role string, text string"))
+    out = reply_trees.format_paths(reply_trees.best_paths(reply_trees.chain(rows)))
+    turns = reply_trees.read_back(F.col("formatted"))
+    loss = F.array_join(reply_trees.read_loss(F.col("formatted"), F.col("loss_mask")), "")
+    return out.select(
+        F.col("conv").alias("conv_id"), F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+               .cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+_OP3_SQL = r"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, (length(role) + length(text)
+        + length(role || chr(0) || text) - length(replace(role || chr(0) || text, '\', ''))
+        + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '<s>', ''))) // 3
+        + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '</s>', ''))) // 4
+        + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '[INST]', ''))) // 6
+        + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '[/INST]', ''))) // 7
+        + 20) AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file(), ids_col="ids", decoded_col="decoded")
@@ -54,7 +90,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op9_langid": op9_langid,
+    "op3_reply_trees": op3_reply_trees,
     "op7_bpe": op7_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_reply_trees": _OP3_SQL,
+}
