@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, quality_gam, reply_trees
+from tidewater.llm import bpe, langid, quality_gam, reply_trees, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def derive(df: DataFrame) -> DataFrame:
+        df = winnowing.add_fingerprint(df, "text", "fp")
+        return df.withColumn("hs", winnowing.hashes(F.col("fp")))
+
+    both = winnowing.with_next(docs, "doc_id", derive=derive)
+    n = F.length("text")
+    part = F.floor(n / 4).cast("int")
+    both = both.withColumn("n_chars", n.cast("long")).withColumn(
+        "edited", F.concat(F.left("text", n - part), F.left("next_text", part))).drop("text", "next_text", "next_fp")
+    both = winnowing.add_fingerprint(both, "edited", "edited_fp").withColumn(
+        "edited_hs", winnowing.hashes(F.col("edited_fp")))
+
+    def digest(c: str):
+        return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(c)), 16, "0"), F.lpad(F.hex(F.xxhash64(c, F.lit(5))), 16, "0")))
+
+    return both.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        digest("fp").alias("fingerprint"), digest("edited_fp").alias("edited_fingerprint"),
+        winnowing.likeness(F.col("hs"), F.col("edited_hs")).alias("near_edited"),
+        winnowing.likeness(F.col("hs"), F.col("next_hs")).alias("near_next"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file(), ids_col="ids", decoded_col="decoded")
@@ -91,6 +116,7 @@ QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op9_langid": op9_langid,
     "op3_reply_trees": op3_reply_trees,
+    "op5_winnowing": op5_winnowing,
     "op7_bpe": op7_bpe,
 }
 
