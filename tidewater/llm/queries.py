@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, quality_gam, reply_trees, winnowing
+from tidewater.llm import bpe, cube_mix, langid, quality_gam, reply_trees, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,13 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnowing.likeness(F.col("hs"), F.col("next_hs")).alias("near_next"))
 
 
+def op6_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return cube_mix.mix(docs).select(
+        "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file(), ids_col="ids", decoded_col="decoded")
@@ -117,6 +124,7 @@ QUERIES = {
     "op9_langid": op9_langid,
     "op3_reply_trees": op3_reply_trees,
     "op5_winnowing": op5_winnowing,
+    "op6_cube_mix": op6_cube_mix,
     "op7_bpe": op7_bpe,
 }
 
