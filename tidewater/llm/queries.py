@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, langid, quality_gam, reply_trees, winnowing
+from tidewater.llm import bpe, cube_mix, embed_dedup, langid, quality_gam, reply_trees, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,9 +119,14 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op9_langid": op9_langid,
+    "op10_embed_dedup": op10_embed_dedup,
     "op3_reply_trees": op3_reply_trees,
     "op5_winnowing": op5_winnowing,
     "op6_cube_mix": op6_cube_mix,
