@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, embed_dedup, langid, quality_gam, reply_trees, winnowing
+from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, quality_gam, reply_trees, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +112,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_chunks.dedup(docs, counts=("n_lines", "n_removed"))
+    kept = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.length(kept).cast("long").alias("kept_chars"),
+                      F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.filter(_remainder(5) != 0))
@@ -125,6 +133,7 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
+    "op8_line_chunks": op8_line_chunks,
     "op9_langid": op9_langid,
     "op10_embed_dedup": op10_embed_dedup,
     "op3_reply_trees": op3_reply_trees,
