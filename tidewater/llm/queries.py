@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, quality_gam, reply_trees, winnowing
+from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, quality_gam, reply_trees, substring_dedup, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.remove_spans(docs, substring_dedup.repeated_spans(docs))
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
@@ -137,6 +144,7 @@ QUERIES = {
     "op9_langid": op9_langid,
     "op10_embed_dedup": op10_embed_dedup,
     "op3_reply_trees": op3_reply_trees,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_winnowing": op5_winnowing,
     "op6_cube_mix": op6_cube_mix,
     "op7_bpe": op7_bpe,
