@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, quality_gam, reply_trees, substring_dedup, winnowing
+from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
@@ -143,6 +147,7 @@ QUERIES = {
     "op8_line_chunks": op8_line_chunks,
     "op9_langid": op9_langid,
     "op10_embed_dedup": op10_embed_dedup,
+    "op2_ngram_join": op2_ngram_join,
     "op3_reply_trees": op3_reply_trees,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_winnowing": op5_winnowing,
