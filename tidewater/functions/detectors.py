@@ -26,12 +26,15 @@ class Detector:
     hint: str | None = None
 
     def proximity_regex(self) -> str:
-        """``(?s)(?i:kw1|kw2).{0,N}?(regex)`` -- the match is group 1.
+        """A match (group 1) that some keyword precedes by at most N characters.
 
-        Keywords match case-insensitively; the value pattern as written.
+        The look-behind is bounded and consumes nothing, so every match near a
+        keyword counts, also several after one; the look-ahead in front skips
+        positions where no match begins. Keywords match case-insensitively,
+        the value pattern as written.
         """
         kws = "|".join(re.escape(k) for k in self.keywords)
-        return f"(?s)(?i:{kws}).{{0,{self.max_distance}}}?({self.regex})"
+        return f"(?s)(?={self.regex})(?<=(?i:{kws}).{{0,{self.max_distance}}})({self.regex})"
 
     def hits(self, value: Column, column_name: Column) -> Column:
         """Number of matches in one cell (0 when none)."""

@@ -10,33 +10,35 @@ the row count of a hot key. The point-in-time lookup is an as-of merge
 done with the same kind of window (union fact + dimension rows, carry the
 last version forward) instead of a range join, so a key with many versions
 costs O(rows) not O(facts x versions). The calendar is built from a single
-``sequence`` of at most (max - min + 1) days; it is broadcast only after
-that bound is checked.
+``sequence`` of (max - min + 1) days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Fixed values (ours, the reference leaves them open): open rows end on this date,
 # ISO weekday with weekend = 6, 7, fiscal year starts in April.
 SCD2_OPEN_END = "9999-12-31"
 FISCAL_START_MONTH = 4
-MAX_BROADCAST_CALENDAR_DAYS = 200_000
 
 
-def latest_snapshot(df: DataFrame, keys: list[str], order_col: str = "ingest_date",
-                    tiebreak: list[str] | None = None) -> DataFrame:
+def latest_snapshot(df: DataFrame, keys: list[str], order_col: str, tiebreak: list[str]) -> DataFrame:
     """Newest row per key (by ``order_col`` desc, then ``tiebreak`` desc).
 
-    Done as ``max_by`` over a struct in a hash aggregate, which combines
-    map-side, rather than a window that would sort all rows of a hot key in
-    one task.
+    ``tiebreak`` names at least one column that tells loads of one date apart
+    (a load sequence); rows that tie in it too are ordered by their values, so
+    the result never depends on the order in which rows arrive. Done as
+    ``max_by`` over a struct in an aggregate, which combines map-side, rather
+    than a window that would sort all rows of a hot key in one task.
     """
-    cols = [c for c in df.columns]
-    ordering = F.struct(F.col(order_col), *[F.col(t) for t in (tiebreak or [])])
-    payload = F.struct(*[F.col(c) for c in cols])
+    if not tiebreak:
+        raise ValueError("latest_snapshot needs a tiebreak column")
+    payload = F.struct(*[F.col(c) for c in df.columns])
+    ordering = F.struct(F.col(order_col), *[F.col(t) for t in tiebreak], payload)
     return (df.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_row"))
             .select("_row.*"))
 
@@ -55,7 +57,7 @@ def scd2_dimension(daily: DataFrame, key: str, day_col: str, attrs: list[str],
     A row starts a version when its attribute tuple differs (null-safe) from
     the previous day's; the version ends the day before the next one starts,
     open versions end on ``open_end`` and carry ``current_flag``. The
-    surrogate key is ``xxhash64(key, start)`` -- stable across reruns.
+    surrogate key is :func:`surrogate_key` of the key and the start.
     """
     w = Window.partitionBy(key).orderBy(day_col)
     tup = F.struct(*[F.col(a) for a in attrs])
@@ -71,10 +73,17 @@ def scd2_dimension(daily: DataFrame, key: str, day_col: str, attrs: list[str],
                    .alias("effective_end_date"),
                    F.col("_next").isNull().alias("current_flag")))
     if sk_col:
-        out = out.withColumn(sk_col, F.xxhash64(F.col(key), F.col("effective_start_date")))
+        out = out.withColumn(sk_col, surrogate_key(F.col(key), F.col("effective_start_date")))
     return out
 
 
+def surrogate_key(key: Column, start: Column) -> Column:
+    """60 bits of ``md5(key|start)`` as a long: stable across reruns, and
+    any engine with md5 computes the same."""
+    text = F.concat_ws("|", key.cast("string"), F.date_format(start, "yyyy-MM-dd"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def scd2_refresh(dim: DataFrame, history: DataFrame, new_rows: DataFrame, key: str, day_col: str,
                  attrs: list[str], sk_col: str | None = "dim_sk",
                  open_end: str = SCD2_OPEN_END) -> DataFrame:
@@ -82,14 +91,15 @@ def scd2_refresh(dim: DataFrame, history: DataFrame, new_rows: DataFrame, key: s
 
     ``history`` holds the daily rows the current ``dim`` was built from;
     ``new_rows`` may fall anywhere in time (before, between or after known
-    days). The keys they touch are rebuilt from their complete history (a
+    days); of a known day the new row wins. The keys they touch are rebuilt from their complete history (a
     semi-join, so only those keys' rows move); every other key keeps its
     rows from ``dim``. Equal to a full rebuild, at the cost of the changed
     keys only.
     """
-    affected = new_rows.select(key).distinct()
-    touched = history.unionByName(new_rows).join(affected, key, "left_semi")
-    touched = latest_snapshot(touched, [key, day_col], day_col)  # a reload of a known day wins
+    affected = materialize(new_rows.select(key).distinct(), "affected", "parquet")
+    both = history.withColumn("_load", F.lit(0)).unionByName(new_rows.withColumn("_load", F.lit(1)))
+    touched = both.join(affected, key, "left_semi")
+    touched = latest_snapshot(touched, [key, day_col], day_col, ["_load"]).drop("_load")
     rebuilt = scd2_dimension(touched, key, day_col, attrs, sk_col=sk_col, open_end=open_end)
     return dim.join(affected, key, "left_anti").unionByName(rebuilt.select(*dim.columns))
 
@@ -184,19 +194,11 @@ def asof_version(fact: DataFrame, dim: DataFrame, key: str, day_col: str,
 
 
 def fact_performance(nav: DataFrame, dim: DataFrame, calendar: DataFrame, key: str,
-                     day_col: str, carry: list[str] | None = None,
-                     max_broadcast_days: int = MAX_BROADCAST_CALENDAR_DAYS) -> DataFrame:
-    """Daily fact with the dimension version and the ``date_sk``.
-
-    The calendar side is broadcast only when its row count -- bounded by the
-    date span, checked here -- is under ``max_broadcast_days``; otherwise the
-    equi-join is left to the planner.
-    """
+                     day_col: str, carry: list[str] | None = None) -> DataFrame:
+    """Daily fact with the dimension version and the ``date_sk`` (an
+    equi-join on the day, left to the planner)."""
     f = asof_version(nav, dim, key, day_col, carry=carry)
     cal = calendar.select(F.col("date_value").alias(day_col), "date_sk")
-    span = calendar.agg(F.count(F.lit(1))).first()[0] if max_broadcast_days else None
-    if span is not None and span <= max_broadcast_days:
-        cal = F.broadcast(cal)
     return f.join(cal, day_col, "left")
 
 
@@ -214,9 +216,15 @@ FUND_ATTRS = ["fund_category", "trust_fee_rate", "is_active", "fund_name", "nick
 
 def build_gold(master_snapshots: DataFrame, nav: DataFrame, id_col: str = "fund_id",
                snapshot_col: str = "ingest_date", date_col: str = "base_date",
-               value_col: str = "nav_price", attrs: list[str] | None = None) -> dict[str, DataFrame]:
+               value_col: str = "nav_price", attrs: list[str] | None = None,
+               load_seq: str = "load_seq") -> dict[str, DataFrame]:
     """The gold star schema from bronze snapshots and NAV rows.
 
+    Both inputs carry ``snapshot_col`` (the load date) and ``load_seq`` (which
+    of several loads of one date is the newest); the newest load of a master
+    day, and of a (fund, day) price, counts, so a corrected price replaces the
+    earlier one whether higher or lower.
+
     * ``dim_fund``: SCD2 over the master snapshots, ``fund_sk`` surrogate key;
     * ``dim_date``: calendar spanning the NAV dates (``date_sk`` = yyyyMMdd);
     * ``fact``: one row per (fund, day) with the day-over-day change, the
@@ -224,10 +232,9 @@ def build_gold(master_snapshots: DataFrame, nav: DataFrame, id_col: str = "fund_
     * ``wide``: the fact with the attributes of that version.
     """
     attrs = [a for a in (attrs or FUND_ATTRS) if a in master_snapshots.columns]
-    daily_master = latest_snapshot(master_snapshots, [id_col, snapshot_col], snapshot_col)
+    daily_master = latest_snapshot(master_snapshots, [id_col, snapshot_col], snapshot_col, [load_seq])
     dim = scd2_dimension(daily_master, id_col, snapshot_col, attrs, sk_col="fund_sk")
-    daily_nav = (nav.groupBy(id_col, date_col)
-                 .agg(F.max(value_col).alias(value_col)))  # one price per fund and day
+    daily_nav = latest_snapshot(nav, [id_col, date_col], snapshot_col, [load_seq]).select(id_col, date_col, value_col)
     changes = nav_change(daily_nav, id_col, date_col, value_col)
     cal = calendar_for(changes, date_col)
     fact = fact_performance(changes, dim, cal, id_col, date_col, carry=["fund_sk"])

@@ -11,29 +11,32 @@ Scale notes
   partial aggregate, and each current row then links to that one row.
   Output is linear in the input.
 * The similarity join is exact Jaccard with prefix filtering: tokens are
-  ordered rarest-first by document frequency, and two sets can only reach
-  similarity ``s`` if their first ``|A| - ceil(s|A|) + 1`` tokens meet.
-  Candidates come from an equi-join on those prefix tokens (plus the length
-  bound ``s|A| <= |B| <= |A|/s``) and are verified with
-  ``array_intersect``. Identical token sets on one side are collapsed first,
-  so a hot group of copies costs one row, not a quadratic block.
-* MinHash LSH uses MLlib's MinHash for the signatures and our own banding
-  (AND within a band, OR across bands) as an equi-join on band hashes, then
-  verifies candidates exactly.
+  ordered rarest-first by document frequency (on 64-bit token hashes), and
+  the threshold is a fraction, so the prefix lengths are exact integers. The
+  shorter set of a pair needs a shorter prefix than the longer one; a common
+  word of short names falls out of both. Candidates are verified on the real
+  tokens. Identical token sets on one side are collapsed first, by digest, so
+  a hot group of copies costs one row, not a quadratic block; the member
+  tables tell which rows stand behind a set or key, linear in the input.
+* MinHash LSH (AND within a band, OR across bands) is an equi-join on band
+  hashes over the same collapsed sets, verified exactly. The signatures come
+  from portable integer arithmetic on md5 values, or from MLlib.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TOKEN_PATTERN, digest, token_set
 from ..session import materialize
 
-# The reference's matching defaults.
-TF_NUM_FEATURES = 512
-LSH_NUM_HASH_TABLES = 8
-SIMILARITY_THRESHOLD = 1.0
+MAX_DISTANCE = 0.5
+LSH_BANDS, LSH_ROWS = 10, 4
+TF_NUM_FEATURES = 1 << 18
+_MINHASH_PRIME = (1 << 31) - 1
 
 
 def exact_match_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -60,6 +63,23 @@ def exact_match_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id:
             .select(out_left, out_right, "n_right", "key_sha256"))
 
 
+def exact_match_members(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
+                        key: str = "det_key", empty_col: str | None = None,
+                        key_is_digest: bool = False) -> DataFrame:
+    """J1, complete: (key_sha256, side, id) of every row of either side whose
+    key stands on both (side 0 = left). Joining it with itself on the key gives
+    all matched pairs; the table itself is linear in the input."""
+    def keyed(df, idc, side):
+        d = df.filter(~F.col(empty_col)) if empty_col and empty_col in df.columns else df
+        k = F.col(key) if key_is_digest else digest(key)
+        return d.select(k.alias("key_sha256"), F.lit(side).alias("side"), F.col(idc).alias("id"))
+
+    rows = keyed(left, left_id, 0).unionByName(keyed(right, right_id, 1))
+    both = (rows.groupBy("key_sha256").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+            .filter("lo < hi").select("key_sha256"))
+    return rows.join(both, "key_sha256")
+
+
 def unmatched(side: DataFrame, other: DataFrame, key: str = "det_key",
               empty_col: str | None = None, key_is_digest: bool = False) -> DataFrame:
     """Rows of ``side`` whose key has no exact counterpart in ``other``.
@@ -105,20 +125,33 @@ def _sets(df: DataFrame, id_col: str, text_col: str | None, tokens_col: str | No
     """Distinct token sets: (side, rep, cnt, toks, n).
 
     Identical sets collapse into one row, keyed by the smallest member id
-    (``rep``, unique within the side). The grouping key is the sorted set
-    itself (exact, and a hash aggregate); partial aggregation runs before
-    the shuffle, so a hot group of copies is already one row per map task.
-    With ``right`` given, both sides go through one aggregation (side 0 =
-    ``df``, side 1 = ``right``).
+    (``rep``, unique within the side). Sets are grouped by the SHA-256 digest
+    of the sorted tokens; the partial aggregate runs before the shuffle, so a
+    hot group of copies is already one row per map task. With ``right`` given,
+    both sides go through one aggregation (side 0 = ``df``, side 1 = ``right``).
     """
     d = _side_tokens(df, id_col, text_col, tokens_col, pattern, 0)
     if right is not None:
         d = d.unionByName(_side_tokens(right, right_id or id_col, text_col, tokens_col, pattern, 1))
-    return (d.groupBy("side", "toks")
-            .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"))
+    return (d.groupBy("side", _set_digest().alias("_d"))
+            .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("cnt"), F.first("toks").alias("toks"))
             .select("side", "rep", "cnt", "toks", F.size("toks").alias("n")))
 
 
+def _set_digest() -> Column:
+    return F.sha2(F.array_join("toks", "\x00"), 256)
+
+
+def set_members(left: DataFrame, right: DataFrame, left_id: str, right_id: str, text_col: str | None = "text",
+                tokens_col: str | None = None, pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """J4, complete: (side, rep, id), the rows behind each representative of
+    the similarity joins (side 0 = left). Rows without tokens are in no set."""
+    d = _side_tokens(left, left_id, text_col, tokens_col, pattern, 0).unionByName(
+        _side_tokens(right, right_id, text_col, tokens_col, pattern, 1)).select("side", "_id", _set_digest().alias("_d"))
+    reps = d.groupBy("side", "_d").agg(F.min("_id").alias("rep"))
+    return d.join(reps, ["side", "_d"]).select("side", "rep", F.col("_id").alias("id"))
+
+
 def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                  max_distance: float, text_col: str | None = "text",
                  tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
@@ -131,10 +164,10 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     ``uni``, ``jaccard_dist``. Distances are computed in double as
     ``1 - inter / union``.
 
-    Filters, all exact (no true pair is lost):
+    Filters, all exact (no true pair is lost), for similarity above ``s``:
 
-    * prefix: only the ``|A| - ceil(s|A|) + 1`` rarest tokens of a set are
-      joined (``s = 1 - max_distance``);
+    * prefix, tokens rarest first: of a pair, the longer set needs its first
+      ``n - floor(s n)`` tokens, the shorter only ``n - floor(2 s n / (1 + s))``;
     * length: ``s|A| <= |B| <= |A|/s``;
     * position: if the last shared prefix token sits at positions ``i`` and
       ``j`` after ``c`` shared prefix tokens, every other shared token comes
@@ -142,42 +175,47 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
       whose bound cannot exceed ``s (|A| + |B|) / (1 + s)`` are dropped
       before any token array is touched.
 
-    The distinct token sets and the ranked prefixes are written as tables in
-    the shared checkpoint folder (``cut_lineage``) because several later
-    stages read each of them.
+    The threshold is read as a decimal fraction, so all bounds are integer
+    arithmetic. The distinct token sets and the ranked prefixes are written as
+    tables in the shared checkpoint folder (``cut_lineage``) because several
+    later stages read each of them.
     """
-    if not 0.0 < max_distance <= 1.0:
+    s = 1 - Fraction(str(max_distance))  # candidates need similarity > s
+    if not 0 <= s < 1:
         raise ValueError("max_distance must be in (0, 1]")
-    s = 1.0 - max_distance  # candidates need similarity > s
+    p, q = s.numerator, s.denominator
     both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
     if cut_lineage:
-        both = materialize(both, "jaccard_sets")
+        both = materialize(both, "jaccard_sets", "parquet")
 
-    exploded = both.select("side", "rep", "n", F.explode("toks").alias("tok"))
+    # order on token hashes: a collision can only join two tokens, and the
+    # candidates it adds are verified on the tokens themselves
+    exploded = both.select("side", "rep", "n", F.explode(F.array_distinct(F.transform("toks", lambda t: F.xxhash64(t)))).alias("tok"))
     dfreq = exploded.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    # prefix length |A| - ceil(s|A|) + 1 (the epsilon only ever lengthens it)
-    plen = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * F.lit(s) - F.lit(1e-9)) + 1)
+    n = F.col("n").cast("long")
     w = Window.partitionBy("side", "rep").orderBy("df", "tok")
     prefix = (exploded.join(dfreq, "tok")
               .withColumn("pos", F.row_number().over(w))
-              .filter(F.col("pos") <= plen)
-              .select("side", "rep", "n", "tok", "pos"))
+              .filter(F.col("pos") <= n - F.floor(n * p / q))
+              .select("side", "rep", "n", "tok", "pos",
+                      (F.col("pos") <= n - F.floor(n * (2 * p) / (q + p))).alias("short")))
     if cut_lineage:
         # both probe sides read it; without this the side filters are pushed
         # below the window and the ranking runs once per side
-        prefix = materialize(prefix, "jaccard_prefix")
+        prefix = materialize(prefix, "jaccard_prefix", "parquet")
 
     pa = prefix.filter("side = 0").select(F.col("rep").alias("ka"), F.col("n").alias("na"),
-                                          "tok", F.col("pos").alias("ia"))
+                                          "tok", F.col("pos").alias("ia"), F.col("short").alias("sa"))
     pb = prefix.filter("side = 1").select(F.col("rep").alias("kb"), F.col("n").alias("nb"),
-                                          "tok", F.col("pos").alias("ib"))
-    need = F.lit(s) * (F.col("na") + F.col("nb")) / F.lit(1.0 + s) - F.lit(1e-9)
-    cand = (pa.join(pb, "tok")
-            .filter((F.col("nb") >= F.col("na") * F.lit(s)) & (F.col("na") >= F.col("nb") * F.lit(s)))
-            .groupBy("ka", "kb")
+                                          "tok", F.col("pos").alias("ib"), F.col("short").alias("sb"))
+    met = (pa.filter("sa").join(pb, "tok").filter((F.col("na") <= F.col("nb")) & (F.col("na") * q >= F.col("nb") * p))
+           .unionByName(pa.join(pb.filter("sb"), "tok").filter(
+               (F.col("na") > F.col("nb")) & (F.col("nb") * q >= F.col("na") * p))))
+    cand = (met.groupBy("ka", "kb")
             .agg(F.count(F.lit(1)).alias("c"), F.max("ia").alias("i"), F.max("ib").alias("j"),
                  F.first("na").alias("na"), F.first("nb").alias("nb"))
-            .filter(F.col("c") + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) > need)
+            .filter((F.col("c") + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))) * (q + p)
+                    > (F.col("na") + F.col("nb")) * p)
             .select("ka", "kb"))
 
     sa = both.filter("side = 0").select(F.col("rep").alias("ka"), F.col("cnt").alias("n_left"),
@@ -197,47 +235,74 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
 
 # ---------------------------------------------------------------- MinHash LSH
 
-def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                        threshold: float = SIMILARITY_THRESHOLD,
-                        num_features: int = TF_NUM_FEATURES,
-                        num_bands: int = LSH_NUM_HASH_TABLES, rows_per_band: int = 1,
-                        seed: int = 1, text_col: str | None = "text",
-                        tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
-                        out_left: str = "v2_id", out_right: str = "lg_id",
-                        cut_lineage: bool = True) -> DataFrame:
-    """J3 + F5 + F6: MinHash-LSH similarity join, distance ``< threshold``.
+def minhash_constants(n: int) -> list[tuple[int, int]]:
+    """(a, b) of the ``n`` hash functions ``(a x + b) mod (2**31 - 1)``: powers
+    of two fixed generators."""
+    return [(pow(48271, j + 1, _MINHASH_PRIME), pow(69621, j + 1, _MINHASH_PRIME)) for j in range(n)]
 
-    Tokens -> ``HashingTF(num_features)`` -> ``MinHashLSH`` with
-    ``num_bands * rows_per_band`` hash functions fitted on the union of both
-    sides (U1). With ``rows_per_band=1`` this is MLlib's
-    ``approxSimilarityJoin`` candidate rule (any one table collides); more
-    rows per band AND the hashes of a band together, which cuts candidates
-    of low similarity. Candidates come from an equi-join on (band, band
-    hash), are deduplicated (A6) and verified with the exact Jaccard
-    distance of the token sets.
 
-    As in :func:`jaccard_join`, identical token sets are collapsed first
-    (columns ``n_left`` / ``n_right`` count the rows behind each
-    representative id), so copies never meet in a bucket pairwise. Rows
-    with no token are skipped (MinHash cannot hash an empty vector).
-    """
+def _md5_bands(both: DataFrame, num_bands: int, rows_per_band: int) -> DataFrame:
+    """(side, rep, band, bh): MinHash of the first 28 bits of each token's md5."""
+    x = both.select("side", "rep", F.transform(
+        "toks", lambda t: F.conv(F.substring(F.md5(t), 1, 7), 16, 10).cast("long")).alias("x"))
+
+    def least_of(a: int, b: int) -> Column:
+        return F.array_min(F.transform("x", lambda v: (v * a + b) % _MINHASH_PRIME))
+
+    least = [least_of(a, b) for a, b in minhash_constants(num_bands * rows_per_band)]
+    keys = [F.concat_ws("-", *least[i * rows_per_band:(i + 1) * rows_per_band]) for i in range(num_bands)]
+    return x.select("side", "rep", F.posexplode(F.array(*keys)).alias("band", "bh"))
+
+
+def _mllib_bands(both: DataFrame, num_features: int, num_bands: int, rows_per_band: int, seed: int) -> DataFrame:
+    """The same from MLlib: ``HashingTF`` (F5), then ``MinHashLSH`` (F6) fitted
+    on the union of both sides (U1)."""
     from pyspark.ml.feature import HashingTF, MinHashLSH
     from pyspark.ml.functions import vector_to_array
 
-    both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
-    if cut_lineage:  # read three times: hashing, and both sides of the verification
-        both = materialize(both, "lsh_sets")
     tf = HashingTF(inputCol="toks", outputCol="tf", numFeatures=num_features).transform(both)
     model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=num_bands * rows_per_band,
                        seed=seed).fit(tf.select("tf"))
     hashed = model.transform(tf).withColumn(
         "h", F.transform("hashes", lambda v: vector_to_array(v)[0]))
-    bands = hashed.select(
+    return hashed.select(
         "side", "rep",
         F.posexplode(F.transform(
             F.sequence(F.lit(0), F.lit(num_bands - 1)),
             lambda i: F.xxhash64(F.slice("h", i * rows_per_band + 1, rows_per_band)))
         ).alias("band", "bh"))
+
+
+def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
+                        threshold: float = MAX_DISTANCE, num_bands: int = LSH_BANDS, rows_per_band: int = LSH_ROWS,
+                        hashing: str = "md5", num_features: int = TF_NUM_FEATURES,
+                        seed: int = 1, text_col: str | None = "text",
+                        tokens_col: str | None = None, pattern: str = TOKEN_PATTERN,
+                        out_left: str = "v2_id", out_right: str = "lg_id",
+                        cut_lineage: bool = True) -> DataFrame:
+    """J3 + F5 + F6: MinHash-LSH similarity join, distance ``< threshold``.
+
+    ``hashing="md5"``: signatures by integer arithmetic on md5 values, the
+    same in any engine. ``hashing="mllib"``: ``HashingTF(num_features)`` and
+    ``MinHashLSH`` with ``seed``; with ``rows_per_band=1`` that is MLlib's
+    ``approxSimilarityJoin`` candidate rule (any one table collides). More
+    rows per band AND the hashes of a band together, which cuts candidates of
+    low similarity. Candidates come from an equi-join on (band, band hash),
+    are deduplicated (A6) and verified with the exact Jaccard distance of the
+    token sets.
+
+    As in :func:`jaccard_join`, identical token sets are collapsed first
+    (columns ``n_left`` / ``n_right`` count the rows behind each
+    representative id), so copies never meet in a bucket pairwise. Rows
+    with no token are skipped (an empty set has no minimum).
+    """
+    both = _sets(left, left_id, text_col, tokens_col, pattern, right, right_id)
+    if cut_lineage:  # read three times: hashing, and both sides of the verification
+        both = materialize(both, "lsh_sets", "parquet")
+    bands = (_md5_bands(both, num_bands, rows_per_band) if hashing == "md5"
+             else _mllib_bands(both, num_features, num_bands, rows_per_band, seed))
+    if cut_lineage:
+        bands = materialize(bands, "lsh_bands", "parquet")
     ka = bands.filter("side = 0").select(F.col("rep").alias("ka"), "band", "bh")
     kb = bands.filter("side = 1").select(F.col("rep").alias("kb"), "band", "bh")
     cand = ka.join(kb, ["band", "bh"]).select("ka", "kb").distinct()
@@ -289,16 +354,17 @@ KEY_FIELDS = ["fund_name", "management_company", "nickname"]
 
 def resolve_masters(current: DataFrame, legacy: DataFrame, id_col: str = "fund_id",
                     key_fields: list[str] | None = None, fee_col: str | None = "trust_fee_rate",
-                    max_distance: float = SIMILARITY_THRESHOLD,
-                    snapshot_col: str | None = "ingest_date") -> dict[str, DataFrame]:
+                    max_distance: float = MAX_DISTANCE,
+                    snapshot_col: str | None = "ingest_date", load_seq: str = "load_seq") -> dict[str, DataFrame]:
     """Exact then similarity matching of two masters, end to end.
 
     1. latest snapshot per id when the inputs carry ``snapshot_col`` (a
        master holds one row per load date; matching on the id alone would
-       fan out over snapshots);
+       fan out over snapshots), the highest ``load_seq`` of a date;
     2. column canonicalisation (P3), composite key (F1, F2), text (F3);
     3. exact pairs (J1), both remainders (J2), exact Jaccard on the
-       remainders (J4), fee difference (J5).
+       remainders (J4), fee difference (J5), and the member tables behind
+       both kinds of pairs.
 
     Returns the named intermediate and final frames; nothing is computed
     until one of them is used.
@@ -312,7 +378,7 @@ def resolve_masters(current: DataFrame, legacy: DataFrame, id_col: str = "fund_i
     def prep(df):
         df = canonicalize_columns(df)
         if snapshot_col and snapshot_col in df.columns:
-            df = latest_snapshot(df, [id_col], snapshot_col)
+            df = latest_snapshot(df, [id_col], snapshot_col, [load_seq])
         df = det_key(df, fields)
         return text_features(df, [f"{f}_norm" for f in fields])
 
@@ -321,6 +387,8 @@ def resolve_masters(current: DataFrame, legacy: DataFrame, id_col: str = "fund_i
            "exact": exact_match_pairs(cur, leg, id_col, id_col, empty_col="det_key_empty"),
            "unmatched_current": unmatched(cur, leg, empty_col="det_key_empty"),
            "unmatched_legacy": unmatched(leg, cur, empty_col="det_key_empty")}
+    out["exact_members"] = exact_match_members(cur, leg, id_col, id_col, empty_col="det_key_empty")
+    out["set_members"] = set_members(out["unmatched_current"], out["unmatched_legacy"], id_col, id_col)
     out["similar"] = jaccard_join(out["unmatched_current"], out["unmatched_legacy"], id_col, id_col,
                                   max_distance, text_col="text")
     if fee_col:

@@ -9,6 +9,8 @@ the scan is one narrow pass; findings are an aggregate over the small
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,32 +36,32 @@ def hash_sample(df: DataFrame, key: str | Column, percentage: int = SAMPLING_PER
     return df.filter(hash_bucket(key) < F.lit(percentage))
 
 
+def object_key(root: str | None = None, path_col: str | None = None) -> Column:
+    """The key of a row's object: ``path_col``, or the file's path below
+    ``root`` whatever scheme or host the reader puts before it, or (without a
+    root) the file name."""
+    if path_col:
+        return F.col(path_col)
+    if root is None:
+        return F.col("_metadata.file_name")
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/")
+    return F.regexp_extract(F.col("_metadata.file_path"), "(?:^|/)" + re.escape(bare) + "/+(.*)$", 1)
+
+
 def in_scope(df: DataFrame, prefixes: list[str], root: str | None = None,
              path_col: str | None = None) -> DataFrame:
     """Keep rows whose object key starts with one of ``prefixes``.
 
-    The object key is ``path_col`` if given, else the file path below
-    ``root`` (``_metadata.file_path``), else the file name.
+    With ``root`` a table that is a folder of part files is in scope as a
+    whole when its folder's key is.
     """
-    if path_col:
-        key = F.col(path_col)
-    elif root:
-        base = root.rstrip("/") + "/"
-        p = F.col("_metadata.file_path")
-        key = F.regexp_extract(p, "^(?:file:)?" + _re_escape(base) + "(.*)$", 1)
-    else:
-        key = F.col("_metadata.file_name")
+    key = object_key(root, path_col)
     cond = F.lit(False)
     for x in prefixes:
         cond = cond | key.startswith(x)
     return df.filter(cond)
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def scan_cells(df: DataFrame, row_key: str, columns: list[str] | None = None,
                detectors: tuple[Detector, ...] = DEFAULT_DETECTORS,
                object_name: str | Column = "object",
@@ -67,15 +69,17 @@ def scan_cells(df: DataFrame, row_key: str, columns: list[str] | None = None,
     """F14 + detectors: one row per (cell, detector) with at least one hit.
 
     Columns: object, row (the key as text), column (1-based position in
-    ``df``, or as given by ``positions``), columnName, detector, hits.
+    ``df``, or as given by ``positions``), columnName, detector, hits. All
+    columns are scanned unless ``columns`` names some, the key's among them.
     """
     all_cols = df.columns
-    cols = columns or [c for c in all_cols if c != row_key]
+    cols = columns or all_cols
     pos = {c: (positions or {}).get(c, all_cols.index(c) + 1) for c in cols}
     obj = F.lit(object_name) if isinstance(object_name, str) else object_name
-    base = df.select(F.col(row_key).cast("string").alias("row"), obj.alias("object"),
+    base = df.select(F.col(row_key).cast("string").alias("__row"), obj.alias("__object"),
                      *[F.col(c).cast("string").alias(c) for c in cols])
-    cells = base.unpivot(["row", "object"], cols, "columnName", "value")
+    cells = base.unpivot(["__row", "__object"], cols, "columnName", "value").withColumnsRenamed(
+        {"__row": "row", "__object": "object"})
     cells = cells.filter(F.col("value").isNotNull())
     colpos = F.element_at(F.create_map(*[x for c, i in pos.items() for x in (F.lit(c), F.lit(i))]),
                           F.col("columnName"))
@@ -96,3 +100,8 @@ def findings(cells: DataFrame) -> DataFrame:
     """
     return (cells.groupBy("object", "detector", "column", "columnName")
             .agg(F.count(F.lit(1)).alias("cells"), F.sum("hits").alias("hits")))
+
+
+def object_totals(found: DataFrame) -> DataFrame:
+    """A5: total matches per object, over all detectors and columns."""
+    return found.groupBy("object").agg(F.sum("hits").alias("total_count"))

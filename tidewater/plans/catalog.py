@@ -8,6 +8,7 @@ input shape is re-pointed). The matching DuckDB SQL lives next to it in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.text import normalize_key, text_features, tokenize
 from ..operators import dims, match, scan, usage
-from ..session import scratch_path, spread_for_cpu
+from ..session import scratch_path
 from ..sources import files, jdbc, sinks
 from . import standins as S
 
@@ -24,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Fixed parameters of the catalogue.
 JACCARD_MAX_DISTANCE = 0.5
-LSH_BANDS, LSH_ROWS, LSH_FEATURES, LSH_SEED = 10, 4, 1 << 18, 7
+LSH_BANDS, LSH_ROWS = 10, 4
 INGEST_DAY = "2025-07-01"
 SNAPSHOT_DAYS = ("2025-06-30", "2025-07-01")
 WATERMARK = "1998-08-01"
@@ -168,23 +169,22 @@ def q_union_snapshots(spark, d):
 
 @query("latest_snapshot")
 def q_latest_snapshot(spark, d):
-    v1, v2 = _snapshots(spark, d)
-    return dims.latest_snapshot(v1.unionByName(v2), ["o_orderkey"], "ingest_date")
+    v1, v2 = (v.withColumn("load_seq", F.lit(i)) for i, v in enumerate(_snapshots(spark, d)))
+    return dims.latest_snapshot(v1.unionByName(v2), ["o_orderkey"], "ingest_date", ["load_seq"]).drop("load_seq")
 
 
 @query("write_audit_publish")
 def q_write_audit_publish(spark, d):
-    main = scratch_path(spark, "orders_main")
+    main, stage = scratch_path(spark, "orders_main"), scratch_path(spark, "orders_stage")
     checks = [sinks.Expectation("key_not_null", F.col("o_orderkey").isNotNull()),
               sinks.Expectation("price_not_negative", F.col("o_totalprice") >= 0)]
-    ok = sinks.write_audit_publish(spark, S.orders_by_month(spark, d, 1), main,
-                                   scratch_path(spark, "orders_stage"), "o_month", checks)
-    bad_batch = S.reload_slice(S.orders_by_month(spark, d, 2)).withColumn(
-        "o_totalprice", -F.col("o_totalprice"))
-    rejected = sinks.write_audit_publish(spark, bad_batch, main,
-                                         scratch_path(spark, "orders_stage"), "o_month", checks)
-    if not ok["published"] or rejected["published"]:
-        raise RuntimeError(f"unexpected audit outcome: {ok} {rejected}")
+    reload = S.reload_slice(S.orders_by_month(spark, d, 2))
+    batches = [S.orders_by_month(spark, d, 1),
+               reload.withColumn("o_totalprice", -F.col("o_totalprice")),  # rejected; same stage
+               reload]
+    got = [sinks.write_audit_publish(spark, b, main, stage, "o_month", checks)["published"] for b in batches]
+    if got != [1, 0, 1]:
+        raise RuntimeError(f"unexpected audit outcome: {got}")
     return spark.read.schema(_month_schema(spark, d)).parquet(main)
 
 
@@ -197,6 +197,18 @@ def q_compact_partitions(spark, d):
     return spark.read.schema(_month_schema(spark, d)).parquet(path)
 
 
+@query("compact_flow_logs")
+def q_compact_flow_logs(spark, d):
+    """Flow logs in many small files per hour; after the compaction the hour
+    folders still bear their two digits, so text ranges select the same rows."""
+    path = scratch_path(spark, "flow_small_files")
+    S.flow_rows(spark, d).repartition(4, "srcport").write.partitionBy(*files.FLOW_PARTITIONS).parquet(path)
+    sinks.compact_partitions(spark, path, list(files.FLOW_PARTITIONS))
+    fl = files.read_flow_logs(spark, path).filter(F.col("hour").between(*FLOW_HOURS))
+    return (fl.groupBy("year", "month", "day", "hour")
+            .agg(F.count(F.lit(1)).alias("flows"), F.sum("bytes").alias("bytes")))
+
+
 # ---------------------------------------------------------------- text
 
 @query("normalize_key")
@@ -271,7 +283,7 @@ def _doc_features(spark, d):
     f = det_key(docs, ["text"]).select(
         "doc_id", S.is_current(F.col("source")).alias("cur"),
         digest("det_key").alias("kd"), "det_key_empty", token_set("text").alias("toks"))
-    return materialize(f.filter(F.col("cur").isNotNull()), "doc_features", how="parquet")
+    return materialize(f, "doc_features", how="parquet")
 
 
 def _remainders(spark, d):
@@ -296,11 +308,49 @@ def q_jaccard_join(spark, d):
 def q_lsh_similarity_join(spark, d):
     a, b = _remainders(spark, d)
     return match.lsh_similarity_join(a, b, "doc_id", "doc_id", threshold=JACCARD_MAX_DISTANCE,
-                                     num_features=LSH_FEATURES, num_bands=LSH_BANDS,
-                                     rows_per_band=LSH_ROWS, seed=LSH_SEED,
+                                     num_bands=LSH_BANDS, rows_per_band=LSH_ROWS,
                                      text_col=None, tokens_col="toks")
 
 
+@query("exact_match_members")
+def q_exact_match_members(spark, d):
+    f = _doc_features(spark, d)
+    return match.exact_match_members(f.filter("cur"), f.filter("NOT cur"), "doc_id", "doc_id",
+                                     key="kd", empty_col="det_key_empty", key_is_digest=True)
+
+
+@query("jaccard_members")
+def q_jaccard_members(spark, d):
+    a, b = _remainders(spark, d)
+    return match.set_members(a, b, "doc_id", "doc_id", text_col=None, tokens_col="toks")
+
+
+@query("match_job")
+def q_match_job(spark, d):
+    """The matching job end to end: features from one table, pairs, members
+    and scores written as named tables (S14) and read back by name (S6)."""
+    f = _doc_features(spark, d)
+    cur, leg = f.filter("cur"), f.filter("NOT cur")
+    how = dict(key="kd", empty_col="det_key_empty", key_is_digest=True)
+    tag = uuid.uuid4().hex[:8]
+
+    def save(df, name):
+        sinks.replace_table(df, scratch_path(spark, name), f"{name}_{tag}")
+        return spark.table(f"{name}_{tag}")
+
+    exact = save(match.exact_match_pairs(cur, leg, "doc_id", "doc_id", **how), "exact_pairs")
+    left = match.unmatched(cur, leg, **how)
+    right = match.unmatched(leg, cur, **how)
+    similar = save(match.jaccard_join(left, right, "doc_id", "doc_id", JACCARD_MAX_DISTANCE,
+                                      text_col=None, tokens_col="toks"), "similar_pairs")
+    docs = S.table(spark, d, "documents")
+    fees = save(match.fee_diff(similar, docs, docs, "doc_id", "doc_id", "n_chars"), "scored_pairs")
+    return (exact.select("v2_id", "lg_id", F.lit("exact").alias("kind"), F.lit(0.0).alias("jaccard_dist"),
+                         F.lit(None).cast("long").alias("fee_diff"))
+            .unionByName(fees.select("v2_id", "lg_id", F.lit("similar").alias("kind"), "jaccard_dist",
+                                     F.col("fee_diff").cast("long").alias("fee_diff"))))
+
+
 @query("fee_diff")
 def q_fee_diff(spark, d):
     docs = S.table(spark, d, "documents")
@@ -367,6 +417,34 @@ def q_fact_performance(spark, d):
                                  carry=["o_orderpriority"])
 
 
+def _gold(spark, d):
+    """Two loads of prices: all days, then the days from 1998 again, one lower;
+    the master is the priority of each customer's newest order of a day."""
+    o = S.daily_orders(spark, d)
+    master = o.select("o_custkey", F.col("base_date").alias("ingest_date"), "o_orderpriority",
+                      F.col("o_orderkey").alias("load_seq"))
+    day = F.col("base_date")
+    first = _daily_nav(spark, d).select("*", F.lit(SNAPSHOT_DAYS[0]).cast("date").alias("ingest_date"),
+                                        F.lit(1).alias("load_seq"))
+    again = first.filter(day >= F.lit(S.RELOAD_FROM).cast("date")).select(
+        "o_custkey", "base_date", (F.col("nav") - 1).cast("decimal(18,4)").alias("nav"),
+        F.lit(SNAPSHOT_DAYS[1]).cast("date").alias("ingest_date"), F.lit(2).alias("load_seq"))
+    return dims.build_gold(master, first.unionByName(again), id_col="o_custkey", value_col="nav",
+                           attrs=["o_orderpriority"])
+
+
+@query("gold_dim_fund")
+def q_gold_dim_fund(spark, d):
+    dim = _gold(spark, d)["dim_fund"]
+    dims.assert_unique(dim, "fund_sk")
+    return dim
+
+
+@query("gold_fact")
+def q_gold_fact(spark, d):
+    return _gold(spark, d)["fact"]
+
+
 @query("daily_wide")
 def q_daily_wide(spark, d):
     cust = S.table(spark, d, "customer").select(
@@ -395,9 +473,7 @@ def q_table_refs_recent(spark, d):
 @query("audit_log_scan")
 def q_audit_log_scan(spark, d):
     root = S.write_audit_log(spark, d)
-    df = files.with_template_partitions(
-        spark.read.schema(files.AUDIT_SCHEMA).json(f"{root}/*/*/*/*/"))
-    return files.audit_flat(df)
+    return files.audit_flat(files.read_audit_log(spark, root))
 
 
 @query("partition_projection")
@@ -422,9 +498,8 @@ def q_flow_log_scan(spark, d):
 # ---------------------------------------------------------------- sensitive scan
 
 def _doc_cells(spark, d):
-    docs = scan.in_scope(S.table(spark, d, "documents"), ["documents"])
-    docs = spread_for_cpu(docs, "doc_id")
-    return scan.scan_cells(docs, "doc_id", ["text", "lang", "source"], object_name="documents")
+    docs = scan.in_scope(S.table(spark, d, "documents"), ["documents"], root=d)
+    return scan.scan_cells(docs, "doc_id", object_name="documents")
 
 
 @query("sensitive_scan")
@@ -439,6 +514,24 @@ def q_sensitive_findings(spark, d):
     return scan.findings(_doc_cells(spark, d).unionByName(lc))
 
 
+@query("sensitive_totals")
+def q_sensitive_totals(spark, d):
+    lc = scan.scan_cells(_legacy_raw(spark, d), "fund_id", object_name="legacy_fund_master")
+    return scan.object_totals(scan.findings(_doc_cells(spark, d).unionByName(lc)))
+
+
+@query("sensitive_lines")
+def q_sensitive_lines(spark, d):
+    """Cell findings of the legacy CSV by line number: one file per bucket,
+    objects sampled as a whole by their key."""
+    root = S.legacy_csv_buckets(spark, d)
+    raw = files.with_line_numbers(files.read_csv(spark, root, schema=S.LEGACY_CSV_SCHEMA)
+                                  .withColumn("object", F.regexp_extract(scan.object_key(root), "^([^/]*)/", 1)))
+    raw = scan.hash_sample(raw, "object")
+    cells = scan.scan_cells(raw, "line", S.LEGACY_HEADERS, object_name=F.col("object"))
+    return cells.select("object", F.col("row").cast("long").alias("line"), "column", "columnName", "detector", "hits")
+
+
 @query("hash_sample")
 def q_hash_sample(spark, d):
     docs = S.table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")

@@ -24,9 +24,9 @@ def two_dp(x: str) -> str:
 
 
 DOCS = f"""d AS (
-  SELECT doc_id, text, n_chars, TRY_CAST(substr(source, 4) AS INTEGER) % 2 = 0 AS cur,
+  SELECT doc_id, text, n_chars, coalesce(TRY_CAST(substr(source, 4) AS INTEGER) % 2 = 0, false) AS cur,
          {N('text')} AS k
-  FROM documents WHERE TRY_CAST(substr(source, 4) AS INTEGER) IS NOT NULL)"""
+  FROM documents)"""
 
 UNMATCHED = """um AS (
   SELECT c.* FROM d c
@@ -49,6 +49,26 @@ j AS (
 """
 JACCARD_PAIRS = JACCARD + ", jp AS (SELECT * FROM j WHERE jaccard_dist < 0.5)\n"
 
+MINHASH_PRIME = 2**31 - 1
+LSH_BANDS, LSH_ROWS = 10, 4
+
+
+def _least(j: int) -> str:
+    """Least value of hash function j over the token numbers ``x``."""
+    a, b = pow(48271, j + 1, MINHASH_PRIME), pow(69621, j + 1, MINHASH_PRIME)
+    return f"list_min(list_transform(x, lambda v: (v * {a} + {b}) % {MINHASH_PRIME}))"
+
+
+LSH = JACCARD + """, xs AS (
+  SELECT cur, rep, list_transform(toks, lambda t: CAST('0x' || substr(md5(t), 1, 7) AS BIGINT)) AS x FROM sets),
+""" + "bands AS (" + "\nUNION ALL ".join(
+    f"SELECT cur, rep, {i} AS band, [" + ", ".join(_least(i * LSH_ROWS + r) for r in range(LSH_ROWS)) + "] AS bh FROM xs"
+    for i in range(LSH_BANDS)) + """),
+met AS (SELECT DISTINCT a.rep AS v2_id, b.rep AS lg_id FROM bands a JOIN bands b
+        ON a.band = b.band AND a.bh = b.bh AND a.cur AND NOT b.cur)
+SELECT j.v2_id, j.lg_id, j.n_left, j.n_right, j.jaccard_dist FROM j JOIN met USING (v2_id, lg_id)
+WHERE j.jaccard_dist < 0.5"""
+
 LEGACY = f"""lg AS (
   SELECT CAST(p_partkey AS VARCHAR) AS fund_id,
          CASE WHEN p_size < 25 THEN 'INDEX' ELSE 'ACTIVE' END AS "投資信託_分類",
@@ -98,6 +118,9 @@ NAV = """navc AS (
            AS price_change_rate_pct
   FROM daily WINDOW w AS (PARTITION BY o_custkey ORDER BY base_date))"""
 
+FUND_SK = ("CAST('0x' || substr(md5(s.o_custkey::VARCHAR || '|' || strftime(s.effective_start_date, '%Y-%m-%d')), 1, 15)"
+           " AS BIGINT)")
+
 CALENDAR = """b AS (SELECT CAST(min(o_orderdate) AS DATE) AS d0, CAST(max(o_orderdate) AS DATE) AS d1 FROM orders),
 cal AS (
   SELECT CAST(strftime(date_value, '%Y%m%d') AS INTEGER) AS date_sk, date_value,
@@ -155,11 +178,23 @@ FROM r"""
 
 EMAIL_RE = r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})"
 STRAT_RE = r"(STRAT-[A-Z]{3}-[0-9]{2})"
-STRAT_NEAR = r"(?s)(?i:内部戦略コード|戦略コード).{0,300}?(STRAT-[A-Z]{3}-[0-9]{2})"
-TOKEN_NEAR = r"(?s)(?i:token).{0,300}?([0-9a-f]{40})"
 TOKEN_RE = r"([0-9a-f]{40})"
 
 
+def near_hits(value: str, regex: str, keywords: list[str], distance: int = 300) -> str:
+    """Matches with a keyword ending at most ``distance`` characters before
+    them: the text before match i is put together from the pieces between the
+    matches, and its tail searched for a keyword (no look-behind in RE2)."""
+    bare = regex.strip("()")
+    before = f"array_to_string(list_zip_text[1:2 * i - 1], '')"
+    tests = " OR ".join(f"contains(lower(right({before}, {distance + len(k)})), '{k}')" for k in keywords)
+    return f"""(SELECT count(*) FROM (
+        SELECT unnest(range(1, len(m) + 1)) AS i, list_zip_text FROM (
+          SELECT m, flatten(list_transform(range(1, len(p) + 1), lambda k: [p[k], coalesce(m[k], '')])) AS list_zip_text
+          FROM (SELECT regexp_extract_all({value}, '{bare}') AS m, regexp_split_to_array({value}, '{bare}') AS p)))
+      WHERE {tests})"""
+
+
 def cell_hits(cells: str) -> str:
     return f"""h AS (
   SELECT object, row, "column", columnName, 'email-address' AS detector,
@@ -168,27 +203,28 @@ def cell_hits(cells: str) -> str:
   SELECT object, row, "column", columnName, 'strategy-code-detector',
          CASE WHEN lower(columnName) IN ('内部戦略コード', '戦略コード')
               THEN len(regexp_extract_all(value, '{STRAT_RE}', 1))
-              ELSE len(regexp_extract_all(value, '{STRAT_NEAR}', 1)) END FROM {cells}
+              ELSE {near_hits('value', STRAT_RE, ['内部戦略コード', '戦略コード'])} END FROM {cells}
   UNION ALL
   SELECT object, row, "column", columnName, 'secret-token',
          CASE WHEN lower(columnName) IN ('token')
               THEN len(regexp_extract_all(value, '{TOKEN_RE}', 1))
-              ELSE len(regexp_extract_all(value, '{TOKEN_NEAR}', 1)) END FROM {cells})"""
+              ELSE {near_hits('value', TOKEN_RE, ['token'])} END FROM {cells})"""
 
 
 DOC_CELLS = """dc AS (
   SELECT 'documents' AS object, CAST(doc_id AS VARCHAR) AS row, c.pos AS "column", c.name AS columnName,
-         CASE c.name WHEN 'text' THEN text WHEN 'lang' THEN lang ELSE source END AS value
-  FROM documents CROSS JOIN (VALUES ('text', 2), ('lang', 3), ('source', 4)) AS c(name, pos))"""
+         CASE c.name WHEN 'doc_id' THEN CAST(doc_id AS VARCHAR) WHEN 'text' THEN text WHEN 'lang' THEN lang
+                     WHEN 'source' THEN source ELSE CAST(n_chars AS VARCHAR) END AS value
+  FROM documents CROSS JOIN (VALUES ('doc_id', 1), ('text', 2), ('lang', 3), ('source', 4), ('n_chars', 5)) AS c(name, pos))"""
 
 LEGACY_CELLS = f"""{LEGACY},
 lc AS (
   SELECT 'legacy_fund_master' AS object, fund_id AS row, c.pos AS "column", c.name AS columnName,
-         CASE c.name WHEN '投資信託_分類' THEN "投資信託_分類" WHEN '信託報酬_率' THEN "信託報酬_率"
+         CASE c.name WHEN 'fund_id' THEN fund_id WHEN '投資信託_分類' THEN "投資信託_分類" WHEN '信託報酬_率' THEN "信託報酬_率"
                      WHEN '有効レコード' THEN "有効レコード" WHEN 'ファンド名' THEN "ファンド名"
                      WHEN '愛称' THEN "愛称" WHEN '運用会社' THEN "運用会社"
                      WHEN '隠れコスト' THEN "隠れコスト" ELSE "内部戦略コード" END AS value
-  FROM lg CROSS JOIN (VALUES ('投資信託_分類', 2), ('信託報酬_率', 3), ('有効レコード', 4), ('ファンド名', 5),
+  FROM lg CROSS JOIN (VALUES ('fund_id', 1), ('投資信託_分類', 2), ('信託報酬_率', 3), ('有効レコード', 4), ('ファンド名', 5),
                              ('愛称', 6), ('運用会社', 7), ('隠れコスト', 8), ('内部戦略コード', 9)) AS c(name, pos))"""
 
 
@@ -227,7 +263,11 @@ SELECT fund_id, fund_category, CAST(trust_fee_rate AS DECIMAL(5,2)) AS trust_fee
                                   o_totalprice,
                                   CASE WHEN {RELOAD} THEN DATE '2025-07-01' ELSE DATE '2025-06-30' END AS ingest_date
                            FROM orders""",
-    "write_audit_publish": f"SELECT *, {MONTHS} AS o_month, 1 AS load_id FROM orders",
+    "write_audit_publish": f"""SELECT *, {MONTHS} AS o_month, CASE WHEN {RELOAD} THEN 2 ELSE 1 END AS load_id
+                               FROM orders""",
+    "compact_flow_logs": """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+       strftime(ts, '%H') AS hour, count(*) AS flows, CAST(sum(CAST(round(value * 100, 0) AS BIGINT)) AS BIGINT) AS bytes
+FROM events WHERE strftime(ts, '%H') BETWEEN '09' AND '17' GROUP BY 1, 2, 3, 4""",
     "compact_partitions": f"SELECT *, {MONTHS} AS o_month, 1 AS load_id FROM orders",
     # text
     "normalize_key": f"SELECT doc_id, md5({N('text')}) AS key_md5 FROM documents",
@@ -249,6 +289,20 @@ FROM d JOIN lgk ON sha256(d.k) = lgk.key_sha256 WHERE d.cur AND d.k <> ''""",
     "load_counts": f"""WITH {DOCS}
 SELECT 'current' AS side, count(*) AS n_rows FROM d WHERE cur
 UNION ALL SELECT 'legacy', count(*) FROM d WHERE NOT cur""",
+    "exact_match_members": f"""WITH {DOCS}
+SELECT sha256(k) AS key_sha256, CASE WHEN cur THEN 0 ELSE 1 END AS side, doc_id AS id FROM d
+WHERE k <> '' AND k IN (SELECT k FROM d WHERE cur) AND k IN (SELECT k FROM d WHERE NOT cur)""",
+    "jaccard_members": f"""WITH {DOCS}, {UNMATCHED},
+t AS (SELECT cur, doc_id, list_sort(list_distinct(regexp_extract_all(text, '{TOKP}'))) AS toks FROM um)
+SELECT CASE WHEN cur THEN 0 ELSE 1 END AS side, min(doc_id) OVER (PARTITION BY cur, toks) AS rep, doc_id AS id
+FROM t WHERE len(toks) > 0""",
+    "match_job": JACCARD_PAIRS + """, lgk AS (SELECT k, min(doc_id) AS lg_id FROM d WHERE NOT cur AND k <> '' GROUP BY 1)
+SELECT d.doc_id AS v2_id, lgk.lg_id, 'exact' AS kind, 0.0::DOUBLE AS jaccard_dist, NULL::BIGINT AS fee_diff
+FROM d JOIN lgk ON d.k = lgk.k WHERE d.cur
+UNION ALL
+SELECT jp.v2_id, jp.lg_id, 'similar', jp.jaccard_dist, CAST(abs(a.n_chars - b.n_chars) AS BIGINT)
+FROM jp JOIN documents a ON a.doc_id = jp.v2_id JOIN documents b ON b.doc_id = jp.lg_id""",
+    "lsh_similarity_join": LSH,
     "jaccard_join": JACCARD_PAIRS + "SELECT * FROM jp",
     "fee_diff": JACCARD_PAIRS + """SELECT jp.v2_id, jp.lg_id, jp.jaccard_dist, abs(a.n_chars - b.n_chars) AS fee_diff
 FROM jp JOIN documents a ON a.doc_id = jp.v2_id JOIN documents b ON b.doc_id = jp.lg_id""",
@@ -263,6 +317,17 @@ FROM jp JOIN documents a ON a.doc_id = jp.v2_id JOIN documents b ON b.doc_id = j
     "fact_performance": f"""WITH {DAILY}, {SCD2}, {NAV}, {CALENDAR}
 SELECT n.o_custkey, n.base_date, n.nav, n.price_change, n.price_change_rate_pct,
        s.effective_start_date, s.o_orderpriority, c.date_sk
+FROM navc n JOIN scd s ON s.o_custkey = n.o_custkey
+                      AND n.base_date BETWEEN s.effective_start_date AND s.effective_end_date
+            LEFT JOIN cal c ON c.date_value = n.base_date""",
+    "gold_dim_fund": f"""WITH {DAILY}, {SCD2}
+SELECT *, {FUND_SK} AS fund_sk FROM scd s""",
+    "gold_fact": f"""WITH {DAILY}, {SCD2},
+fixed AS (SELECT o_custkey, base_date, CAST(CASE WHEN base_date >= DATE '1998-01-01' THEN nav - 1 ELSE nav END
+                                             AS DECIMAL(18,4)) AS nav FROM daily),
+{NAV.replace('FROM daily', 'FROM fixed')}, {CALENDAR}
+SELECT n.o_custkey, n.base_date, n.nav, n.price_change, n.price_change_rate_pct,
+       s.effective_start_date, {FUND_SK} AS fund_sk, c.date_sk
 FROM navc n JOIN scd s ON s.o_custkey = n.o_custkey
                       AND n.base_date BETWEEN s.effective_start_date AND s.effective_end_date
             LEFT JOIN cal c ON c.date_value = n.base_date""",
@@ -288,6 +353,15 @@ FROM events WHERE strftime(ts, '%H') BETWEEN '09' AND '17' GROUP BY 1, 2, 3, 4""
 {cell_hits('cells')}
 SELECT object, detector, "column", columnName, count(*) AS cells, CAST(sum(hits) AS BIGINT) AS hits
 FROM h WHERE hits > 0 GROUP BY 1, 2, 3, 4""",
+    "sensitive_totals": f"""WITH {DOC_CELLS}, {LEGACY_CELLS}, cells AS (SELECT * FROM dc UNION ALL SELECT * FROM lc),
+{cell_hits('cells')}
+SELECT object, CAST(sum(hits) AS BIGINT) AS total_count FROM h WHERE hits > 0 GROUP BY 1""",
+    "sensitive_lines": f"""WITH {LEGACY_CELLS},
+n AS (SELECT CAST(p_partkey AS VARCHAR) AS row, 'bucket=' || (p_partkey % 8) AS bucket,
+             1 + row_number() OVER (PARTITION BY p_partkey % 8 ORDER BY p_partkey) AS line FROM part),
+cells AS (SELECT * FROM lc), {cell_hits('cells')}
+SELECT n.bucket AS object, n.line, "column", columnName, detector, hits FROM h JOIN n USING (row)
+WHERE hits > 0 AND ('0x' || substr(md5(n.bucket), 1, 4))::INTEGER % 100 < 75""",
     "hash_sample": """SELECT doc_id, source, lang, n_chars FROM documents
 WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 4))::INTEGER % 100 < 75""",
 }

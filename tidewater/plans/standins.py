@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import det_key
-from ..session import ensure_utc, list_partition_dirs, rename_path, scratch_path, spread_for_cpu
+from ..session import ensure_utc, list_partition_dirs, rename_path, scratch_path
 from ..sources.files import AUDIT_REGIONS, AUDIT_TEMPLATE
 
 
@@ -24,16 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- documents as two masters
 
 def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
-    """Documents for regex/NFKC-heavy work, spread over every task slot."""
     d = table(spark, sf_dir, "documents")
-    if cols:
-        d = d.select(*cols)
-    return spread_for_cpu(d, "doc_id")
+    return d.select(*cols) if cols else d
 
 
 def is_current(source: Column) -> Column:
-    """Documents are split in two by source: even source number = current."""
-    return (F.substring(source, 4, 16).try_cast("int") % 2) == 0
+    """Documents are split in two by source: an even source number is current,
+    anything else (odd, or no number at all) legacy."""
+    return F.coalesce(F.substring(source, 4, 16).try_cast("int") % 2 == 0, F.lit(False))
 
 
 def doc_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +45,7 @@ def doc_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 # ---------------------------------------------------------------- part as a legacy master CSV
 
-# Header order of the legacy stand-in file (position 9 = strategy code).
+# Header order of the legacy file (position 9 = strategy code).
 LEGACY_HEADERS = ["fund_id", "投資信託_分類", "信託報酬_率", "有効レコード", "ファンド名",
                   "愛称", "運用会社", "隠れコスト", "内部戦略コード"]
 
@@ -85,6 +83,18 @@ def legacy_csv(spark: SparkSession, sf_dir: str) -> str:
     return export_csv(legacy_rows(spark, sf_dir), f"{base}.csv")
 
 
+LEGACY_CSV_SCHEMA = ", ".join(f"`{c}` string" for c in LEGACY_HEADERS)
+
+
+def legacy_csv_buckets(spark: SparkSession, sf_dir: str) -> str:
+    """The legacy rows as one CSV file per eighth of the keys, in key order."""
+    rows = legacy_rows(spark, sf_dir).withColumn("n", F.col("fund_id").cast("long"))
+    root = scratch_path(spark, "legacy_buckets")
+    (rows.withColumn("bucket", F.col("n") % 8).repartition("bucket").sortWithinPartitions("bucket", "n").drop("n")
+     .write.partitionBy("bucket").option("header", "true").csv(root))
+    return root
+
+
 # ---------------------------------------------------------------- orders as NAV / snapshots
 
 def nav_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

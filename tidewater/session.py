@@ -52,20 +52,6 @@ def build_session(master: str = "local[8]", app: str = "tidewater",
     return spark
 
 
-def spread_for_cpu(df, key: str):
-    """Hash-spread CPU-heavy per-row work over all task slots.
-
-    Only when the input has fewer partitions than the cluster has task
-    slots (a small file with few row groups); on a large input this is a
-    no-op, so no shuffle is added at scale. Hash partitioning on ``key``
-    keeps the split deterministic for task retries.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
-
-
 def materialize(df, name: str, how: str = "checkpoint"):
     """Cut lineage in the shared checkpoint folder: Spark's reliable
     ``checkpoint()`` (default), or a Parquet table written to a fresh folder
@@ -106,9 +92,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders handed out so far in this process, once no
+    frame that reads them is needed any more. Returns their number."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+    return n
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -137,6 +137,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under ``path`` (none if it does not exist)."""
+    fs, p = hadoop_fs(spark, path.rstrip("/") + "/*")
+    return [str(st.getPath().getName()) for st in (fs.globStatus(p) or []) if st.isDirectory()]
+
+
 def list_partition_dirs(spark: SparkSession, root: str, keys: list[str]) -> list[str]:
     """Relative ``k1=v1/k2=v2/...`` folders under ``root`` (one glob, no data read)."""
     fs, p = hadoop_fs(spark, root)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import path_exists
+from ..session import list_dirs
 
 
 def versioned_path(base: str, version: str) -> str:
@@ -54,8 +54,7 @@ def read_nav_csv(spark: SparkSession, path: str, date_col: str = "base_date",
     })
 
 
-def with_line_numbers(df: DataFrame, col: str = "line", header_lines: int = 1,
-                      max_broadcast_chunks: int = 1_000_000) -> DataFrame:
+def with_line_numbers(df: DataFrame, col: str = "line", header_lines: int = 1) -> DataFrame:
     """1-based line number of each row within its source file (F14 cell rows).
 
     A window per file would sort a hot file in one task, so this is the
@@ -74,8 +73,6 @@ def with_line_numbers(df: DataFrame, col: str = "line", header_lines: int = 1,
     chunks = d.groupBy("_f", "_p").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_f").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    if chunks.count() <= max_broadcast_chunks:  # one row per split: bounded by input size / split size
-        chunks = F.broadcast(chunks)
     line = F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1 + header_lines)
     return (d.join(chunks.select("_f", "_p", "_m0", "_off"), ["_f", "_p"])
             .withColumn(col, line).drop("_f", "_p", "_m", "_m0", "_off"))
@@ -89,6 +86,7 @@ AUDIT_YEARS = (2020, 2030)
 AUDIT_TEMPLATE = "{root}/{region}/{year:04d}/{month:02d}/{day:02d}"
 AUDIT_PATH_RE = r"/([a-z]+-[a-z]+-[0-9])/([0-9]{4})/([0-9]{2})/([0-9]{2})/[^/]*$"
 
+# The field names and types of audit events.
 AUDIT_SCHEMA = (
     "eventversion string, "
     "useridentity struct<type:string,principalid:string,arn:string,accountid:string,"
@@ -113,10 +111,10 @@ def projected_paths(root: str, regions: list[str] | tuple[str, ...] = AUDIT_REGI
     Enumerates region x day from the projection ranges, restricted to
     ``start..end``; the list is bounded by the predicate, not by the data.
     """
-    lo = start or _dt.date(years[0], 1, 1)
-    hi = end or _dt.date(years[1], 12, 31)
-    lo = max(lo, _dt.date(years[0], 1, 1))
-    hi = min(hi, _dt.date(years[1], 12, 31))
+    first, last = _dt.date(years[0], 1, 1), _dt.date(years[1], 12, 31)
+    lo, hi = start or first, end or last
+    if lo < first or hi > last:
+        raise ValueError(f"{lo}..{hi} leaves the projected years {years[0]}..{years[1]}")
     days = [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
     return [AUDIT_TEMPLATE.format(root=root.rstrip("/"), region=r, year=d.year, month=d.month, day=d.day)
             for r, d in itertools.product(regions, days)]
@@ -133,21 +131,29 @@ def with_template_partitions(df: DataFrame) -> DataFrame:
     })
 
 
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the day folders that storage has: one listing per month folder."""
+    by_month: dict[str, list[str]] = {}
+    for p in paths:
+        by_month.setdefault(p.rsplit("/", 1)[0], []).append(p)
+    out = []
+    for month, days in by_month.items():
+        there = set(list_dirs(spark, month))
+        out += [p for p in days if p.rsplit("/", 1)[1] in there]
+    return out
+
+
 def read_audit_log(spark: SparkSession, root: str, regions=AUDIT_REGIONS,
-                   start: _dt.date | None = None, end: _dt.date | None = None,
-                   check_exists: bool = True) -> DataFrame:
+                   start: _dt.date | None = None, end: _dt.date | None = None) -> DataFrame:
     """S8 + S9: gzip JSON audit events from the projected folders.
 
-    Folders that the projection names but storage lacks are skipped (an
-    existence probe per selected folder; no recursive listing).
+    Folders that the projection names but storage lacks are skipped (one
+    listing per region and month; days are not probed one by one).
     """
-    paths = projected_paths(root, regions, start, end)
-    if check_exists:
-        paths = [p for p in paths if path_exists(spark, p)]
+    paths = existing_paths(spark, projected_paths(root, regions, start, end))
     if not paths:
         return spark.createDataFrame([], AUDIT_SCHEMA + ", region string, year string, month string, day string")
-    df = spark.read.schema(AUDIT_SCHEMA).json(paths)
-    return with_template_partitions(df)
+    return with_template_partitions(spark.read.schema(AUDIT_SCHEMA).json(paths))
 
 
 def audit_flat(df: DataFrame) -> DataFrame:
@@ -166,6 +172,7 @@ def audit_flat(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- flow log
 
+# The field names and types of flow logs.
 FLOW_LOG_SCHEMA = (
     "version int, `account-id` string, `interface-id` string, srcaddr string, "
     "dstaddr string, srcport int, dstport int, protocol int, packets bigint, "
@@ -183,6 +190,7 @@ def read_flow_logs(spark: SparkSession, root: str) -> DataFrame:
 
 # ---------------------------------------------------------------- query log
 
+# The field names of batch query-execution documents.
 QUERY_LOG_SCHEMA = (
     "QueryExecutions array<struct<QueryExecutionId:string,Query:string,"
     "Status:struct<SubmissionDateTime:string>>>"
