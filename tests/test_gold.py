@@ -21,10 +21,10 @@ def test_scd2_from_two_snapshots(spark, tmp_dir):
     rows = sorted((r.fund_id, str(r.trust_fee_rate), r.effective_start_date, r.effective_end_date, r.current_flag)
                   for r in dim.collect())
     assert rows == [
-        ("FND001", "1.20", D1, dt.date(9999, 12, 31), True),
-        ("FND002", "0.11", D2, dt.date(9999, 12, 31), True),
-        ("FND002", "0.25", D1, D1, False),
-        ("FND003", "0.15", D2, dt.date(9999, 12, 31), True),
+        ("K10", "1.45", D1, dt.date(9999, 12, 31), True),
+        ("K20", "0.18", D2, dt.date(9999, 12, 31), True),
+        ("K20", "0.30", D1, D1, False),
+        ("K30", "0.22", D2, dt.date(9999, 12, 31), True),
     ]
     sks = [r.fund_sk for r in dim.collect()]
     assert len(set(sks)) == 4
@@ -45,12 +45,12 @@ def _nav(spark, tmp_dir):
 def test_nav_change(spark, tmp_dir):
     out = dims.nav_change(_nav(spark, tmp_dir), "fund_id", "base_date", "nav_price")
     got = {(r.fund_id, r.base_date.isoformat()): (r.price_change, r.price_change_rate_pct) for r in out.collect()}
-    assert got[("FND001", "2025-04-01")] == (None, None)
-    assert got[("FND001", "2025-04-02")] == (decimal.Decimal("-2.1100"), -0.019125)
-    assert got[("FND001", "2025-07-01")] == (decimal.Decimal("44.8200"), 0.39731)
-    assert got[("FND002", "2025-04-02")] == (decimal.Decimal("73.5300"), 1.366464)
-    assert got[("FND003", "2025-07-01")] == (None, None)
-    assert got[("FND003", "2025-07-02")] == (decimal.Decimal("34.3300"), 0.381892)
+    assert got[("K10", "2025-04-01")] == (None, None)
+    assert got[("K10", "2025-04-02")] == (decimal.Decimal("-12.2500"), -0.119975)
+    assert got[("K10", "2025-07-01")] == (decimal.Decimal("52.2000"), 0.501904)
+    assert got[("K20", "2025-04-02")] == (decimal.Decimal("73.7300"), 1.01)
+    assert got[("K30", "2025-07-01")] == (None, None)
+    assert got[("K30", "2025-07-02")] == (decimal.Decimal("91.2000"), 0.999973)
 
 
 def test_calendar(spark):
@@ -67,16 +67,16 @@ def test_calendar(spark):
 def test_point_in_time_fact_and_wide(spark, tmp_dir):
     nav = dims.nav_change(_nav(spark, tmp_dir), "fund_id", "base_date", "nav_price")
     snaps = spark.createDataFrame(
-        [("FND002", dt.date(2025, 4, 1), "0.25"), ("FND002", dt.date(2025, 7, 1), "0.11"),
-         ("FND001", dt.date(2025, 4, 1), "1.2"), ("FND003", dt.date(2025, 7, 1), "0.15")],
+        [("K20", dt.date(2025, 4, 1), "0.25"), ("K20", dt.date(2025, 7, 1), "0.11"),
+         ("K10", dt.date(2025, 4, 1), "1.2"), ("K30", dt.date(2025, 7, 1), "0.15")],
         "fund_id string, day date, fee string")
     dim = dims.scd2_dimension(snaps, "fund_id", "day", ["fee"], sk_col=None)
     cal = dims.calendar_for(nav, "base_date")
     fact = dims.fact_performance(nav, dim, cal, "fund_id", "base_date", carry=["fee"])
     got = {(r.fund_id, r.base_date.isoformat()): (r.fee, r.effective_start_date.isoformat(), r.date_sk)
            for r in fact.collect()}
-    assert got[("FND002", "2025-06-30")] == ("0.25", "2025-04-01", 20250630)
-    assert got[("FND002", "2025-07-01")] == ("0.11", "2025-07-01", 20250701)
+    assert got[("K20", "2025-06-30")] == ("0.25", "2025-04-01", 20250630)
+    assert got[("K20", "2025-07-01")] == ("0.11", "2025-07-01", 20250701)
     assert fact.count() == nav.count()
     # the same through a range join
     rj = nav.join(dim, (nav.fund_id == dim.fund_id) &
@@ -84,15 +84,29 @@ def test_point_in_time_fact_and_wide(spark, tmp_dir):
         .select(nav.fund_id, nav.base_date, dim.fee)
     assert sorted(map(tuple, rj.collect())) == sorted((k[0], dt.date.fromisoformat(k[1]), v[0])
                                                       for k, v in got.items())
-    master = spark.createDataFrame([("FND001", "A"), ("FND002", "B")], "fund_id string, name string")
+    master = spark.createDataFrame([("K10", "A"), ("K20", "B")], "fund_id string, name string")
     wide = dims.daily_wide(nav, master, "fund_id")
     assert wide.count() == nav.count() and wide.filter(F.col("name").isNull()).count() == 2
 
 
 def test_latest_snapshot(spark):
     df = spark.createDataFrame([(1, "a", D1), (1, "b", D2), (2, "c", D1)], "k int, v string, ingest_date date")
-    got = sorted(map(tuple, dims.latest_snapshot(df, ["k"]).collect()))
+    got = sorted(map(tuple, dims.latest_snapshot(df, ["k"], "ingest_date", ["v"]).collect()))
     assert got == [(1, "b", D2), (2, "c", D1)]
+    import pytest
+    with pytest.raises(ValueError):
+        dims.latest_snapshot(df, ["k"], "ingest_date", [])
+
+
+def test_latest_snapshot_and_refresh_do_not_depend_on_arrival(spark):
+    old = spark.createDataFrame([("A", D1, "zz", 1)], "k string, d date, v string, seq int")
+    new = spark.createDataFrame([("A", D1, "aa", 2)], "k string, d date, v string, seq int")
+    for u in (old.unionByName(new), new.unionByName(old)):
+        assert [r.v for r in dims.latest_snapshot(u, ["k", "d"], "d", ["seq"]).collect()] == ["aa"]
+    hist, reload = old.drop("seq"), new.drop("seq")  # a reload of a known day wins
+    dim = dims.scd2_dimension(hist, "k", "d", ["v"], sk_col=None)
+    got = dims.scd2_refresh(dim, hist, reload, "k", "d", ["v"], sk_col=None).collect()
+    assert [r.v for r in got] == ["aa"]
 
 
 def test_nav_change_zero_previous(spark):
@@ -103,19 +117,35 @@ def test_nav_change_zero_previous(spark):
     assert r[1].price_change == decimal.Decimal("5.0000") and r[1].price_change_rate_pct is None
 
 
+def _loads(v1, v2, day=None):
+    """Two loads with their load dates and sequence numbers."""
+    frames = []
+    for i, (v, d) in enumerate(((v1, dt.date(2025, 4, 1)), (v2, dt.date(2025, 7, 1)))):
+        frames.append(C.stamp_ingest_date(v, d).withColumn("load_seq", F.lit(i)))
+    return frames[0].unionByName(frames[1])
+
+
+def test_a_lower_corrected_price_counts(spark):
+    day = dt.date(2025, 4, 1)
+    rows = [("A", day, decimal.Decimal("100"), day, 1), ("A", day, decimal.Decimal("90"), day, 2)]
+    nav = spark.createDataFrame(rows, "fund_id string, base_date date, nav_price decimal(18,4), ingest_date date, load_seq int")
+    master = spark.createDataFrame([("A", day, "x", 1)], "fund_id string, ingest_date date, fund_name string, load_seq int")
+    assert [r.nav_price for r in dims.build_gold(master, nav)["fact"].collect()] == [decimal.Decimal("90.0000")]
+
+
 def test_build_gold(spark, tmp_dir):
-    v1 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "g1.csv", MASTER_V1)),
-                             dt.date(2025, 4, 1))
-    v2 = C.stamp_ingest_date(spark.read.option("header", "true").csv(write(tmp_dir, "g2.csv", MASTER_V2)),
-                             dt.date(2025, 7, 1))
-    snaps = C.decimal_cast(v1.unionByName(v2), ["trust_fee_rate"])
-    g = dims.build_gold(snaps, _nav(spark, tmp_dir))
+    read = spark.read.option("header", "true")
+    snaps = _loads(read.csv(write(tmp_dir, "g1.csv", MASTER_V1)), read.csv(write(tmp_dir, "g2.csv", MASTER_V2)))
+    snaps = C.decimal_cast(snaps, ["trust_fee_rate"])
+    nav = _loads(files.read_nav_csv(spark, write(tmp_dir, "n1.csv", NAV_V1)),
+                 files.read_nav_csv(spark, write(tmp_dir, "n2.csv", NAV_V2)))
+    g = dims.build_gold(snaps, nav)
     assert g["dim_fund"].count() == 4
     dims.assert_unique(g["fact"], ["fund_id", "base_date"])
     fact = {(r.fund_id, r.base_date.isoformat()): r for r in g["fact"].collect()}
-    assert fact[("FND002", "2025-06-30")].date_sk == 20250630
+    assert fact[("K20", "2025-06-30")].date_sk == 20250630
     wide = {(r.fund_id, r.base_date.isoformat()): str(r.trust_fee_rate) for r in g["wide"].collect()}
-    assert wide[("FND002", "2025-06-30")] == "0.25" and wide[("FND002", "2025-07-01")] == "0.11"
+    assert wide[("K20", "2025-06-30")] == "0.30" and wide[("K20", "2025-07-01")] == "0.18"
     assert g["dim_date"].count() == (dt.date(2025, 7, 2) - dt.date(2025, 4, 1)).days + 1
 
 

@@ -68,16 +68,43 @@ def test_watermark_filter_pushdown(spark):
     assert jdbc.next_watermark(out, "o_orderdate") is not None
 
 
-def test_write_audit_publish(spark, tmp_dir):
+def test_write_audit_publish_with_one_stage(spark, tmp_dir):
     main, stage = os.path.join(tmp_dir, "main"), os.path.join(tmp_dir, "stage")
-    good = spark.createDataFrame([(1, 5.0, "a"), (2, 6.0, "b")], "k int, v double, p string")
-    checks = [sinks.Expectation("v_positive", F.col("v") > 0)]
-    r = sinks.write_audit_publish(spark, good, main, stage, "p", checks)
-    assert r["published"] == 1 and r["v_positive"] == 0
-    bad = spark.createDataFrame([(3, -1.0, "a")], "k int, v double, p string")
-    r2 = sinks.write_audit_publish(spark, bad, main, os.path.join(tmp_dir, "stage2"), "p", checks)
-    assert r2["published"] == 0 and r2["v_positive"] == 1
-    assert sorted(x.k for x in spark.read.parquet(main).collect()) == [1, 2]
+    schema = "k int, v double, hour string"
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    checks = [sinks.Expectation("_v_positive", F.col("v") > 0)]
+    publish = lambda df: sinks.write_audit_publish(spark, df, main, stage, "hour", checks)
+    read = lambda: sorted((r.k, r.hour) for r in spark.read.schema(schema).parquet(main).collect())
+    assert publish(frame((1, 5.0, "09"), (2, 6.0, "10")))["published"] == 1
+    assert os.path.isdir(os.path.join(main, "hour=09"))
+    rejected = publish(frame((3, -1.0, "09")))
+    assert rejected["published"] == 0 and rejected["_v_positive"] == 1
+    assert read() == [(1, "09"), (2, "10")]
+    # newer rows in main must survive a later batch of other partitions, and
+    # neither the rejected nor the first batch may come back
+    sinks.partition_overwrite(frame((7, 7.0, "10")), main, "hour")
+    assert publish(frame((4, 1.0, "09"), (5, 1.0, None)))["published"] == 1
+    assert read() == [(4, "09"), (5, None), (7, "10")] or set(read()) == {(4, "09"), (5, None), (7, "10")}
+    with pytest.raises(ValueError):
+        sinks.audit(frame(), [sinks.Expectation("_rows", F.lit(True))])
+
+
+def test_compaction_keeps_folder_names_and_null_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "hours")
+    df = spark.range(600).withColumn("hour", F.when(F.col("id") % 4 == 3, None).otherwise(
+        F.lpad((F.col("id") % 4 + 8).cast("string"), 2, "0")))
+    df.repartition(5).write.partitionBy("hour").parquet(path)
+    one = os.path.join(path, "hour=11")
+    spark.range(3).coalesce(1).write.parquet(one)  # well sized already: left as it is
+    before = sorted(os.listdir(one))
+    names = sorted(x for x in os.listdir(path) if x.startswith("hour="))
+    rep = sinks.compact_partitions(spark, path, "hour").collect()
+    assert sorted(x for x in os.listdir(path) if x.startswith("hour=")) == names
+    assert "hour=08" in names and "hour=__HIVE_DEFAULT_PARTITION__" in names
+    assert sorted(os.listdir(one)) == before and len(rep) == 5
+    back = sinks.read_partitioned(spark, path, ["hour"])
+    assert back.filter("hour IS NULL").count() == 150 and back.filter("hour BETWEEN '08' AND '09'").count() == 300
+    assert all(r.files_before == 1 for r in sinks.file_stats(spark, path, ["hour"]).collect())
 
 
 def test_compaction(spark, tmp_dir):
@@ -118,23 +145,13 @@ def test_line_numbers_across_splits(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_compaction_recovers_a_half_done_swap(spark, tmp_dir):
+def test_a_half_done_swap_is_put_right(spark, tmp_dir):
     from tidewater.session import rename_path
     path = os.path.join(tmp_dir, "t")
-    spark.range(100).withColumn("p", F.lit("x")).write.partitionBy("p").parquet(path)
-    spark.range(100).withColumn("p", F.lit("x")).coalesce(1).write.partitionBy("p").parquet(path + "__compacted")
-    rename_path(spark, path, path + "__old")          # the driver died right here
-    assert sinks.recover_compaction(spark, path) == "finished swap"
+    spark.range(100).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(path)
+    rename_path(spark, path + "/p=0", path + "__old/p=0")          # the driver died right here
+    assert sinks.recover_swap(spark, path, ["p"]) == "rolled back"
     assert spark.read.parquet(path).count() == 100 and not os.path.exists(path + "__old")
-    spark.range(5).write.parquet(path + "__compacted")  # an unverified leftover
-    assert sinks.recover_compaction(spark, path) == "discarded unverified"
-    assert sinks.recover_compaction(spark, path) == "nothing"
-
-
-def test_spread_for_cpu_only_when_few_splits(spark):
-    from tidewater.session import spread_for_cpu
-    slots = spark.sparkContext.defaultParallelism
-    small = spark.range(100).coalesce(1)
-    assert spread_for_cpu(small, "id").rdd.getNumPartitions() == max(slots, 1)
-    wide = spark.range(0, 1000, numPartitions=slots + 3)
-    assert spread_for_cpu(wide, "id") is wide  # no shuffle added
+    spark.range(5).withColumn("p", F.lit(0)).write.partitionBy("p").parquet(path + "__old")  # new folder in place
+    assert sinks.recover_swap(spark, path, ["p"]) == "removed old"
+    assert sinks.recover_swap(spark, path, ["p"]) == "nothing"

@@ -48,6 +48,37 @@ def test_keyword_proximity(spark):
                    ("3", "b", "secret-token")]
 
 
+def test_every_match_near_a_keyword_counts(spark):
+    a, b = "a" * 40, "b" * 40
+    df = spark.createDataFrame([(1, f"token {a} and {b}"), (2, f"token {'x ' * 200}{a}"), (3, f"{a} token")], "id long, t string")
+    got = {(r.row, r.hits) for r in scan.scan_cells(df, "id", detectors=(SECRET_TOKEN,)).collect()}
+    assert got == {("1", 2)}
+
+
+def test_scope_and_findings_are_the_same_for_a_file_and_a_folder(spark, tmp_dir):
+    rows = spark.createDataFrame([(i, f"m{i}@x.example", i) for i in range(9)], "id long, t string, n long")
+    found = []
+    for name, parts in (("one", 1), ("many", 3)):
+        root = os.path.join(tmp_dir, name)
+        rows.repartition(parts).write.parquet(os.path.join(root, "documents.parquet"))
+        df = scan.in_scope(spark.read.parquet(os.path.join(root, "documents.parquet")), ["documents"], root=f"file://{root}/")
+        found.append(sorted(map(tuple, scan.findings(scan.scan_cells(df, "id", object_name="documents")).collect())))
+    assert found[0] == found[1] == [("documents", "email-address", 2, "t", 9, 9)]
+
+
+def test_the_key_column_is_scanned(spark):
+    df = spark.createDataFrame([("k@x.example", 1)], "id string, n long")
+    cells = scan.scan_cells(df, "id", detectors=(EMAIL,))
+    assert [(r.row, r.column, r.columnName) for r in cells.collect()] == [("k@x.example", 1, "id")]
+    assert [tuple(r) for r in scan.object_totals(scan.findings(cells)).collect()] == [("object", 1)]
+
+
+def test_projection_outside_its_years_is_an_error():
+    import pytest
+    with pytest.raises(ValueError):
+        files.projected_paths("/x", start=dt.date(2019, 12, 31), end=dt.date(2020, 1, 2))
+
+
 def test_hash_sample_deterministic(spark):
     df = spark.range(0, 4000).withColumnRenamed("id", "k")
     a = {r.k for r in scan.hash_sample(df, "k").collect()}
@@ -110,7 +141,7 @@ def test_audit_log_projection_and_flow_pruning(spark):
     sel = files.read_audit_log(spark, root, ["us-east-1"], dt.date(2024, 1, 5), dt.date(2024, 1, 6))
     assert {(r.region, r.day) for r in sel.select("region", "day").distinct().collect()} <= {
         ("us-east-1", "05"), ("us-east-1", "06")}
-    full = files.with_template_partitions(spark.read.schema(files.AUDIT_SCHEMA).json(f"{root}/*/*/*/*/"))
+    full = files.read_audit_log(spark, root)
     assert full.count() == spark.read.parquet(f"{d}/events.parquet").count()
     flat = files.audit_flat(full)
     assert flat.filter(F.col("resource_arn").isNull()).count() == \

@@ -10,9 +10,9 @@ def _norm(spark, values):
 
 
 def test_normalize_key_nfkc_lower_whitespace(spark):
-    out = _norm(spark, ["全部カントリー(ｾﾞﾝｶﾝ)", "ファンド運用会社B（株）", None, " A　b\tC\n",
+    out = _norm(spark, ["ぐるっと世界(ｸﾞﾙｯﾄ)", "北丘投信B（株）", None, " A　b\tC\n",
                         "Ｆｕｎｄ　Ａ"])
-    assert out == ["全部カントリー(ゼンカン)", "ファンド運用会社b(株)", "", "abc", "funda"]
+    assert out == ["ぐるっと世界(グルット)", "北丘投信b(株)", "", "abc", "funda"]
 
 
 def test_ascii_fast_path_matches_python(spark):
@@ -24,24 +24,24 @@ def test_ascii_fast_path_matches_python(spark):
 
 
 def test_nfkc_makes_nicknames_equal(spark):
-    a, b = _norm(spark, ["全部カントリー（ゼンカン）", "全部カントリー(ｾﾞﾝｶﾝ)"])
+    a, b = _norm(spark, ["ぐるっと世界（グルット）", "ぐるっと世界(ｸﾞﾙｯﾄ)"])
     assert a == b
 
 
 def test_det_key_and_empty_flag(spark):
     df = spark.createDataFrame(
-        [("グローバルファンドA", "ファンド運用会社A", "成長最強ファンド"), (None, " ", None)],
+        [("みなと成長株A", "港アセットA", "はばたき"), (None, " ", None)],
         "fund_name string, management_company string, nickname string")
     rows = det_key(df, ["fund_name", "management_company", "nickname"]).collect()
-    assert rows[0]["det_key"] == "グローバルファンドa_ファンド運用会社a_成長最強ファンド"
+    assert rows[0]["det_key"] == "みなと成長株a_港アセットa_はばたき"
     assert rows[0]["det_key_empty"] is False
     assert rows[1]["det_key"] == "__" and rows[1]["det_key_empty"] is True
 
 
 def test_tokenizer_drops_prolonged_sound_mark(spark):
-    df = spark.createDataFrame([("世界株式ファンドc ファンド運用会社c 全部カントリー(ゼンカン)",)], "text string")
+    df = spark.createDataFrame([("先進国株式オープンq サーファー投信 世界(グルット)",)], "text string")
     toks = df.select(tokenize("text").alias("t")).first()["t"]
-    assert toks == ["世界株式", "ファンド", "c", "ファンド", "運用会社", "c", "全部", "カントリ", "ゼンカン"]
+    assert toks == ["先進国株式", "オ", "プン", "q", "サ", "ファ", "投信", "世界", "グルット"]
 
 
 def test_text_features_coalesces_nulls(spark):
@@ -79,7 +79,7 @@ def test_casts_and_stamp(spark, tmp_dir):
     assert types["trust_fee_rate"] == "decimal(5,2)" and types["hidden_cost"] == "decimal(5,2)"
     assert types["is_active"] == "boolean" and types["ingest_date"] == "date"
     r = df.orderBy("fund_id").first()
-    assert str(r["hidden_cost"]) == "3.15" and r["is_active"] is True
+    assert str(r["hidden_cost"]) == "2.75" and r["is_active"] is True
     bad = spark.createDataFrame([("True",), ("False",), ("yes",), ("nope",), (None,)], "b string")
     assert [x[0] for x in C.bool_normalize(bad, ["b"]).collect()] == [True, False, True, None, None]
     assert [x[0] for x in C.decimal_cast(spark.createDataFrame([("x",), ("1.234",)], "d string"),

@@ -8,7 +8,6 @@ functions  column-level building blocks (key normalisation, tokens, casts,
 operators  DataFrame -> DataFrame jobs (matching, gold dimensions/facts,
            usage report, sensitive scan)
 plans      the driver query catalogue and its SQL oracles
-streaming  (intentionally empty: the surveyed platform has no streams)
 """
 
 __version__ = "0.1.0"
@@ -30,4 +29,4 @@ from .sources.sinks import (compact_partitions, full_overwrite, partition_overwr
                             replace_table, write_audit_publish)
 
 __all__ = [n for n in dir() if not n.startswith("_") and n not in (
-    "functions", "operators", "sources", "plans", "session", "streaming", "annotations")]
+    "functions", "operators", "sources", "plans", "session", "annotations")]

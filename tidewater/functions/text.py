@@ -32,8 +32,6 @@ _WS = re.compile(r"\s+")
 def _fold_one(v):
     if v is None:
         return ""
-    if v.isascii():
-        return _WS.sub("", v.lower())
     return _WS.sub("", unicodedata.normalize("NFKC", v).lower())
 
 
