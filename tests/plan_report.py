@@ -52,7 +52,7 @@ SCALE_NOTES = """
   `distance_summary`, `match_preview`, `lsh_similarity_join`). `ArrowEvalPython` is the NFKC UDF,
   reached only by non-ASCII text. Exact matching shuffles 64-byte digests; the legacy side is
   aggregated to one row per key before the join, so a hot key is one row. The similarity joins
-  shuffle: sets by (side, tokens) with map-side partial aggregation, tokens for document
+  shuffle: sets by (side, digest) with map-side partial aggregation, token hashes for document
   frequency, set ids for the prefix ranking (`Window`), prefix tokens for candidates, candidate
   pairs for the positional filter, then candidates with both token arrays for verification.
   Intermediates are cut into the shared checkpoint folder. No stage collects a group.
@@ -60,8 +60,8 @@ SCALE_NOTES = """
   `latest_snapshot`). Inputs are first aggregated to one row per (key, day); every `Window` is
   per key over days, so its partition is bounded by the calendar. `SortAggregate` comes from
   `max_by` over strings/structs (string buffers are not hash-aggregatable) and still combines
-  map-side. The calendar (`Generate` over `sequence`) is one row per day and is broadcast only
-  after its count is checked.
+  map-side. The calendar (`Generate` over `sequence`) is one row per day; AQE decides how it is
+  joined.
 * **Logs** (`table_refs_*`, `audit_log_scan`, `partition_projection`, `flow_log_scan`). One
   `Generate` explodes references/resources per row; aggregates combine map-side on
   (table, day) or (day, action). The newest-N window is a `TakeOrderedAndProject` (top-N per
@@ -69,8 +69,8 @@ SCALE_NOTES = """
 * **Sinks** (`partition_overwrite`, `full_overwrite`, `write_audit_publish`,
   `compact_partitions`, `routed_ingest`, `replace_table`). Writes are rebalanced on the
   partition columns (AQE splits a skewed partition); WAP audits the staged files in one
-  aggregate; compaction reads file sizes and row counts from `_metadata` and spreads each
-  partition over `ceil(bytes / 512 MB)` writer tasks.
+  aggregate and moves them into main; compaction reads file sizes and row counts from `_metadata`,
+  rewrites only partitions with too many files and swaps those one by one.
 * **Sensitive scan** (`sensitive_scan`, `sensitive_findings`, `hash_sample`). `unpivot` turns
   columns into cell rows (narrow); detectors are JVM regexes; findings aggregate on
   (object, detector, column).

@@ -46,6 +46,24 @@ def test_missing_partition_column(spark):
         sinks.partition_overwrite(df, "/tmp/never-written", "ingest_date")
 
 
+def test_declared_schemas_are_enforced(spark, tmp_dir):
+    from tidewater.schemas import SchemaDrift, conform, declared
+    nav = files.read_nav_csv(spark, write(tmp_dir, "nav.csv", NAV_V1)).withColumn("ingest_date", F.lit("2025-07-01").cast("date"))
+    path = os.path.join(tmp_dir, "nav")
+    sinks.partition_overwrite(nav, path, "ingest_date", schema="fund_nav")
+    assert sinks.read_table(spark, path, "fund_nav").schema.names == declared("fund_nav").names
+    drifted = [nav.withColumn("extra", F.lit(1)), nav.drop("fund_id"), nav.withColumn("nav_price", F.lit(1.5))]
+    for df in drifted:
+        with pytest.raises(SchemaDrift):
+            sinks.partition_overwrite(df, path, "ingest_date", schema="fund_nav")
+        with pytest.raises(SchemaDrift):
+            sinks.replace_table(df, path, schema="fund_nav")
+    assert sinks.read_table(spark, path, "fund_nav").count() == 6
+    with pytest.raises(SchemaDrift):
+        sinks.read_table(spark, path, "match_scores")
+    assert conform(nav.select(*reversed(nav.columns)), "fund_nav").columns == declared("fund_nav").names
+
+
 def test_jdbc_options_and_watermark():
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "u", "p", None, "id")

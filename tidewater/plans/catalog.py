@@ -106,9 +106,9 @@ def q_routed_ingest(spark, d):
     from ..session import checkpoint_root
     df = C.stamp_ingest_date(C.bool_normalize(_legacy_typed(spark, d), ["is_active"]), INGEST_DAY)
     path = sinks.table_path(checkpoint_root(spark) + "/lake", "dev", "legacy_fund_master")
-    sinks.partition_overwrite(df, path, "ingest_date")
-    sinks.partition_overwrite(df, path, "ingest_date")  # a rerun replaces, never duplicates
-    return spark.read.schema(df.schema).parquet(path)
+    sinks.partition_overwrite(df, path, "ingest_date", schema="legacy_fund_master")
+    sinks.partition_overwrite(df, path, "ingest_date", schema="legacy_fund_master")  # a rerun replaces, never duplicates
+    return sinks.read_table(spark, path, "legacy_fund_master")
 
 
 @query("watermark_extract")
