@@ -72,7 +72,8 @@ def _climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     state = materialize(state, "climb", "parquet")
     done = state.filter(F.col("up").isNull())
     jumps = []
-    for _ in range(64):  # 2**64 levels: beyond any table
+    n_nodes = base.count()
+    while 1 << len(jumps) <= n_nodes:  # no path is longer than that; what still climbs then is a cycle
         going = state.filter(F.col("up").isNotNull())
         if going.isEmpty():
             break

@@ -88,7 +88,7 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, 1.0).otherwise(both / every)
 
 
-def ranges_of(df: DataFrame, key: str, bucket: str = "bucket") -> DataFrame:
+def ranges_of(df: DataFrame, key: str, bucket: str = "__bucket") -> DataFrame:
     """All rows with ``bucket``: the number of their range of ``key`` (long,
     not null), four ranges to a shuffle partition.
 
@@ -106,7 +106,7 @@ def ranges_of(df: DataFrame, key: str, bucket: str = "bucket") -> DataFrame:
     k = F.col(key)
     group = F.size(F.filter(heads, lambda x: x <= k))
     within = F.size(F.filter(F.get(rest, group - 1), lambda x: x <= k))
-    return df.withColumn(bucket, F.when(group == 0, 0).otherwise((group - 1) * step + within))
+    return df.withColumn(bucket, F.when(group == 0, 0).otherwise((group - 1) * step + within).cast("int"))
 
 
 def with_next(df: DataFrame, key: str, text: str = "text", prefix: str = "next_", derive=None) -> DataFrame:
@@ -118,17 +118,19 @@ def with_next(df: DataFrame, key: str, text: str = "text", prefix: str = "next_"
     the other ranges only the first row is looked up, one row per range."""
     derive = derive or (lambda x: x)
     ranged = ranges_of(df.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))), "__key")
-    least = ranged.groupBy("bucket").agg(F.min("__key").alias("k")).withColumnRenamed("bucket", "b")
-    firsts = derive(ranged.join(F.broadcast(least), (F.col("bucket") == F.col("b")) & (F.col("__key") == F.col("k")))
-                    .groupBy("bucket").agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias(text)))
+    least = ranged.groupBy("__bucket").agg(F.min("__key").alias("__k")).withColumnRenamed("__bucket", "__b")
+    firsts = derive(ranged.join(F.broadcast(least), (F.col("__bucket") == F.col("__b")) & (F.col("__key") == F.col("__k")))
+                    .groupBy("__bucket").agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias(text)))
     carried = firsts.columns[1:]
-    by_bucket = Window.orderBy("bucket")  # as many rows as ranges
+    by_bucket = Window.orderBy("__bucket")  # as many rows as ranges
     follow = firsts.select(
-        F.col("bucket").alias("b"), F.lead(F.struct(*carried)).over(by_bucket).alias("first"),
-        F.first(F.struct(*carried)).over(by_bucket).alias("least")).select("b", F.coalesce("first", "least").alias("first"))
-    w = Window.partitionBy("bucket").orderBy("__key", F.col(text).asc_nulls_first())
-    out = (derive(ranged.repartition("bucket")).withColumn("__next", F.lead(F.struct(*carried)).over(w))
-           .join(F.broadcast(follow), F.col("bucket") == F.col("b"), "left")
-           .withColumn("__next", F.coalesce("__next", "first")))
-    return out.select(*[c for c in out.columns if c not in ("__key", "__next", "bucket", "b", "first")],
+        F.col("__bucket").alias("__b"), F.lead(F.struct(*carried)).over(by_bucket).alias("__first"),
+        F.first(F.struct(*carried)).over(by_bucket).alias("__least")).select(
+        "__b", F.coalesce("__first", "__least").alias("__first"))
+    w = Window.partitionBy("__bucket").orderBy("__key", F.col(text).asc_nulls_first())
+    out = (derive(ranged.repartition("__bucket")).withColumn("__next", F.lead(F.struct(*carried)).over(w))
+           .join(follow, F.col("__bucket") == F.col("__b"), "left")
+           .withColumn("__next", F.coalesce("__next", "__first")))
+    hidden = {"__key", "__next", "__bucket", "__b", "__first", *[prefix + c for c in carried]}
+    return out.select(*[c for c in out.columns if c not in hidden],
                       *[F.col("__next")[c].alias(prefix + c) for c in carried])
