@@ -105,7 +105,7 @@ def _chunks(df: DataFrame, text: str, window: int, average: int, least_lines: in
                 names.append("chunk")
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(vec.trimmed(run), schema)
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 2, average: int = 3,
@@ -141,14 +141,15 @@ def _without(df: DataFrame, cut: DataFrame, key: str, text: str, how: tuple, cou
     names = [c for c in df.columns if not counts or c not in counts]
     kept = df.select(*names)
     ident = [F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("__key"), F.xxhash64(F.col(text)).alias("__own")]
-    c = cut.select(F.col("key").alias("__k"), F.col("own").alias("__o"), "later", "all_of_them")
+    c = cut.select(F.col("key").alias("__k"), F.col("own").alias("__o"), F.col("later").alias("__later"),
+                   F.col("all_of_them").alias("__all"))
     joined = (kept.select("*", *ident).join(c, (F.col("__key") == F.col("__k")) & (F.col("__own") == F.col("__o")), "left")
               .drop("__k", "__o"))
     # rows alike in id and text: only one of them holds the first places
-    joined = joined.withColumn("__nth", F.when(F.col("later").isNotNull(), F.row_number().over(
+    joined = joined.withColumn("__nth", F.when(F.col("__later").isNotNull(), F.row_number().over(
         Window.partitionBy("__key", "__own").orderBy("__key"))).otherwise(1))
-    joined = joined.withColumn("__cut", F.coalesce(F.when(F.col("__nth") == 1, F.col("later")).otherwise(F.col("all_of_them")),
-                                                   F.array().cast("array<int>"))).drop("__key", "__own", "__nth", "later", "all_of_them")
+    joined = joined.withColumn("__cut", F.coalesce(F.when(F.col("__nth") == 1, F.col("__later")).otherwise(F.col("__all")),
+                                                   F.array().cast("array<int>"))).drop("__key", "__own", "__nth", "__later", "__all")
     fields = [f for f in kept.schema.fields] + ([T.StructField(x, T.LongType()) for x in counts] if counts else [])
     window, average, least_lines, least_words = how
     at_text = names.index(text)
@@ -177,4 +178,4 @@ def _without(df: DataFrame, cut: DataFrame, key: str, text: str, how: tuple, cou
                 out.append(pa.array(np.bincount(doc[gone], weights=lines[gone], minlength=n).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(out, names=names + list(counts or ()))
 
-    return joined.mapInArrow(run, T.StructType(fields))
+    return joined.mapInArrow(vec.trimmed(run), T.StructType(fields))

@@ -25,8 +25,10 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str = "local[8]", app: str = "tidewater",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Session with the settings the package is tuned for.
+                  extra: dict[str, str] | None = None, scratch: str | None = None) -> SparkSession:
+    """Session with the settings the package is tuned for. ``scratch`` is the
+    shared folder for staged data (``spark.checkpoint.dir``); a master that is
+    not local needs one.
 
     AQE stays on so the runtime re-plans joins (broadcast only when the
     measured side is under ``autoBroadcastJoinThreshold``), coalesces small
@@ -45,6 +47,10 @@ def build_session(master: str = "local[8]", app: str = "tidewater",
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g")))
+    if scratch:
+        b = b.config(_CKPT_KEY, scratch)
+    elif not master.startswith("local") and _CKPT_KEY not in (extra or {}):
+        raise ValueError(f"{master} needs a shared scratch folder")
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
