@@ -272,7 +272,7 @@ def _columns_but(df: DataFrame, *names: str) -> list[T.StructField]:
 
 
 def encode(df: DataFrame, tokenizer: bytes, text_col: str = "text", ids_col: str = "ids",
-           decoded_col: str | None = None, chunk_bytes: int = 12 << 20) -> DataFrame:
+           decoded_col: str | None = None, chunk_bytes: int = 6 << 20) -> DataFrame:
     """All columns of ``df`` plus ``ids_col``: the token ids of ``text_col``
     as little-endian unsigned 32-bit integers in one binary value, and, if
     ``decoded_col`` is named, the text that those ids decode to. A column of
@@ -300,7 +300,7 @@ def encode(df: DataFrame, tokenizer: bytes, text_col: str = "text", ids_col: str
                 out.append(pa.array(decode_ids(stream, offs, t), type=pa.string()))
             yield pa.RecordBatch.from_arrays(out, names=names + new)
 
-    return df.mapInArrow(run, T.StructType(fields))
+    return df.mapInArrow(vec.trimmed(run), T.StructType(fields))
 
 
 def decode(df: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -320,4 +320,4 @@ def decode(df: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col: str
             yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [pa.array(texts, type=pa.string())],
                                              names=names + [text_col])
 
-    return df.mapInArrow(run, T.StructType(kept + [T.StructField(text_col, T.StringType())]))
+    return df.mapInArrow(vec.trimmed(run), T.StructType(kept + [T.StructField(text_col, T.StringType())]))

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm import vec
 from tidewater.llm.components import connected_components
 from tidewater.session import materialize
 
@@ -137,7 +138,7 @@ def dedup(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least:
     fine = (F.size(numbers) > 0) & F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & \
         F.exists(numbers, lambda x: x != 0) & F.col(key).isNotNull()
     ids = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), F.coalesce(fine, F.lit(False)).alias("fine"))
-    good = materialize(ids.filter("fine").select("id", "v").mapInArrow(pack, "id long, vec binary"), "vectors", "parquet")
+    good = materialize(ids.filter("fine").select("id", "v").mapInArrow(vec.trimmed(pack), "id long, vec binary"), "vectors", "parquet")
     classes = materialize(good.groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes", "parquet")
     sizes = {r[0] // width: r[1] for r in classes.groupBy(F.octet_length("vec")).count().collect()}  # a row per dimension
     parts = {d: max(1, min(3, math.ceil(math.log(max(c, 32) / 16) / math.log(2 * max(2, 1 << (d - 1).bit_length())))))
@@ -164,7 +165,7 @@ def dedup(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least:
                         names=["code", "dim", "rep", "n", "vec", "sig"])
 
     entries = materialize(classes.select("rep", "n", "vec").mapInArrow(
-        enter, "code long, dim int, rep long, n long, vec binary, sig binary"), "entries", "parquet")
+        vec.trimmed(enter), "code long, dim int, rep long, n long, vec binary, sig binary"), "entries", "parquet")
     load = entries.groupBy("code", "dim").agg(F.count("*").alias("load")).filter("load > 1").select(
         F.col("code").alias("c"), F.col("dim").alias("d"), F.ceil(F.col("load") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -202,7 +203,7 @@ def dedup(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least:
             if b - a < 2:
                 continue
             part = t.slice(a, b - a)
-            x = _unit(_rows(part.column("vec").combine_chunks() if hasattr(part.column("vec"), "combine_chunks") else part.column("vec"), dtype))
+            x = _unit(_rows(part.column("vec"), dtype))
             sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), dtype="<i8").reshape(b - a, tables, probes)
             linked, low = _compare(x, n[a:b], sig, rep[a:b], own_[a:b] == lo[a], own_[a:b] == hi[a], int(code[a]), least)
             some = (linked > 0) | (low != rep[a:b])
@@ -214,7 +215,7 @@ def dedup(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least:
                                              names=["rep", "linked", "low"])
 
     found = materialize(dealt.repartition(*task).sortWithinPartitions(*task).mapInArrow(
-        compare, "rep long, linked long, low long"), "linked", "parquet")
+        vec.trimmed(compare), "rep long, linked long, low long"), "linked", "parquet")
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     comps = connected_components(found.filter("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b")))
     result = (classes.join(linked.withColumnRenamed("rep", "r1"), F.col("rep") == F.col("r1"), "left")

@@ -112,7 +112,7 @@ def _sample_counts(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
                 [part.column(label_col), pa.array(ids, type=pa.binary()), pa.array(counts, type=pa.binary())],
                 names=["label", "features", "counts"])
 
-    return df.select(label_col, text_col).mapInArrow(run, "label string, features binary, counts binary")
+    return df.select(label_col, text_col).mapInArrow(vec.trimmed(run), "label string, features binary, counts binary")
 
 
 def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_col: str = "doc_id",
@@ -205,4 +205,4 @@ def predict(df: DataFrame, model: Model, text_col: str = "text",
                 [part.column(c) for c in names] + [pa.array(langs, type=pa.string()), pa.array(score, type=pa.float64())],
                 names=names + [lang_col, score_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(vec.trimmed(run), schema)

@@ -247,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([r.tobytes() for r in x], type=pa.binary())],
                                              names=["y", "x"])
 
-    got = joined.select("y", "text").mapInArrow(run, "y int, x binary").collect()
+    got = joined.select("y", "text").mapInArrow(vec.trimmed(run), "y int, x binary").collect()
     got.sort(key=lambda r: (r["y"], bytes(r["x"])))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), dtype="<f8").reshape(len(got), len(FEATURES))
     y = np.array([r["y"] for r in got], dtype=np.float64)
@@ -269,4 +269,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
             yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [pa.array(s, type=pa.float64())],
                                              names=names + [score_col])
 
-    return df.mapInArrow(run, T.StructType(kept + [T.StructField(score_col, T.DoubleType())]))
+    return df.mapInArrow(vec.trimmed(run), T.StructType(kept + [T.StructField(score_col, T.DoubleType())]))

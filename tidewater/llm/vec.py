@@ -7,6 +7,7 @@ Hashes depend on the bytes alone, never on the chunk, the task or the run.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,24 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n + 1]
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: a worker process
+    outlives its tasks, and what it keeps is lacking elsewhere on its machine."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def trimmed(run):
+    """``run`` over a task's batches; afterwards the worker's memory is released."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return task
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = 1 << 20, max_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``max_bytes`` of ``column``
