@@ -76,7 +76,7 @@ FROM e GROUP BY conv_id"""
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = substring_dedup.remove_spans(docs, substring_dedup.repeated_spans(docs))
+    out = substring_dedup.remove_repeats(docs)
     return out.select("doc_id", "n_words", "n_removed",
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

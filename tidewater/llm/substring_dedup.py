@@ -36,7 +36,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,27 +220,27 @@ def _repeated(entries: DataFrame, parts: int) -> DataFrame:
                 many &= at >= 0  # a task that saw its name twice has told its own places
                 yield from _dealt(own[many] % parts, name[many], bits[many], own[many], at[many], True)
 
-    return entries.repartition("to").sortWithinPartitions("to").mapInArrow(count, _ENTRY).select("to", "own", "n", "at")
+    return entries.repartition("to").sortWithinPartitions("to").mapInArrow(vec.trimmed(count), _ENTRY).select("to", "own", "n", "at")
 
 
-def _own(key: str, text: str):
-    return F.xxhash64(F.col(key).cast("string"), F.col(text))
+def _by_document(df: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
+    """All rows with ``__own`` (names the row: a hash of key and text) and
+    ``__to``, the part of the documents that the row is dealt to."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.xxhash64(F.col(key).cast("string"), F.col(text))
+    return df.withColumn("__own", own).withColumn("__to", F.pmod("__own", F.lit(parts)).cast("int")), parts
 
 
-def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 35) -> DataFrame:
-    """(own, starts, ends): the word ranges of each document that repeated
-    windows cover, as two arrays; ``own`` names the row (a hash of key and
-    text). Documents without any are left out."""
-    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = df.select(F.col(text).alias("text"), _own(key, text).alias("own"))
-
+def _spans(dealt: DataFrame, parts: int, text: str, width: int) -> DataFrame:
+    """(to, own, starts, ends): the word ranges of each document that repeated
+    windows cover, as two arrays. Documents without any are left out."""
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Sender(parts)
-        for part in vec.chunks(batches, "text"):
-            p = Parse(*vec.buffer(part.column("text")))
+        for part in vec.chunks(batches, text):
+            p = Parse(*vec.buffer(part.column(text)))
             ok = p.bounded(width)
             doc = p.doc[ok]
-            own = part.column("own").to_numpy()[doc]
+            own = part.column("__own").to_numpy()[doc]
             yield from out.add(p.name[ok], np.zeros(len(doc), dtype=np.uint32), own, p.first[ok] - p.word_offs[doc])
         yield from out.flush()
 
@@ -249,21 +248,18 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width
         out, got = _Sender(parts), []
         own, at = _unpacked(packets, False)
         several = np.unique(_spot(own, at))
-        for part in vec.chunks(iter(docs.to_batches()), "text"):
-            p = Parse(*vec.buffer(part.column("text")))
-            mine = part.column("own").to_numpy()
+        for part in vec.chunks(iter(docs.to_batches()), text):
+            p = Parse(*vec.buffer(part.column(text)))
+            mine = part.column("__own").to_numpy()
             spot = _spot(mine[p.doc], p.first - p.word_offs[p.doc])
             start = p.open_starts(width, p.bounded(width) & ~np.isin(spot, several))
             doc = np.searchsorted(p.word_offs, start, side="right") - 1
             name, bits = p.windows(width)
             got += out.add(name[start], bits[start], mine[doc], start - p.word_offs[doc])
         got += out.flush()
+        vec.release()
         return pa.Table.from_batches(got, schema=_ENTRY_SCHEMA)
 
-    live = _repeated(docs.mapInArrow(symbols, _ENTRY), parts)
-    dealt = docs.withColumn("to", F.pmod("own", F.lit(parts)).cast("int"))
-    entries = dealt.groupBy("to").cogroup(live.groupBy("to")).applyInArrow(windows, _ENTRY)
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_place(batches):
             own, at = _unpacked(table, False)
@@ -276,52 +272,74 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width
             docs_at = np.flatnonzero(np.append(True, whose[1:] != whose[:-1])) if len(whose) else head
             offs = pa.array(np.append(docs_at, len(whose)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whose[docs_at]), pa.ListArray.from_arrays(offs, pa.array(start.astype(np.int32))),
-                 pa.ListArray.from_arrays(offs, pa.array(end.astype(np.int32)))], names=["own", "starts", "ends"])
+                [pa.array(np.full(len(docs_at), table.column("to")[0].as_py(), dtype=np.int32)), pa.array(whose[docs_at]),
+                 pa.ListArray.from_arrays(offs, pa.array(start.astype(np.int32))),
+                 pa.ListArray.from_arrays(offs, pa.array(end.astype(np.int32)))], names=["to", "own", "starts", "ends"])
 
+    several = _repeated(dealt.select(text, "__own").mapInArrow(vec.trimmed(symbols), _ENTRY), parts)
+    entries = dealt.groupBy("__to").cogroup(several.groupBy("to")).applyInArrow(windows, _ENTRY)
     return (_repeated(entries, parts).repartition("to").sortWithinPartitions("to")
-            .mapInArrow(merge, "own long, starts array<int>, ends array<int>"))
+            .mapInArrow(vec.trimmed(merge), "to int, own long, starts array<int>, ends array<int>"))
 
 
 def _spot(own: np.ndarray, at: np.ndarray) -> np.ndarray:
     return vec.mix(own.view(U64) + vec.mix(at.astype(U64) + U64(1)))
 
 
-def remove_spans(df: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text",
-                 counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
-    """``df`` with ``text`` reduced to the words outside the spans, joined by
-    one space (null stays null), and two more columns: words, words removed."""
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 35,
+                   counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
+    """All rows and columns of ``df`` with ``text`` reduced to the words that no
+    repeated window covers, joined by one space (null stays null), and two
+    more columns: words, words removed. A column that bears one of their
+    names is replaced.
+
+    Both passes over the texts deal them out the same way, so that Spark
+    shuffles them once and reads that shuffle twice."""
     kept = df.select(*[c for c in df.columns if c not in counts])
-    names = kept.columns
-    s = spans.withColumnRenamed("own", "__o")
-    joined = kept.withColumn("__own", _own(key, text)).join(
-        s.select("__o", F.col("starts").alias("__starts"), F.col("ends").alias("__ends")),
-        F.col("__own") == F.col("__o"), "left").drop("__own", "__o")
-    fields = kept.schema.fields + [T.StructField(c, T.LongType()) for c in counts]
-    at_text = names.index(text)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in vec.chunks(batches, text):
-            data, offs = vec.buffer(part.column(text))
-            start, end, doc = vec.word_spans(data, offs)
-            n = part.num_rows
-            words = np.bincount(doc, minlength=n)
-            base = vec.lengths_to_offsets(words)
-            delta = np.zeros(len(start) + 1, dtype=np.int64)
-            for column, sign in (("__starts", 1), ("__ends", -1)):
-                lists = part.column(column)
-                many = pc.fill_null(lists.value_lengths(), 0).to_numpy()
-                at = np.minimum(np.repeat(base[:-1], many) + lists.flatten().to_numpy(), np.repeat(base[1:], many))
-                np.add.at(delta, at, sign)
-            gone = np.cumsum(delta)[:-1] > 0
-            raw, keep = data.tobytes(), np.flatnonzero(~gone)
-            pieces = [raw[a:b] for a, b in zip(start[keep].tolist(), end[keep].tolist())]
-            to = np.searchsorted(keep, base).tolist()
-            valid = part.column(text).is_valid().to_pylist()
-            texts = [b" ".join(pieces[a:b]).decode("utf-8") if ok else None for a, b, ok in zip(to, to[1:], valid)]
-            out = [part.column(c) for c in names]
-            out[at_text] = pa.array(texts, type=pa.string())
-            removed = np.bincount(doc[gone], minlength=n)
-            yield pa.RecordBatch.from_arrays(out + [pa.array(words), pa.array(removed)], names=names + list(counts))
-
-    return joined.mapInArrow(cut, T.StructType(fields))
+    names, at_text = kept.columns, kept.columns.index(text)
+    dealt, parts = _by_document(kept, key, text)
+    spans = _spans(dealt, parts, text, width)
+    schema = T.StructType(kept.schema.fields + [T.StructField(c, T.LongType()) for c in counts])
+
+    def cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
+        whose = spans.column("own").to_numpy()
+        order = np.argsort(whose, kind="stable")
+        whose = whose[order]
+        lists = [spans.column(c).combine_chunks().take(pa.array(order)) for c in ("starts", "ends")]
+        out = [_without(part, at_text, names, counts, whose, lists)
+               for part in vec.chunks(iter(docs.to_batches()), text)]
+        vec.release()
+        return pa.Table.from_batches(out) if out else docs.select(names).append_column(
+            counts[0], pa.array([], type=pa.int64())).append_column(counts[1], pa.array([], type=pa.int64()))
+
+    return dealt.groupBy("__to").cogroup(spans.groupBy("to")).applyInArrow(cut, schema)
+
+
+def _without(part: pa.RecordBatch, at_text: int, names: list[str], counts: tuple[str, str],
+             whose: np.ndarray, lists: list[pa.Array]) -> pa.RecordBatch:
+    """A chunk of documents without the words in their spans."""
+    data, offs = vec.buffer(part.column(names[at_text]))
+    start, end, doc = vec.word_spans(data, offs)
+    n = part.num_rows
+    words = np.bincount(doc, minlength=n)
+    base = vec.lengths_to_offsets(words)
+    delta = np.zeros(len(start) + 1, dtype=np.int64)
+    if len(whose):
+        own = part.column("__own").to_numpy()
+        row = np.minimum(np.searchsorted(whose, own), len(whose) - 1)
+        has = np.flatnonzero(whose[row] == own)
+        for column, sign in zip(lists, (1, -1)):
+            mine = column.take(pa.array(row[has]))
+            many = mine.value_lengths().to_numpy()
+            at = np.minimum(np.repeat(base[has], many) + mine.flatten().to_numpy(), np.repeat(base[has + 1], many))
+            np.add.at(delta, at, sign)
+    gone = np.cumsum(delta)[:-1] > 0
+    raw, keep = data.tobytes(), np.flatnonzero(~gone)
+    pieces = [raw[a:b] for a, b in zip(start[keep].tolist(), end[keep].tolist())]
+    to = np.searchsorted(keep, base).tolist()
+    valid = part.column(names[at_text]).is_valid().to_pylist()
+    texts = [b" ".join(pieces[a:b]).decode("utf-8") if ok else None for a, b, ok in zip(to, to[1:], valid)]
+    out = [part.column(c) for c in names]
+    out[at_text] = pa.array(texts, type=pa.string())
+    return pa.RecordBatch.from_arrays(out + [pa.array(words), pa.array(np.bincount(doc[gone], minlength=n))],
+                                      names=names + list(counts))
