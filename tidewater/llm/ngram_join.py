@@ -8,19 +8,23 @@ what cannot link:
 1. *Single shingles.* In a fixed part of the hash space every shingle is
    counted. A set can only link if at least what is left of that part after
    taking away a quarter of the set also stands in another set. Few sets pass.
-2. *Answers by relation.* Sets that agree in a band of min-hashes are checked
-   against one leader; what links has an anchor with a known exact distance
-   (the size of the symmetric difference, which is a metric), and components
-   are known early.
+2. *Answers by relation.* Sets that agree in a band of min-hashes are compared
+   with one leader, the set that shares the most bands. A set near its leader
+   is kept as the difference to it: two sets of one leader then have the
+   distance (size of the symmetric difference) that their small differences
+   have, so all pairs of one leader are settled from the differences, block by
+   block, and only a spanning set of links is written.
 3. *Index lists with skipping.* Of the sets that passed, the first quarter of
    the shingles (common ones ordered last) goes into index lists. A list that
-   lies within one component is skipped. The others are cut into blocks by
+   lies within one component or one leader's sets is skipped. The others are
+   cut into blocks by
    set size; a pair of blocks is skipped where its sizes, positions or
    components rule out every pair in it, and inside a pair of blocks the
    position filter is applied to all pairs at once.
-4. *Answers derived.* For a candidate pair the anchors are compared, once
-   per pair of anchors. The triangle inequality then settles most candidates
-   either way; only the undecided ones are compared themselves.
+4. *Answers derived.* For a candidate pair the leaders are compared, once
+   per pair of leaders. Distances are a metric, and the triangle inequality
+   settles most candidates either way; only the undecided ones are compared
+   themselves.
 
 What is written out grows with the number of sets and of candidates between
 different components, never with the pairs inside a group of near copies.
@@ -173,7 +177,7 @@ def _passed(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
                 names=["key", "row", "own", "n", "counted"])
 
     sets = materialize(docs.select("key", "row", "text").mapInArrow(
-        measure, "key long, row long, own long, n long, counted long"), "sets", "parquet")
+        vec.trimmed(measure), "key long, row long, own long, n long, counted long"), "sets", "parquet")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xs, owns, held = [], [], 0
@@ -208,8 +212,8 @@ def _passed(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
             often = df >= 16
             yield from _packets(3, np.zeros(int(often.sum()), dtype=np.int32), names[often], df[often].astype("<u4"))
 
-    told = materialize(docs.select("text").mapInArrow(tell, _PACKET_SQL).repartition("to").sortWithinPartitions("to")
-                       .mapInArrow(count, _PACKET_SQL), "shingles", "parquet")
+    told = materialize(docs.select("text").mapInArrow(vec.trimmed(tell), _PACKET_SQL).repartition("to").sortWithinPartitions("to")
+                       .mapInArrow(vec.trimmed(count), _PACKET_SQL), "shingles", "parquet")
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_place(batches):
@@ -220,8 +224,8 @@ def _passed(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
             x, df = _read(pa.Table.from_batches([batch]), 3)
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(df.astype(np.int64))], names=["x", "df"])
 
-    live = (told.filter("kind = 0").repartition("to").sortWithinPartitions("to").mapInArrow(total, "own long, live long"))
-    often = told.filter("kind = 3").mapInArrow(spread, "x long, df long")
+    live = (told.filter("kind = 0").repartition("to").sortWithinPartitions("to").mapInArrow(vec.trimmed(total), "own long, live long"))
+    often = told.filter("kind = 3").mapInArrow(vec.trimmed(spread), "x long, df long")
     steps = {r[0]: r[1] for r in often.groupBy(F.floor(F.log2("df")).alias("s")).count().collect()}  # a row per power of two
     least, known = 64, 0
     for s in sorted(steps, reverse=True):
@@ -238,27 +242,33 @@ def _passed(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     return sets, passed, common
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """(a, b, na, nb, apart) of the pairs (a, b): sizes and exact distance."""
+def _compared(pairs: DataFrame, texts: DataFrame, k: int, differences: bool = False) -> DataFrame:
+    """(a, b, na, nb, apart) of the pairs (a, b): sizes and exact distance;
+    with ``differences`` also the shingles that stand in one of the two only,
+    for sets near each other (else null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, "ta"):
             left, right = (shingle_sets(part.column(c), k) for c in ("ta", "tb"))
-            both = []
+            apart, delta = [], []
             for x, y in zip(left, right):
-                if not len(x) or not len(y):
-                    both.append(0)
-                else:
-                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    both.append(int((y[at] == x).sum()))
-            na, nb = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(na), pa.array(nb),
-                                              pa.array(na + nb - 2 * np.array(both, dtype=np.int64))],
-                                             names=["a", "b", "na", "nb", "apart"])
+                d = np.setxor1d(x, y, assume_unique=True)
+                apart.append(len(d))
+                delta.append(d.tobytes() if _near(len(d), len(x) + len(y)) else None)
+            out = [part.column("a"), part.column("b"), pa.array([len(x) for x in left], type=pa.int64()),
+                   pa.array([len(x) for x in right], type=pa.int64()), pa.array(apart, type=pa.int64())]
+            yield pa.RecordBatch.from_arrays(out + [pa.array(delta, type=pa.binary())] * differences,
+                                             names=["a", "b", "na", "nb", "apart"] + ["delta"] * differences)
 
     ta = texts.select(F.col("own").alias("oa"), F.col("text").alias("ta"))
     tb = texts.select(F.col("own").alias("ob"), F.col("text").alias("tb"))
     return (pairs.join(ta, F.col("a") == F.col("oa")).join(tb, F.col("b") == F.col("ob"))
-            .select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, na long, nb long, apart long"))
+            .select("a", "b", "ta", "tb").mapInArrow(
+                vec.trimmed(run), "a long, b long, na long, nb long, apart long" + ", delta binary" * differences))
+
+
+def _near(apart: int, sizes: int) -> bool:
+    """Whether a set is kept as the difference to its leader (similarity 0.4 or more)."""
+    return 7 * apart <= 3 * sizes
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -272,7 +282,8 @@ def _label(sets: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _by_leaders(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Step 2: (links, component of each set, anchor of each set with its distance)."""
+    """Step 2: (links, component of each set, leader of each set near one with
+    its distance)."""
     seeds = vec.constants(BANDS * ROWS, 57)
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,32 +303,133 @@ def _by_leaders(texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFra
                 [pa.array(np.repeat(own, BANDS)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(full))),
                  pa.array(keys.reshape(-1).view(np.int64))], names=["own", "band", "key"])
 
-    found = materialize(texts.select("own", "text").mapInArrow(bands, "own long, band int, key long"), "bands", "parquet")
-    leaders = found.groupBy("band", "key").agg(F.min("own").alias("leader"), F.count("*").alias("c")).filter("c > 1")
-    star = materialize(found.join(leaders, ["band", "key"]).filter("own != leader").groupBy("own", "leader")
-                       .agg(F.count("*").alias("votes")), "star", "parquet")
-    best = star.groupBy("own").agg(F.max(F.struct("votes", "leader")).alias("v")).select(
-        F.col("own").alias("a"), F.col("v.leader").alias("b"))
-    first = materialize(_compared(best, texts, k), "first", "parquet")
+    found = materialize(texts.select("own", "text").mapInArrow(vec.trimmed(bands), "own long, band int, key long"), "bands", "parquet")
+    shared = found.groupBy("band", "key").agg(F.count("*").alias("c")).filter("c > 1")
+    met = materialize(found.join(shared, ["band", "key"]), "met", "parquet")
+    score = met.groupBy("own").agg(F.sum("c").alias("score")).withColumnRenamed("own", "o")
+    scored = met.join(score, F.col("own") == F.col("o")).drop("o")
+    leaders = scored.groupBy("band", "key").agg(F.max(F.struct("score", "own")).alias("lead"))
+    star = materialize(met.join(leaders, ["band", "key"]).select("own", "lead").distinct(), "star", "parquet")
+    best = star.groupBy("own").agg(F.max("lead").alias("lead")).filter("own != lead.own").select(
+        F.col("own").alias("a"), F.col("lead.own").alias("b"))
+    best = materialize(best, "leaders", "parquet")
+    tops = _top_leaders(best)
+    pairs = best.unionByName(tops).distinct()
+    first = materialize(_compared(pairs, texts, k, True), "first", "parquet")
     sets = texts.select("own")
     comps = materialize(_label(sets, connected_components(_links(first))), "comps", "parquet")
+    # a set near its top leader is kept as the difference to that one, else to its own leader
+    t = tops.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
+    near = (first.filter("delta IS NOT NULL").join(t, F.col("a") == F.col("ta"))
+            .groupBy("a").agg(F.max(F.struct((F.col("b") == F.col("tb")).alias("top"), "b", "na", "apart", "delta")).alias("v"))
+            .select(F.col("a").alias("own"), F.col("v.b").alias("lead"), F.col("v.na").alias("n"), "v.apart", "v.delta"))
+    near = materialize(near, "near", "parquet")
+    links = _links(first).select("a", "b").unionByName(_within_leaders(near, comps))
+    comps = materialize(_label(sets, connected_components(links)), "comps", "parquet")
     c1 = comps.select(F.col("own").alias("o1"), F.col("comp").alias("c1"))
     c2 = comps.select(F.col("own").alias("o2"), F.col("comp").alias("c2"))
-    again = (star.join(c1, F.col("own") == F.col("o1")).join(c2, F.col("leader") == F.col("o2")).filter("c1 != c2")
-             .groupBy("own", "c2").agg(F.max(F.struct("votes", "leader")).alias("v"))
-             .select(F.col("own").alias("a"), F.col("v.leader").alias("b"))
-             .join(first.select(F.col("a").alias("fa"), F.col("b").alias("fb")),
+    again = (star.join(c1, F.col("own") == F.col("o1")).join(c2, F.col("lead.own") == F.col("o2")).filter("c1 != c2")
+             .groupBy("own", "c2").agg(F.max("lead").alias("lead"))
+             .select(F.col("own").alias("a"), F.col("lead.own").alias("b"))
+             .join(pairs.select(F.col("a").alias("fa"), F.col("b").alias("fb")),
                    (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")), "left_anti"))
     second = materialize(_compared(again, texts, k), "second", "parquet")
-    links = _links(first).unionByName(_links(second)).select("a", "b")
+    links = links.unionByName(_links(second).select("a", "b"))
     comps = materialize(_label(sets, connected_components(links)), "comps", "parquet")
-    anchors = _links(first).select(F.col("a").alias("own"), F.col("b").alias("anchor"), "apart")
-    return links, comps, anchors
-
-
-def _candidates(texts: DataFrame, comps: DataFrame, common: np.ndarray, k: int) -> DataFrame:
-    """Step 3: distinct pairs (a, b) of different components that pass the
-    size and position filters at a shingle of both index parts."""
+    return links, comps, near.select("own", F.col("lead").alias("anchor"), "apart")
+
+
+def _top_leaders(leaders: DataFrame) -> DataFrame:
+    """(a, b): each set's leader's leader and so on, up to one without. Ranks
+    only rise along the way, so pointers end; they are doubled each round."""
+    up = leaders
+    while True:
+        above = up.select(F.col("a").alias("a2"), F.col("b").alias("b2"))
+        jumped = materialize(up.join(above, F.col("b") == F.col("a2"), "left").select(
+            "a", F.coalesce("b2", "b").alias("b"), F.col("b2").isNotNull().alias("moved")), "tops", "parquet")
+        up = jumped.select("a", "b")
+        if jumped.filter("moved").isEmpty():
+            return up
+
+
+def _within_leaders(near: DataFrame, comps: DataFrame) -> DataFrame:
+    """A spanning set of the links (a, b) among sets kept as differences to
+    the same leader, where they join components."""
+    c = comps.select(F.col("own").alias("o"), "comp")
+    rows = materialize(near.join(c, F.col("own") == F.col("o")).select("lead", "own", "n", "delta", "comp"), "near", "parquet")
+    load = rows.groupBy("lead").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                    F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("c0 < c1")
+    dealt = (rows.join(load.select(F.col("lead").alias("l"), "blocks"), F.col("lead") == F.col("l"))
+             .withColumn("mine", F.pmod(F.xxhash64("own"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("lead", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "own", "n",
+                     "comp", "delta"))
+    task = ["lead", "lo", "hi"]
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _by_columns(batches, task):
+            own, n, comp, mine = (t.column(c).to_numpy() for c in ("own", "n", "comp", "mine"))
+            if len(own) < 2 or comp.min() == comp.max():
+                continue
+            deltas = [np.frombuffer(x, dtype="<u8") for x in t.column("delta").to_pylist()]
+            label = _settled(deltas, n, comp, mine == t.column("lo")[0].as_py(), mine == t.column("hi")[0].as_py())
+            moved = np.flatnonzero(label != np.arange(len(own)))
+            if len(moved):
+                yield pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(own[label[moved]])], names=["a", "b"])
+
+    return dealt.repartition(*task).sortWithinPartitions(*task).mapInArrow(vec.trimmed(resolve), "a long, b long")
+
+
+def _settled(deltas: list[np.ndarray], n: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of sets given as differences to one leader, the least row that links
+    between ``left`` and ``right`` rows of different components reach."""
+    size = np.array([len(d) for d in deltas])
+    row = np.repeat(np.arange(len(deltas)), size)
+    flat = np.concatenate(deltas)
+    _, col, count = np.unique(flat, return_inverse=True, return_counts=True)
+    several = count[col] > 1
+    row, col = row[several], np.unique(col[several], return_inverse=True)[1]
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    both = np.zeros((len(a), len(b)), dtype=np.float32)
+    for at in range(0, int(col.max()) + 1 if len(col) else 0, 4096):  # shared shingles, some columns at a time
+        part = (col >= at) & (col < at + 4096)
+        m = np.zeros((len(deltas), 4096), dtype=np.float32)
+        m[row[part], col[part] - at] = 1
+        both += m[a] @ m[b].T
+    apart = size[a][:, None] + size[b][None, :] - 2 * both.astype(np.int64)
+    i, j = np.nonzero((7 * apart <= n[a][:, None] + n[b][None, :]) & (comp[a][:, None] != comp[b][None, :]))
+    i, j = a[i], b[j]
+    label = np.arange(len(deltas))
+    while True:
+        was = label.copy()
+        np.minimum.at(label, i, was[j])
+        np.minimum.at(label, j, was[i])
+        label = label[label]
+        if np.array_equal(label, was):
+            return label
+
+
+def _by_columns(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """Tables of one value of ``columns`` each, from rows sorted by them."""
+    rest = None
+    for batch in batches:
+        whole = pa.Table.from_batches([batch])
+        whole = (pa.concat_tables([rest, whole]) if rest is not None else whole).combine_chunks()
+        new = np.zeros(whole.num_rows, dtype=bool)
+        for c in columns:
+            v = whole.column(c).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist()]
+        for x, y in zip(cuts, cuts[1:]):
+            yield whole.slice(x, y - x)
+        rest = whole.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _candidates(texts: DataFrame, comps: DataFrame, anchors: DataFrame, common: np.ndarray, k: int) -> DataFrame:
+    """Step 3: distinct pairs (a, b) of different components and leaders that
+    pass the size and position filters at a shingle of both index parts."""
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,18 +450,23 @@ def _candidates(texts: DataFrame, comps: DataFrame, common: np.ndarray, k: int)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(xs).view(np.int64)), pa.array(part.column("own").to_numpy()[who]),
                  pa.array(np.array([len(x) for x in sets], dtype=np.int32)[who]), pa.array(np.concatenate(pos)),
-                 pa.array(part.column("comp").to_numpy()[who])], names=["x", "own", "n", "pos", "comp"])
-
-    with_comp = texts.join(comps.select(F.col("own").alias("o"), "comp"), F.col("own") == F.col("o")).select("own", "text", "comp")
-    entries = materialize(with_comp.mapInArrow(enter, "x long, own long, n int, pos int, comp long"), "index", "parquet")
-    mixed = entries.groupBy("x").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select(
-        F.col("x").alias("mx"))
+                 pa.array(part.column("comp").to_numpy()[who]), pa.array(part.column("anchor").to_numpy()[who])],
+                names=["x", "own", "n", "pos", "comp", "anchor"])
+
+    known = comps.join(anchors.select(F.col("own").alias("ao"), "anchor"), F.col("own") == F.col("ao"), "left").select(
+        F.col("own").alias("o"), "comp", F.coalesce("anchor", "own").alias("anchor"))
+    with_comp = texts.join(known, F.col("own") == F.col("o")).select("own", "text", "comp", "anchor")
+    entries = materialize(with_comp.mapInArrow(
+        vec.trimmed(enter), "x long, own long, n int, pos int, comp long, anchor long"), "index", "parquet")
+    mixed = entries.groupBy("x").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("anchor").alias("a0"), F.max("anchor").alias("a1")
+    ).filter("lo < hi AND a0 < a1").select(F.col("x").alias("mx"))
     listed = entries.join(mixed, F.col("x") == F.col("mx")).withColumn(
         "cls", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + F.lit(1e-9)).cast("int")).drop("mx")
     listed = materialize(listed, "lists", "parquet")
     load = listed.groupBy("x", "cls").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select(
         F.col("x").alias("lx"), F.col("cls").alias("lc"), "blocks")
-    entry = F.struct("own", "comp", "n", "pos")
+    entry = F.struct("own", "comp", "n", "pos", "anchor")
     blocks = (listed.join(load, (F.col("x") == F.col("lx")) & (F.col("cls") == F.col("lc")))
               .withColumn("no", F.pmod(F.xxhash64("own"), F.col("blocks")).cast("int"))
               .groupBy("x", "cls", "no").agg(
@@ -374,19 +491,19 @@ def _candidates(texts: DataFrame, comps: DataFrame, common: np.ndarray, k: int)
                 lists = batch.column(c)
                 flat = lists.flatten()
                 sides.append((vec.lengths_to_offsets(lists.value_lengths().to_numpy()),
-                              *[flat.field(f).to_numpy() for f in ("own", "comp", "n", "pos")]))
+                              *[flat.field(f).to_numpy() for f in ("own", "comp", "n", "pos", "anchor")]))
             for r in range(batch.num_rows):
-                (ao, ac, an, ap), (bo, bc, bn, bp) = ([v[s[0][r]:s[0][r + 1]] for v in s[1:]] for s in sides)
+                (ao, ac, an, ap, al), (bo, bc, bn, bp, bl) = ([v[s[0][r]:s[0][r + 1]] for v in s[1:]] for s in sides)
                 need = 3 * (an[:, None].astype(np.int64) + bn[None, :])
                 ok = 7 * np.minimum((an - ap)[:, None], (bn - bp)[None, :]).astype(np.int64) >= need
-                ok &= ac[:, None] != bc[None, :]
+                ok &= (ac[:, None] != bc[None, :]) & (al[:, None] != bl[None, :])
                 i, j = np.nonzero(ok)
                 if len(i):
                     u, v = ao[i], bo[j]
                     both = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v))), axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
-    return pairs.mapInArrow(compare, "a long, b long").distinct()
+    return pairs.mapInArrow(vec.trimmed(compare), "a long, b long").distinct()
 
 
 def _derived(candidates: DataFrame, texts: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
@@ -402,7 +519,8 @@ def _derived(candidates: DataFrame, texts: DataFrame, anchors: DataFrame, k: int
     known = materialize(_compared(cand.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), texts, k),
                         "anchors", "parquet").select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.col("apart").alias("d"))
     told = cand.join(known, (F.col("la") == F.col("ka")) & (F.col("lb") == F.col("kb")))
-    most, least = F.expr("d + da + db"), F.expr("greatest(d - da - db, abs(na - nb))")
+    most = F.expr("d + da + db")
+    least = F.expr("greatest(d - da - db, da - d - db, db - d - da, abs(na - nb))")
     told = materialize(told.select("a", "b", F.when(7 * most <= F.col("na") + F.col("nb"), True)
                                    .when(7 * least > F.col("na") + F.col("nb"), False).alias("linked")), "told", "parquet")
     open_ = _links(_compared(told.filter("linked IS NULL").select("a", "b"), texts, k)).select("a", "b")
@@ -419,7 +537,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     texts = materialize(docs.join(wanted, (F.col("key") == F.col("fk")) & (F.col("row") == F.col("fr")))
                         .select("own", "n", "text"), "texts", "parquet")
     links, comps, anchors = _by_leaders(texts, k)
-    more = _derived(_candidates(texts, comps, common, k), texts, anchors, k)
+    more = _derived(_candidates(texts, comps, anchors, common, k), texts, anchors, k)
     final = connected_components(links.unionByName(more))
     classes = sets.filter("n > 0").groupBy("own").agg(F.min("key").alias("least"))
     named = materialize(classes.join(final, F.col("own") == F.col("node")).select("own", "component", "least"), "named", "parquet")
