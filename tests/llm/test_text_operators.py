@@ -1,6 +1,8 @@
 """Substring dedup, n-gram join, winnowing, line chunks: against brute force."""
 
 import hashlib
+import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.util import documents, frame, key
+from tests.llm.util import documents, frame, key, words
 from tidewater.llm import line_chunks, ngram_join, queries, substring_dedup, vec, winnowing
 
 
@@ -247,3 +249,54 @@ def test_line_chunks_repeated_rows_empty_and_clashing_columns(spark):
     assert texts[-1] == text and all(len(t) < len(text) for t in texts[:-1])
     assert [r.text for r in out.filter("doc_id >= 3").orderBy("doc_id").collect()] == [None, ""]
     assert line_chunks.dedup(frame(spark, [])).collect() == []
+
+
+def _runs_cut(rows, least_lines=2, least_words=50):
+    """Texts without the lines of any run that stands at an earlier place it does not overlap."""
+    lines = [re.findall(r"[^\n]*\n|[^\n]+", t or "") for _, t in rows]
+    first, gone = {}, [set() for _ in rows]
+    for n in sorted(range(len(rows)), key=lambda n: rows[n][0]):
+        bare = [x.removesuffix("\n") for x in lines[n]]
+        for i in range(len(bare)):
+            for j in range(i + 1, len(bare) + 1):
+                run = "\n".join(bare[i:j])
+                if j - i < least_lines and len(_words(run)) < least_words:
+                    continue
+                m, at = first.setdefault((j - i, run), (n, i))
+                if m != n or at + (j - i) <= i:
+                    gone[n].update(range(i, j))
+    return ["".join(x for k, x in enumerate(line) if k not in gone[n]) for n, line in enumerate(lines)], [len(g) for g in gone]
+
+
+def test_line_runs_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(i, t) for i, t in documents(7, 40)]
+    long, whole = "long " * 60, [" ".join(words(rng, rng.randint(2, 70))) for _ in range(9)]
+    for i in range(12):  # passages of two to five lines between own lines, copies, lines that repeat in a row
+        a = rng.randint(0, 6)
+        rows.append((100 + i, "\n".join([f"own {i}", *whole[a:a + rng.randint(2, 5)], f"end {i}"]) + "\n" * (i % 2)))
+    rows += [(200, "\n".join(whole)), (201, "\n".join(whole) + "\n"), (202, "\n".join(["again"] * 5)), (203, "x\ny\nx\ny\nx"),
+             (204, long), (205, f"head\n{long}\nfoot"), (206, "again\nagain"), (207, "\n\n\n\n"), (208, "one"), (209, "x\n"),
+             (210, "p\nq"), (211, "p\nq\nr"), (212, "z\nq\nr\n")]
+    ids = Counter(i for i, _ in rows)
+    rows = [r for r in rows if ids[r[0]] == 1]  # which of two rows of one id comes first is settled by a hash of the text
+    want, n_removed = _runs_cut(rows)
+    got = {r.doc_id: r for r in line_chunks.dedup(frame(spark, rows), counts=("n_lines", "n_removed"), runs=True).collect()}
+    assert len(got) == len(rows) and sum(n_removed) > 50
+    for (i, t), text, n in zip(rows, want, n_removed):
+        assert got[i].text == (text if t is not None else None) and got[i].n_removed == n, i
+
+
+def test_line_runs_of_repeated_rows(spark):
+    text = "\n".join(f"line {i} with words" for i in range(12))
+    got = line_chunks.dedup(frame(spark, [(1, text), (1, text), (2, text), (None, "a\nb"), (None, "a\nb"), (3, "b")]), runs=True).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (0, "a\nb"), (1, ""), (1, text), (2, ""), (3, "b")]
+
+
+def test_line_chunks_query_leaves_no_copy(spark, tmp_dir):
+    """A copy of a document, and a passage of two short lines, go whole."""
+    base = "\n".join(f"line {i} of it" for i in range(7))
+    rows = [(1, base), (2, base)] + [(3 + i, f"own {i}\nfirst of two\nsecond of two\nend {i}") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op8_line_chunks(spark, tmp_dir).collect()}
+    assert [got[i].n_removed for i in range(1, 9)] == [0, 7, 0, 2, 2, 2, 2, 2]

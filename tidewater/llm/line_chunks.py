@@ -13,6 +13,14 @@ are matched by a 128-bit hash, and of each group the texts themselves are
 compared before anything is removed: a group whose texts are not all equal
 byte for byte stays whole.
 
+The chunks leave the lines of a passage before its first and after its last
+cut, and chunks of one line. With ``runs`` nothing of that kind stays: an
+anchor stands at every line instead of at cuts (each run of ``least_lines``
+lines, and each shorter one of ``least_words`` words), so that a repeated run
+of lines of any length is the union of its anchors. A line goes if an anchor
+over it stands at an earlier place that does not overlap it; each line that
+goes therefore still stands, byte for byte, at an earlier place.
+
 Defined cases: null text counts as empty: no lines, empty result; a null
 document id comes first of all; documents that repeat as rows lose their
 later copies' chunks like any other repeat; lines of white space are lines;
@@ -34,17 +42,29 @@ from tidewater.llm import vec
 from tidewater.session import materialize
 
 
-def chunk_spans(data: np.ndarray, offs: np.ndarray, window: int, average: int, least_words: int) -> tuple[np.ndarray, ...]:
-    """Byte start, byte end, document, lines and words of each chunk of the texts."""
+def _lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start, byte end and document of each line of the texts."""
     size = np.diff(offs)
     breaks = np.flatnonzero(data == 10) + 1
     starts = np.unique(np.concatenate((offs[:-1][size > 0], breaks)))
     starts = starts[starts < len(data)]
     if not len(starts):
         z = np.zeros(0, dtype=np.int64)
-        return z, z, z, z, z
-    ends = np.append(starts[1:], len(data))
-    doc = np.searchsorted(offs, starts, side="right") - 1
+        return z, z, z
+    return starts, np.append(starts[1:], len(data)), np.searchsorted(offs, starts, side="right") - 1
+
+
+def _first_words(data: np.ndarray, offs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Number of the first word at or after each start, and of words in all."""
+    wstart, _, _ = vec.word_spans(data, offs)
+    return np.searchsorted(wstart, np.append(starts, len(data)))
+
+
+def chunk_spans(data: np.ndarray, offs: np.ndarray, window: int, average: int, least_words: int) -> tuple[np.ndarray, ...]:
+    """Byte start, byte end, document, lines and words of each chunk of the texts."""
+    starts, ends, doc = _lines(data, offs)
+    if not len(starts):
+        return starts, starts, starts, starts, starts
     # a last line without a line end hashes like the same line with one
     bare = ends - (data[ends - 1] == 10)
     h = vec.span_hashes(data, starts, bare)
@@ -61,8 +81,7 @@ def chunk_spans(data: np.ndarray, offs: np.ndarray, window: int, average: int, l
     last = np.ones(n, dtype=bool)
     last[:-1] = doc[1:] != doc[:-1]
     close = last | (inside & ((vec.mix(roll) >> np.uint64(32)) % np.uint64(average) == 0))
-    wstart, _, _ = vec.word_spans(data, offs)
-    first_word = np.searchsorted(wstart, np.append(starts, len(data)))
+    first_word = _first_words(data, offs, starts)
     long = np.diff(first_word) >= least_words
     close |= long
     close[:-1] |= long[1:]
@@ -71,25 +90,52 @@ def chunk_spans(data: np.ndarray, offs: np.ndarray, window: int, average: int, l
     return starts[at], ends[to], doc[to], to - at + 1, first_word[to + 1] - first_word[at]
 
 
-def _chunks(df: DataFrame, text: str, window: int, average: int, least_lines: int, least_words: int,
-            wanted: str | None = None) -> DataFrame:
-    """(key, own, no, hash1, hash2) of every chunk long enough to be removed;
-    with ``wanted`` (an array column of chunk numbers) only those, and their text."""
+def anchor_spans(data: np.ndarray, offs: np.ndarray, least_lines: int, least_words: int) -> tuple[np.ndarray, ...]:
+    """Byte start, byte end, document and number of each run of ``least_lines``
+    lines and each shorter one of ``least_words`` words; the number is that of
+    the first line in its document times ``least_lines``, plus lines less one."""
+    starts, ends, doc = _lines(data, offs)
+    first_word = _first_words(data, offs, starts)
+    line = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    out = []
+    for more in range(least_lines):
+        at = np.arange(len(doc) - more)
+        at = at[doc[at] == doc[at + more]]
+        if more < least_lines - 1:
+            at = at[first_word[at + more + 1] - first_word[at] >= least_words]
+        out.append((starts[at], ends[at + more], doc[at], line[at] * least_lines + more))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _candidates(data: np.ndarray, offs: np.ndarray, window: int, average: int, least_lines: int, least_words: int,
+                runs: bool) -> tuple[np.ndarray, ...]:
+    """Byte start, byte end, document and number of all that may be removed."""
+    if runs:
+        return anchor_spans(data, offs, least_lines, least_words)
+    start, end, doc, lines, words = chunk_spans(data, offs, window, average, least_words)
+    no = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    keep = (lines >= least_lines) | (words >= least_words)
+    return start[keep], end[keep], doc[keep], no[keep]
+
+
+def _listed(part: pa.RecordBatch, column: str) -> np.ndarray:
+    """Document and number of the lists of ``column``, in one integer each."""
+    lists = part.column(column)
+    return np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy()) * (1 << 32) + lists.flatten().to_numpy()
+
+
+def _chunks(df: DataFrame, text: str, how: tuple, wanted: str | None = None) -> DataFrame:
+    """(key, own, no, hash1, hash2) of every chunk (or anchor) long enough to be
+    removed; with ``wanted`` (an array column of their numbers) only those, and their text."""
     schema = "key long, own long, no int, h1 long, h2 long" + (", chunk string" if wanted else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, text):
             data, offs = vec.buffer(part.column(text))
-            start, end, doc, lines, words = chunk_spans(data, offs, window, average, least_words)
-            if not len(start):
-                continue
-            no = np.arange(len(doc)) - np.searchsorted(doc, doc)
-            keep = (lines >= least_lines) | (words >= least_words)
+            start, end, doc, no = _candidates(data, offs, *how)
             if wanted:
-                lists = part.column(wanted)
-                pairs = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy()) * (1 << 32) + lists.flatten().to_numpy()
-                keep &= np.isin(doc * (1 << 32) + no, pairs)
-            start, end, doc, no = start[keep], end[keep], doc[keep], no[keep]
+                keep = np.isin(doc * (1 << 32) + no, _listed(part, wanted))
+                start, end, doc, no = start[keep], end[keep], doc[keep], no[keep]
             if not len(start):
                 continue
             bare = end - (data[end - 1] == 10)  # a chunk at a text's end may lack its line end
@@ -109,23 +155,28 @@ def _chunks(df: DataFrame, text: str, window: int, average: int, least_lines: in
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 2, average: int = 3,
-          least_lines: int = 2, least_words: int = 50, counts: tuple[str, str] | None = None) -> DataFrame:
-    """All rows and columns of ``df`` with the repeated chunks cut out of
-    ``text``; with ``counts``, two more columns: lines, and lines removed."""
-    how = (window, average, least_lines, least_words)
+          least_lines: int = 2, least_words: int = 50, counts: tuple[str, str] | None = None,
+          runs: bool = False) -> DataFrame:
+    """All rows and columns of ``df`` with the repeated chunks (with ``runs``,
+    all repeated runs of lines) cut out of ``text``; with ``counts``, two more
+    columns: lines, and lines removed."""
+    how = (window, average, least_lines, least_words, runs)
     ident = [F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("key"),
              F.xxhash64(F.col(text)).alias("own")]
-    meta = materialize(_chunks(df.select(*ident, F.col(text).alias("text")), "text", *how), "chunks", "parquet")
+    meta = materialize(_chunks(df.select(*ident, F.col(text).alias("text")), "text", how), "chunks", "parquet")
     # rows alike in id and text: all but one are later copies
     groups = meta.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("key", "own", "no")).alias("first"))
     groups = materialize(groups.filter("n > 1"), "repeats", "parquet")
     g = groups.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first")
+    # an anchor over lines of its own first place stays with it
+    over = least_lines * (F.col("no") % least_lines + 1) if runs else F.lit(1)
+    is_first = (F.struct("key", "own") == F.struct("first.key", "first.own")) & (F.col("no") - F.col("first.no") < over)
     hits = meta.join(g, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).select(
-        "key", "own", "no", "h1", "h2", (F.struct("key", "own", "no") == F.col("first")).alias("is_first"))
+        "key", "own", "no", "h1", "h2", is_first.alias("is_first"))
     hits = materialize(hits, "hits", "parquet")
     nos = hits.groupBy("key", "own").agg(F.collect_set("no").alias("wanted"))
     rows = df.select(*ident, F.col(text).alias("text"))
-    texts = _chunks(rows.join(nos, ["key", "own"]).select("key", "own", "text", "wanted"), "text", *how, wanted="wanted")
+    texts = _chunks(rows.join(nos, ["key", "own"]).select("key", "own", "text", "wanted"), "text", how, wanted="wanted")
     same = (texts.groupBy("h1", "h2", "chunk").agg(F.lit(1).alias("one"))  # byte comparison: one row per different text
             .groupBy("h1", "h2").agg(F.count("*").alias("texts")).filter("texts = 1")
             .select(F.col("h1").alias("s1"), F.col("h2").alias("s2")))
@@ -151,17 +202,23 @@ def _without(df: DataFrame, cut: DataFrame, key: str, text: str, how: tuple, cou
     joined = joined.withColumn("__cut", F.coalesce(F.when(F.col("__nth") == 1, F.col("__later")).otherwise(F.col("__all")),
                                                    F.array().cast("array<int>"))).drop("__key", "__own", "__nth", "__later", "__all")
     fields = [f for f in kept.schema.fields] + ([T.StructField(x, T.LongType()) for x in counts] if counts else [])
-    window, average, least_lines, least_words = how
+    window, average, least_lines, least_words, runs = how
     at_text = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, text):
             data, offs = vec.buffer(part.column(text))
-            start, end, doc, lines, _ = chunk_spans(data, offs, window, average, least_words)
-            no = np.arange(len(doc)) - np.searchsorted(doc, doc)
-            lists = part.column("__cut")
-            pairs = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy()) * (1 << 32) + lists.flatten().to_numpy()
-            gone = np.isin(doc * (1 << 32) + no, pairs)
+            pairs = _listed(part, "__cut")
+            if runs:  # an anchor's number tells its lines
+                start, end, doc = _lines(data, offs)
+                lines = np.ones(len(doc), dtype=np.int64)
+                at = np.searchsorted(doc, pairs >> 32) + (pairs & 0xFFFFFFFF) // least_lines
+                gone = np.zeros(len(doc), dtype=bool)
+                gone[vec.ranges(at, (pairs & 0xFFFFFFFF) % least_lines + 1)] = True
+            else:
+                start, end, doc, lines, _ = chunk_spans(data, offs, window, average, least_words)
+                no = np.arange(len(doc)) - np.searchsorted(doc, doc)
+                gone = np.isin(doc * (1 << 32) + no, pairs)
             out = [part.column(c) for c in names]
             if gone.any():
                 keep = vec.ranges(start[~gone], (end - start)[~gone])
