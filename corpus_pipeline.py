@@ -38,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, the one of least id."""
-    return ngram_join.keep_one(docs, ngram_join.near_duplicates(docs.select("doc_id", "text")))
+    """Keep one row of each group of near copies, of least id."""
+    return ngram_join.keep_one(docs, ngram_join.near_duplicates(docs.select("doc_id", "text"), rows=True))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,6 +123,24 @@ def test_ngram_join_empty_and_keep_one(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_keep_one_keeps_one_row_of_a_component(spark):
+    """Repeated rows, one id with two texts, and rows without an id."""
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(words(rng, 60)) for _ in range(5))
+    rows = [(1, a), (1, a), (2, a), (3, a + " more"), (3, b), (4, b), (5, c), (5, d), (5, d)]  # 3 and 5 have two texts each
+    rows += [(None, e), (None, e), (None, e + " more"), (None, "a text of its own"), (9, e), (6, ""), (6, ""), (7, None)]
+    rows += [(None, ""), (None, None), (None, "")]
+    want = [(1, a), (3, b), (5, c), (5, d), (None, "a text of its own"), (6, ""), (7, None), (None, ""), (None, None), (None, "")]
+    df = frame(spark, rows).withColumns({"own": F.lit(1), "row": F.lit("r"), "component": F.lit(2), "k": F.rand(1)})
+    for classes in (ngram_join.near_duplicates(df, rows=True), ngram_join.near_duplicates(df)):
+        out = ngram_join.keep_one(df, classes)
+        got = [(r.doc_id, r.text) for r in out.collect()]
+        assert out.columns == df.columns
+        kept_e = [x for x in got if x[1] in (e, e + " more")]
+        assert len(kept_e) == 1 and kept_e[0][0] is None
+        assert sorted((x for x in got if x not in kept_e), key=key) == sorted(want, key=key)
+
+
 # ---------------------------------------------------------------- winnowing
 
 def _winnow(hashes, k, w):

@@ -527,9 +527,11 @@ def _derived(candidates: DataFrame, texts: DataFrame, anchors: DataFrame, k: int
     return told.filter("linked").select("a", "b").unionByName(open_)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, rows: bool = False) -> DataFrame:
     """(key, n_shingles, component_id) of every row: the size of its set and
-    the least key that links reach from it."""
+    the least key that links reach from it. With ``rows``, two more columns
+    that tell rows of one key (or of none) apart: row, a hash of the text, and
+    component, a name of the component (null for an empty set)."""
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("key"), F.col(text).alias("text"),
                      F.xxhash64(F.col(text)).alias("row"))
     sets, passed, common = _passed(docs, k)
@@ -543,15 +545,38 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     named = materialize(classes.join(final, F.col("own") == F.col("node")).select("own", "component", "least"), "named", "parquet")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = named.select(F.col("own").alias("no"), F.col("component").alias("nc")).join(
-        least, F.col("nc") == F.col("component")).select("no", F.col("component_id").alias("cid"))
+        least, F.col("nc") == F.col("component")).select("no", F.col("component_id").alias("cid"), "nc")
     by_set = classes.join(linked, F.col("own") == F.col("no"), "left").select(
-        F.col("own").alias("so"), F.coalesce("cid", "least").alias("component_id"))
-    full = sets.filter("n > 0").join(by_set, F.col("own") == F.col("so")).select("key", "n", "component_id")
-    empty = sets.filter("n = 0").select("key", "n", F.col("key").alias("component_id"))
-    return full.unionByName(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
-
-
-def keep_one(df: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose key is the representative of its component."""
-    kept = classes.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("__kept")).distinct()
-    return df.join(kept, F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) == F.col("__kept")).select(*df.columns)
+        F.col("own").alias("so"), F.coalesce("cid", "least").alias("component_id"), F.coalesce("nc", "own").alias("component"))
+    full = sets.filter("n > 0").join(by_set, F.col("own") == F.col("so")).select("key", "n", "component_id", "row", "component")
+    empty = sets.filter("n = 0").select("key", "n", F.col("key").alias("component_id"), "row", F.lit(None).cast("long").alias("component"))
+    return full.unionByName(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id",
+                                          *(["row", "component"] if rows else []))
+
+
+def keep_one(df: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``df`` for each component: that of least key, then least
+    hash of the text; of rows alike in key and text, one. Empty sets are
+    components of their own; those without a key all stay, since nothing tells
+    which of them are one document. ``classes`` are ``near_duplicates`` of ``df``
+    with ``rows``; a key alone does not tell its rows apart, so classes
+    without them are found anew."""
+    if not {"row", "component"} <= set(classes.columns):
+        classes = near_duplicates(df, key, text, rows=True)
+    alike = classes.groupBy("component", F.col(key).alias("k"), F.col("row").alias("r")).agg(F.count("*").alias("copies"))
+    heads = alike.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("k", "r", "copies")).alias("head")).select("head.*")
+    empty = alike.filter("component IS NULL").select(
+        "k", "r", F.when(F.col("k") == -(1 << 63), F.lit(1)).otherwise(F.col("copies")).alias("copies"))
+    kept = materialize(heads.unionByName(empty).select(*[F.col(c).alias(f"__{c}") for c in ("k", "r", "copies")]), "kept", "parquet")
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return df.join(some, (F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) == F.col("__k"))
+                       & (F.xxhash64(F.col(text)) == F.col("__r")))
+
+    out = rows_of(kept.filter("__copies = 1")).select(*df.columns)
+    several = kept.filter("__copies > 1")
+    if several.isEmpty():
+        return out
+    whole = F.struct(*df.columns)
+    one = rows_of(several).groupBy("__k", "__r").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("__one"))
+    return out.unionByName(one.select("__one.*"))
