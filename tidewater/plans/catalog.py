@@ -327,8 +327,10 @@ def q_jaccard_members(spark, d):
 
 @query("match_job")
 def q_match_job(spark, d):
-    """The matching job end to end: features from one table, pairs, members
-    and scores written as named tables (S14) and read back by name (S6)."""
+    """The matching job end to end: features from one table, pairs and scores
+    written as named tables (S14) and read back by name (S6). The rows behind
+    each representative are not written here: ``exact_match_members`` and
+    ``jaccard_members`` give them."""
     f = _doc_features(spark, d)
     cur, leg = f.filter("cur"), f.filter("NOT cur")
     how = dict(key="kd", empty_col="det_key_empty", key_is_digest=True)
