@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, embed_dedup, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
+from tidewater.llm import bpe, cube_mix, embed_dedup, importance, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,7 +142,41 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` drawn towards ``benchmark``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark").select("text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+_OP11_SQL = r"""
+WITH steps AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+                 CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark),
+found AS (SELECT side, id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+counted AS (SELECT side, id, word, count(*) AS n FROM found GROUP BY ALL),
+words AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM counted)),
+hashed AS (SELECT word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+           FROM words, steps),
+buckets AS (SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM counted JOIN hashed USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST((SELECT coalesce(sum(s), 0) FROM buckets) AS DOUBLE) + 10000)
+            / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (CAST((SELECT coalesce(sum(t), 0) FROM buckets) AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM buckets),
+weights AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight
+            FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY id),
+scored AS (SELECT d.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT)
+               + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM documents d LEFT JOIN weights w ON d.doc_id = w.id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS "rank" FROM placed"""
+
+
 QUERIES = {
+    "op11_importance": op11_importance,
     "op1_quality_gam": op1_quality_gam,
     "op8_line_chunks": op8_line_chunks,
     "op9_langid": op9_langid,
@@ -157,4 +191,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op3_reply_trees": _OP3_SQL,
+    "op11_importance": _OP11_SQL,
 }
