@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, embed_dedup, importance, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
+from tidewater.llm import align, bpe, cube_mix, embed_dedup, importance, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
+from tidewater.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,7 +176,19 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY s
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS "rank" FROM placed"""
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tokenizers over ``documents``, their groups and linked pairs."""
+    files = align.Tokenizers(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    files.open()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align.align(docs, files).withColumn(
+        "groups_sha256", F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")).drop("groups")
+    return align.add_counts(materialize(found, "aligned", "parquet"), len(files.b_size)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
+    "op12_align": op12_align,
     "op11_importance": op11_importance,
     "op1_quality_gam": op1_quality_gam,
     "op8_line_chunks": op8_line_chunks,
