@@ -1,0 +1,251 @@
+"""Importance resampling, token alignment and page extraction against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tests.llm.util import documents, frame
+from tidewater.llm import align, importance, main_text, names
+from tidewater.llm.queries import tokenizer_file
+
+# --- importance resampling -------------------------------------------------
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def features(text, least, most):
+    w = WORD.findall(lower(text))
+    return [" ".join(w[i:i + n]) for n in range(least, most + 1) for i in range(len(w) - n + 1)]
+
+
+def brute_resample(rows, target, least, most, buckets, percent, least_words):
+    def bucket(f):
+        return zlib.crc32(f.encode()) % buckets
+
+    s = Counter(bucket(f) for _, t in rows for f in features(t, least, most))
+    t = Counter(bucket(f) for x in target for f in features(x, least, most))
+    big_s, big_t = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * big_s / ((s[b] + 1.0) * big_t))) for b in range(buckets)]
+    out = []
+    for k, text in rows:
+        f = features(text, least, most)
+        weight = sum(gain[bucket(x)] for x in f)
+        h = int(hashlib.sha256(f"2024:{'' if k is None else k}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([k, len(f), weight, score, len(WORD.findall(lower(text)))])
+    able = sorted((r for r in out if r[4] >= least_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    drawn = Counter()
+    for i, r in enumerate(able[:percent * len(able) // 100]):
+        drawn[tuple(r[:4]) + (i + 1,)] += 1
+    for r in able[percent * len(able) // 100:] + [r for r in out if r[4] < least_words]:
+        drawn[tuple(r[:4]) + (None,)] += 1
+    return drawn
+
+
+@pytest.mark.parametrize("least,most,buckets,percent", [(1, 1, 10_000, 10), (1, 2, 64, 50), (2, 3, 1000, 100)])
+def test_resample_equals_brute_force(spark, least, most, buckets, percent):
+    rows = documents(seed=4, n=70) + [(None, "no id " * 30), (None, "no id " * 30), (500, "É_x a-b 12É " * 30)]
+    target = ["ka to mi ren", None, "", "so lu " * 40]
+    got = importance.resample(frame(spark, rows), spark.createDataFrame([(t,) for t in target], "text string"),
+                              least=least, most=most, buckets=buckets, percent=percent)
+    got = Counter(tuple(r) for r in got.select("doc_id", "n_features", "weight", "score", "rank").collect())
+    want = brute_resample(rows, target, least, most, buckets, percent, 20)
+    assert got == want
+
+
+def test_ngrams_do_not_cross_texts():
+    doc, bucket, n = importance.batch_features(["a b", "", None, "c"], 2, 2, 100)
+    assert doc.tolist() == [0] and bucket.tolist() == [zlib.crc32(b"a b") % 100] and n.tolist() == [2, 0, 0, 1]
+
+
+def test_many_ties_are_ranked_once_each(spark):
+    rows = [(7, "same words " * 15)] * 300 + [(i, "other words " * 12) for i in range(20)]
+    out = importance.resample(frame(spark, rows, 5), spark.createDataFrame([("same",)], "text string"), percent=50).collect()
+    assert len(out) == 320 and sorted(r["rank"] for r in out if r["rank"]) == list(range(1, 161))
+
+
+def test_resample_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert importance.resample(none, none).collect() == []
+    out = importance.resample(frame(spark, [(1, "a " * 30), (2, None)]), none, percent=100).orderBy("doc_id").collect()
+    assert [(r["n_features"], r["rank"]) for r in out] == [(30, 1), (0, None)]
+
+
+def test_free_names(spark):
+    df = spark.createDataFrame([(1, 2)], "Salt int, _salt int")
+    assert names.free(df, "salt", "at", "at") == ["__salt", "at", "_at"]
+
+
+# --- alignment -------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def files():
+    out = align.Tokenizers(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    out.open()
+    return out
+
+
+def brute_groups(files, text):
+    """Whole-text encoding and cuts where both sides end."""
+    if not text:
+        return [], [], []
+    a, b = files.a.encode(" " + text, add_special_tokens=False).ids, files.b.encode(text)
+    raw = (" " + text).encode()
+    if b"".join(files.a_bytes[i] for i in a) != raw or b"".join(files.b_bytes[i] for i in b) != raw:
+        return [], [], []
+    ea, eb = np.cumsum(files.a_size[a]).tolist(), np.cumsum(files.b_size[b]).tolist()
+    groups, x, y = [], 0, 0
+    for cut in sorted(set(ea) & set(eb)):
+        i, j = ea.index(cut) + 1, eb.index(cut) + 1
+        groups.append((a[x:i], b[y:j]))
+        x, y = i, j
+    return a, b, groups
+
+
+def awkward_texts():
+    rng = random.Random(3)
+    bits = [" ", "  ", "\n", "\t", " ", "\x1c", "᠎", "▁", "a", "é", "日本", "😀", "123", "don't", "<s>", "<|endoftext|>", "==",
+            "word", "The", ".", "\r\n", "é", "\x00", "﻿", "  "]
+    return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(600)] + [
+        None, "", " ", "x" * 5000, "=-" * 200 + "=" * 500, "日本語" * 800]
+
+
+def test_vocabularies_have_no_token_across_a_cut(files):
+    assert files.check_vocabulary() == []
+
+
+def test_segments_give_the_tokens_of_whole_texts(files):
+    texts = awkward_texts() + [t for _, t in documents(seed=2)]
+    known = align.Segments(files)
+    for at in range(0, len(texts), 100):
+        part = texts[at:at + 100]
+        stats, spelled, code, times, cuts = known.documents(part)
+        for i, t in enumerate(part):
+            a, b, groups = brute_groups(files, t)
+            links = Counter()
+            for x, y in groups:
+                cx, cy = Counter(x), Counter(y)
+                links.update({p * 32000 + q: cx[p] * cy[q] for p in cx for q in cy})
+            assert stats[i].tolist() == [len(a), len(b), len(groups), sum(links.values())]
+            assert spelled[i] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+            assert dict(zip(code[cuts[i]:cuts[i + 1]].tolist(), times[cuts[i]:cuts[i + 1]].tolist())) == links
+
+
+def test_groups_by_pointers_on_random_covers():
+    rng = random.Random(8)
+    for _ in range(200):
+        n = rng.randint(1, 60)
+        a, b = (np.array(sorted({n, *rng.sample(range(1, n + 1), rng.randint(0, n - 1))})) for _ in "ab")
+        cuts = np.array(sorted(set(a.tolist()) & set(b.tolist())))
+        ga, gb = align.groups_of(a, b)
+        assert ga.tolist() == np.searchsorted(cuts, a).tolist() and gb.tolist() == np.searchsorted(cuts, b).tolist()
+
+
+@pytest.mark.parametrize("chunk_bytes", [300, 8 << 20])
+def test_counts_of_documents_that_hold_a_pair(spark, files, tmp_dir, chunk_bytes):
+    rows = documents(seed=6, n=40) + [(700 + i, t) for i, t in enumerate(awkward_texts()[::12])]
+    df = frame(spark, rows).selectExpr("*", "doc_id AS extra")
+    align.align(df, files, chunk_bytes=chunk_bytes).write.parquet(tmp_dir + "/aligned")
+    got = align.add_counts(spark.read.parquet(tmp_dir + "/aligned"), len(files.b_size))
+    assert got.columns == ["doc_id", "extra", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
+    each = [Counter((p, q) for x, y in brute_groups(files, t)[2] for p in x for q in y) for _, t in rows]
+    held = Counter(pair for links in each for pair in links)
+    most = defaultdict(int)
+    for (p, _), n in held.items():
+        most[p] = max(most[p], n)
+    want = Counter((k, sum(links.values()), sum(n for pair, n in links.items() if held[pair] == most[pair[0]]),
+                    sum(n * held[pair] for pair, n in links.items())) for (k, _), links in zip(rows, each))
+    assert Counter(tuple(r) for r in got.select("doc_id", "n_links", "n_best", "count_sum").collect()) == want
+
+
+def test_align_empty_table(spark, files, tmp_dir):
+    align.align(spark.createDataFrame([], "doc_id long, text string"), files).write.parquet(tmp_dir + "/none")
+    assert align.add_counts(spark.read.parquet(tmp_dir + "/none"), len(files.b_size)).collect() == []
+
+
+# --- pages -----------------------------------------------------------------
+
+P = "The quick brown fox jumped over the lazy dog, and nobody cared to write about it again."
+Q = "Nobody had asked the fox, of course, and the dog was asleep through all of it."
+PAGES = {
+    "parts named by class and id": (
+        "<html><body class='has-sidebar'><div id='header'><a href=/>Home</a><p>Site tagline</p></div><ul class=menu><li><a href=1>One</a>"
+        f"<li><a href=2>Two</a></ul><div id=content><h1>Big title</h1><p>{P}</p><p>{Q} <a href=x>link here</a> more.</p><ul><li>First item"
+        f"<li>Second item</ul><p>Short.</p></div><div class='sidebar'><h3>Recent</h3><p>{P}</p></div><div class='cookie-notice'>We use cookies."
+        f" <button>OK</button></div><form><label>Name</label><input><textarea>zz</textarea></form><section id='comments'><h2>2 comments</h2>"
+        f"<div class='comment'><p>{P}</p></div></section><div id=footer>&copy; 2020 Foo.</div></body></html>",
+        f"Big title {P} {Q} link here more. First item Second item Short."),
+    "no names at all": (
+        f"<body><div><a href=1>Home</a> | <a href=2>About</a> | <a href=3>Contact</a></div><div><h1>Title words</h1><p>{P}</p><p>{Q}</p></div>"
+        "<div><a href=1>Privacy</a> <a href=2>Terms</a></div></body>", f"Title words {P} {Q}"),
+    "elements of HTML": (
+        f"<body><header><h1>Site</h1></header><main><article class='post has-comments'><header><h1>Title</h1></header><p>{P}</p>"
+        f"<div class=advert><p>{Q}</p></div><blockquote>Quote it.</blockquote><table><tr><td>1<td>2</table><aside>{Q}</aside><p>End</p>"
+        f"<footer>Filed under x</footer></article><article class=comment><p>{Q}</p></article></main><div role=alert>{Q}</div><p>Other {Q}</p>",
+        f"Title {P} Quote it. 1 2 End"),
+    "unclosed paragraphs, breaks, references": (
+        "<article><h1>A&amp;amp;B</h1><p><b>One<br>two&nbsp;three.<p>fo<i>ur</i>  \n five&#x21;</article>", "A&amp;B One two three. four five!"),
+    "script, style and comment text": (f"<p>{P}</p><script>var t='</p><p>x';</script><style>p{{}}</style><!-- <p>no</p> --><p>{Q}</p>", f"{P} {Q}"),
+    "plain text": ("hello   world\n&amp; a < b", "hello world & a < b"),
+    "unclosed script": (f"<p>{P}</p><script>if(a<b){{x}} {Q}", P),
+    "cut in a tag": (f"<div><p>{P}</p><a href='x", P),
+    "only a menu": ("<nav><a href=x>y</a></nav>", ""),
+    "hidden": (f"<p>{P}</p><div style='display: none'><p>{Q}</p></div><p hidden>{Q}</p>", P),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_main_text_of(name):
+    page, want = PAGES[name]
+    assert main_text.main_text(page) == want
+
+
+def test_extract_rows(spark):
+    rows = [(1, "u", PAGES["plain text"][0]), (1, "u", PAGES["plain text"][0]), (None, None, None), (3, "v", ""), (4, "w", "<p>" + "long text. " * 50_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS n_chars", "1 AS cols").repartition(3)
+    got = main_text.extract(df)
+    assert got.columns == ["page_id", "url", "cols", "text", "n_chars"]
+    want = Counter([(1, "hello world & a < b", 19)] * 2 + [(None, "", 0), (3, "", 0), (4, ("long text. " * 50_000)[:-1], 549_999)])
+    assert Counter(tuple(r) for r in got.select("page_id", "text", "n_chars").collect()) == want
+    assert main_text.extract(df.limit(0)).collect() == []
+
+
+def brute_cut(flow, s, t, n):
+    """Least cut by trying every set of nodes."""
+    arcs = [(flow.to[e ^ 1], flow.to[e], flow.room[e]) for e in range(len(flow.to)) if flow.room[e]]
+    inner = [i for i in range(n) if i not in (s, t)]
+    best = None
+    for mask in range(1 << len(inner)):
+        side = {s} | {x for k, x in enumerate(inner) if mask >> k & 1}
+        cost = sum(c for u, v, c in arcs if u in side and v not in side)
+        best = min((cost, len(side), side), best or (cost, len(side), side), key=lambda x: x[:2])
+    return best
+
+
+def test_flow_gives_the_least_cut():
+    rng = random.Random(5)
+    for _ in range(60):
+        n = rng.randint(2, 9)
+        flow = main_text.Flow(n)
+        for _ in range(rng.randint(0, 20)):
+            u, v = rng.sample(range(n), 2)
+            flow.edge(u, v, rng.randint(0, 9), rng.randint(0, 4))
+        cost, _, side = brute_cut(flow, 0, 1, n)
+        total, got = flow.run(0, 1)
+        assert total == cost and {i for i, x in enumerate(got) if x} == side
+
+
+def test_pages_of_any_depth_are_read_in_linear_time():
+    for page in ("<div>" * 20_000 + P, "<a \"" * 30_000, "<p" * 50_000, "<!--" * 30_000, "<a b='" * 20_000 + ">x"):
+        main_text.main_text(page)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import align, bpe, cube_mix, embed_dedup, importance, langid, line_chunks, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
+from tidewater.llm import align, bpe, cube_mix, embed_dedup, importance, langid, line_chunks, main_text, ngram_join, quality_gam, reply_trees, substring_dedup, winnowing
 from tidewater.session import materialize
 
 
@@ -187,7 +187,13 @@ def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all ``pages``."""
+    return main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
+    "op13_main_text": op13_main_text,
     "op12_align": op12_align,
     "op11_importance": op11_importance,
     "op1_quality_gam": op1_quality_gam,
