@@ -116,6 +116,97 @@ def test_a_common_word_of_short_names_makes_no_candidates(spark, monkeypatch):
     assert counted == [0, 0]
 
 
+def _random_sets(n, pool, size, seed):
+    """Two sides of n sets of ``size`` words, all drawn from one small pool."""
+    import random
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(pool)]
+    return [[(i, " ".join(rng.sample(words, size))) for i in range(n)] for _ in range(2)]
+
+
+def test_long_sets_of_common_words_make_few_candidates(spark, monkeypatch):
+    """Every set shares about 18 of its 60 words, the commonest there are, with
+    every other: what is written as a candidate does not grow with n * n."""
+    counted = []
+    real = match.jaccard_candidates
+
+    def spy(prefix, p, q):
+        out = real(prefix, p, q)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(match, "jaccard_candidates", spy)
+    sides = _random_sets(400, 200, 60, 5)
+    near = " ".join(sides[0][0][1].split()[:50] + [f"own{i}" for i in range(10)])
+    for n in (100, 400):
+        left, right = (spark.createDataFrame(x[:n], "id long, text string") for x in sides)
+        right = right.unionByName(spark.createDataFrame([(9999, near)], "id long, text string"))
+        got = [(r.v2_id, r.lg_id, r.inter) for r in match.jaccard_join(left, right, "id", "id", 0.5).collect()]
+        assert got == [(0, 9999, 50)]
+    assert max(counted) < 40, counted
+
+
+def test_sketch_never_loses_a_pair(spark):
+    """All pairs of sets of mixed sizes around the threshold, with many blocks."""
+    import random
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    base = [rng.sample(words, rng.randint(1, 25)) for _ in range(12)]
+    rows = [(i, " ".join(set(rng.sample(b, rng.randint(1, len(b))) + rng.sample(words, rng.randint(0, 4)))))
+            for i, b in enumerate(base * 10)]
+    left, right = (spark.createDataFrame(rows[i::2], "id long, text string") for i in (0, 1))
+    for most in (0.3, 0.5, 0.75):
+        got = {(r.v2_id, r.lg_id) for r in match.jaccard_join(left, right, "id", "id", most).collect()}
+        a, b = ({}, {})
+        for side, part in ((a, rows[0::2]), (b, rows[1::2])):
+            for i, t in part:
+                side.setdefault(frozenset(t.split()), i)
+        want = {(i, j) for x, i in a.items() for y, j in b.items() if 1.0 - len(x & y) / len(x | y) < most}
+        assert got == want
+
+
+def test_block_pairs_meet_once_and_stay_small(spark):
+    """A bucket of a third of the rows on each side: every pair meets once, in
+    blocks of about the size asked for."""
+    rows = [(side, i, "hot" if i % 3 == 0 else f"k{i}") for side in (0, 1) for i in range(900)]
+    df = spark.createDataFrame(rows, "side int, rep long, k string")
+    a, b = match.block_pairs(df, ["k"], "rep", block_rows=50)
+    met = a.withColumnRenamed("rep", "ra").join(b.withColumnRenamed("rep", "rb"), ["k", "_bl", "_br"])
+    assert met.count() == met.distinct().count() == 300 * 300 + 600
+    cells = {(r["_bl"], r["_br"]): r["count"] for r in a.filter("k = 'hot'").groupBy("_bl", "_br").count().collect()}
+    assert len(cells) == 36 and max(cells.values()) < 100
+
+
+def test_lsh_hot_bucket_and_first_band(spark, monkeypatch):
+    """A third of the sets are alike in their least hashes (one bucket in every
+    band) but differ: all near pairs are found, each once, over small blocks."""
+    monkeypatch.setattr(match, "block_pairs", lambda e, keys, row, real=match.block_pairs: real(e, keys, row, 16))
+    core = " ".join(f"c{i}" for i in range(60))
+    left = [(i, f"{core} x{i}" if i % 3 == 0 else f"own{i} a{i} b{i}") for i in range(240)]
+    right = [(i, f"{core} y{i}" if i % 3 == 0 else f"other{i} d{i} e{i}") for i in range(240)]
+    got = match.lsh_similarity_join(spark.createDataFrame(left, "id long, text string"),
+                                    spark.createDataFrame(right, "id long, text string"), "id", "id", threshold=0.5).collect()
+    assert len({(r.v2_id, r.lg_id) for r in got}) == len(got) == 80 * 80
+
+
+def test_lsh_recall_against_the_exact_join(spark):
+    """Pairs of every similarity above the threshold, and the documents."""
+    import random
+    rng = random.Random(2)
+    left, right = [], []
+    for i in range(600):
+        shared, own = rng.randint(41, 60), rng.randint(0, 20)  # similarity from 0.5 up
+        words = [f"s{i}w{k}" for k in range(shared)]
+        left.append((i, " ".join(words + [f"l{i}w{k}" for k in range(own)])))
+        right.append((i, " ".join(words + [f"r{i}w{k}" for k in range(20 - own)])))
+    near, far = (spark.createDataFrame(x, "id long, text string") for x in (left, right))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    for a, b in ((near, far), (docs.filter("id % 2 = 0"), docs.filter("id % 2 = 1"))):
+        exact = {(r.v2_id, r.lg_id) for r in match.jaccard_join(a, b, "id", "id", 0.5).collect()}
+        found = {(r.v2_id, r.lg_id) for r in match.lsh_similarity_join(a, b, "id", "id", threshold=0.5).collect()}
+        assert found <= exact and len(found) >= 0.98 * len(exact) > 0
+
+
 def test_members_rebuild_all_pairs(spark):
     left = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c d"), (4, "")], "id long, text string")
     right = spark.createDataFrame([(10, "a b"), (11, "b a"), (12, "x y")], "id long, text string")

@@ -25,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Fixed parameters of the catalogue.
 JACCARD_MAX_DISTANCE = 0.5
-LSH_BANDS, LSH_ROWS = 10, 4
+LSH_BANDS, LSH_ROWS = match.LSH_BANDS, match.LSH_ROWS
 INGEST_DAY = "2025-07-01"
 SNAPSHOT_DAYS = ("2025-06-30", "2025-07-01")
 WATERMARK = "1998-08-01"

@@ -50,7 +50,7 @@ j AS (
 JACCARD_PAIRS = JACCARD + ", jp AS (SELECT * FROM j WHERE jaccard_dist < 0.5)\n"
 
 MINHASH_PRIME = 2**31 - 1
-LSH_BANDS, LSH_ROWS = 10, 4
+LSH_BANDS, LSH_ROWS = 20, 3
 
 
 def _least(j: int) -> str:
