@@ -177,18 +177,15 @@ def block_pairs(entries: DataFrame, keys: list[str], row: str, block_rows: int =
     return out[0], out[1]
 
 
-def _sketch(hashes: Column, words: int = SKETCH_WORDS) -> list[Column]:
-    """``64 * words`` bits: bit b is the parity of the number of ``hashes`` that
-    fall on b. The bits in which two sets' sketches differ are at most as many
-    as the tokens that only one of them has, so half of what |A| + |B| exceeds
-    that number is an upper bound of the overlap, for any sets."""
-    def word(k: int) -> Column:
-        def step(acc: Column, h: Column) -> Column:
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
-            return F.when(F.pmod(F.shiftright(h, 6), F.lit(words)) == k, acc.bitwiseXOR(bit)).otherwise(acc)
-        return F.aggregate(hashes, F.lit(0).cast("long"), step)
-
-    return [word(k).alias(f"w{k}") for k in range(words)]
+def _sketch(token: str, over, words: int = SKETCH_WORDS) -> dict[str, Column]:
+    """Columns w0, w1, ...: ``64 * words`` bits of the set whose token hashes are
+    the rows of the window ``over``. Bit b is the parity of the number of tokens
+    that fall on b. The bits in which two sets' sketches differ are at most as
+    many as the tokens that only one of them has, so half of what |A| + |B|
+    exceeds that number is an upper bound of the overlap, for any sets."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(token, F.lit(64)).cast("int"))
+    word = F.pmod(F.shiftright(token, 6), F.lit(words))
+    return {f"w{k}": F.coalesce(F.bit_xor(F.when(word == k, bit)).over(over), F.lit(0).cast("long")) for k in range(words)}
 
 
 def jaccard_candidates(prefix: DataFrame, p: int, q: int) -> DataFrame:
@@ -258,13 +255,12 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     # order on token hashes: a collision can only join two tokens, and the
     # candidates it adds are verified on the tokens themselves
     words = [f"w{k}" for k in range(SKETCH_WORDS)]
-    hashed = both.select("side", "rep", "n", F.array_distinct(F.transform("toks", lambda t: F.xxhash64(t))).alias("hs"))
-    exploded = hashed.select("side", "rep", "n", *_sketch(F.col("hs")), F.explode("hs").alias("tok"))
+    exploded = both.select("side", "rep", "n", F.explode(F.array_distinct(F.transform("toks", lambda t: F.xxhash64(t)))).alias("tok"))
     dfreq = exploded.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     n = F.col("n").cast("long")
     w = Window.partitionBy("side", "rep").orderBy("df", "tok")
     prefix = (exploded.join(dfreq, "tok")
-              .withColumn("pos", F.row_number().over(w))
+              .withColumns({"pos": F.row_number().over(w), **_sketch("tok", Window.partitionBy("side", "rep"))})
               .filter(F.col("pos") <= n - F.floor(n * p / q))
               .select("side", "rep", "n", *words, "tok", "pos",
                       (F.col("pos") <= n - F.floor(n * (2 * p) / (q + p))).alias("short")))
@@ -299,21 +295,19 @@ def minhash_constants(n: int) -> list[tuple[int, int]]:
 
 def _md5_bands(both: DataFrame, num_bands: int, rows_per_band: int) -> DataFrame:
     """(side, rep, n, hs, band, bh): MinHash of the first 28 bits of each token's
-    md5, as text ``bh``; ``hs`` are the 64-bit hashes of the row's band texts."""
-    x = both.select("side", "rep", "n", F.transform(
-        "toks", lambda t: F.conv(F.substring(F.md5(t), 1, 7), 16, 10).cast("long")).alias("x"))
-
-    def least_of(a: int, b: int) -> Column:
-        return F.array_min(F.transform("x", lambda v: (v * a + b) % _MINHASH_PRIME))
-
-    least = [least_of(a, b) for a, b in minhash_constants(num_bands * rows_per_band)]
-    keys = [F.concat_ws("-", *least[i * rows_per_band:(i + 1) * rows_per_band]) for i in range(num_bands)]
-    return _by_band(x.select("side", "rep", "n", F.array(*keys).alias("bhs")))
+    md5. The least values are plain aggregates over one row per token, combined
+    in the task that holds the set, so a set is one row in the shuffle."""
+    x = both.select("side", "rep", "n", F.explode("toks").alias("t")).select(
+        "side", "rep", "n", F.conv(F.substring(F.md5("t"), 1, 7), 16, 10).cast("long").alias("v"))
+    least = [F.min((F.col("v") * a + b) % _MINHASH_PRIME).alias(f"m{j}")
+             for j, (a, b) in enumerate(minhash_constants(num_bands * rows_per_band))]
+    keys = [F.xxhash64(*[f"m{i * rows_per_band + r}" for r in range(rows_per_band)]) for i in range(num_bands)]
+    return _by_band(x.groupBy("side", "rep", "n").agg(*least).select("side", "rep", "n", F.array(*keys).alias("hs")))
 
 
 def _by_band(rows: DataFrame) -> DataFrame:
-    rows = rows.select("side", "rep", "n", "bhs", F.transform("bhs", lambda b: F.xxhash64(b)).alias("hs"))
-    return rows.select("side", "rep", "n", "hs", F.posexplode("bhs").alias("band", "bh"))
+    """One row per band, with the hashes of all bands of its set."""
+    return rows.select("side", "rep", "n", "hs", F.posexplode("hs").alias("band", "bh"))
 
 
 def _mllib_bands(both: DataFrame, num_features: int, num_bands: int, rows_per_band: int, seed: int) -> DataFrame:
@@ -329,7 +323,7 @@ def _mllib_bands(both: DataFrame, num_features: int, num_bands: int, rows_per_ba
         "h", F.transform("hashes", lambda v: vector_to_array(v)[0]))
     return _by_band(hashed.select("side", "rep", "n", F.transform(
         F.sequence(F.lit(0), F.lit(num_bands - 1)),
-        lambda i: F.xxhash64(F.slice("h", i * rows_per_band + 1, rows_per_band))).alias("bhs")))
+        lambda i: F.xxhash64(F.slice("h", i * rows_per_band + 1, rows_per_band))).alias("hs")))
 
 
 def lsh_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
