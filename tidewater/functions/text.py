@@ -100,3 +100,29 @@ def token_set(c: Column | str, pattern: str = TOKEN_PATTERN) -> Column:
 def digest(c: Column | str) -> Column:
     """Fixed-width join key for long strings (SHA-256 hex)."""
     return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
+
+
+#: Fixed value: dimension of the hashed features.
+NUM_FEATURES = 512
+
+
+def hashing_tf(df: DataFrame, tokens_col: str, num_features: int = NUM_FEATURES,
+               indices: str = "indices", counts: str = "counts") -> DataFrame:
+    """hashed term counts of each row as a sparse vector: ``indices``
+    (ascending) and how many tokens fall on each. A token's index is the first
+    28 bits of its md5 modulo ``num_features``, the same in any engine. Null or
+    empty token lists give empty arrays, null tokens count as none.
+
+    Without a shuffle, linear in the tokens: the sorted indices of a row are
+    cut where they change."""
+    low = {c.lower() for c in df.columns}
+    own, at = (next(n for n in (f"{'_' * k}{x}" for k in range(1, 99)) if n not in low) for x in ("sorted", "starts"))
+    index = F.transform(F.filter(tokens_col, lambda t: t.isNotNull()),
+                        lambda t: (F.conv(F.substring(F.md5(t), 1, 7), 16, 10).cast("long") % num_features).cast("int"))
+    df = df.withColumn(own, F.coalesce(F.array_sort(index), F.array().cast("array<int>")))
+    starts = F.filter(F.transform(own, lambda x, k: F.when((k == 0) | (F.get(F.col(own), k - 1) != x), k)), lambda k: k.isNotNull())
+    df = df.withColumn(at, starts)
+    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), F.array(F.size(own)))
+    return df.withColumns({
+        indices: F.transform(at, lambda k: F.get(F.col(own), k)),
+        counts: F.zip_with(F.slice(ends, 1, F.size(at)), at, lambda e, b: (e - b).cast("long"))}).drop(own, at)

@@ -3,22 +3,27 @@
 Cells come from an ``unpivot`` of the scanned columns, keyed by the row
 key the caller names (a distributed table has no global line order), so
 the scan is one narrow pass; findings are an aggregate over the small
-(object, detector, column) key space. Cell positions stay rows of the
-``cells`` frame -- they are never collected into one list.
+(object, detector, column) key space. Cell positions are rows of the
+``cells`` frame; :func:`finding_documents` gathers them into ordered lists of
+bounded length, numbered chunks of one finding.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.detectors import DEFAULT_DETECTORS, Detector
+from ..session import materialize
 
 # Fixed value: share of objects scanned.
 SAMPLING_PERCENTAGE = 75
 
+#: Cell positions in one chunk of a finding document.
+CELLS_PER_CHUNK = 100
+
 
 def hash_bucket(key: Column | str) -> Column:
     """0..99 from the first 16 bits of ``md5(key)`` -- layout independent."""
@@ -105,3 +110,49 @@ def findings(cells: DataFrame) -> DataFrame:
 def object_totals(found: DataFrame) -> DataFrame:
     """A5: total matches per object, over all detectors and columns."""
     return found.groupBy("object").agg(F.sum("hits").alias("total_count"))
+
+
+def finding_documents(cells: DataFrame, chunk_cells: int = CELLS_PER_CHUNK) -> DataFrame:
+    """A5, nested: one row per (object, detector, chunk) with the ordered cell
+    positions of that chunk.
+
+    Columns: object, detector, chunk (from 0), ``total_count`` (matches in the
+    object, all detectors), ``count`` (matches of this detector), ``n_chunks``,
+    ``cells`` (array of (row, column, columnName), at most ``chunk_cells``).
+    Cells are ordered by row (as a number where the key is one, such rows first,
+    then as text), column, and name; a cell that stands in the input twice is
+    listed twice. Objects without a finding have no row, an empty input gives
+    an empty table.
+
+    One object may hold most of all findings, so its positions are not numbered
+    by a window over the object: cells are dealt out by ranges of the whole
+    order, numbered in their partition, and a partition's first number within a
+    finding is the sum of what earlier partitions hold of it (one row per
+    partition and finding). Only a chunk is ever collected into one list.
+    """
+    at_row = F.col("row").try_cast("long")
+    salt = F.xxhash64(F.monotonically_increasing_id())
+    order = [F.col("object"), F.col("detector"), F.col("_at").asc_nulls_last(), F.col("row"), F.col("column"), F.col("columnName")]
+    stored = materialize(cells.select("object", "detector", "row", "column", "columnName", "hits"), "cells", "parquet")
+    placed = (stored.withColumns({"_at": at_row, "_salt": salt}).repartitionByRange(*order, F.col("_salt"))
+              .sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = materialize(placed.select(
+        "object", "detector", "row", "column", "columnName", "hits", F.shiftright("_id", 33).alias("_part"),
+        F.col("_id").bitwiseAND((1 << 33) - 1).alias("_pos")), "placed", "parquet")
+    held = placed.groupBy("object", "detector", "_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"), F.sum("hits").alias("_hits"))
+    finding = Window.partitionBy("object", "detector")
+    earlier = finding.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumns({"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "count": F.sum("_hits").over(finding),
+                             "n_chunks": F.ceil(F.sum("_n").over(finding) / chunk_cells)})
+    held = materialize(held, "findings", "parquet")
+    total = held.groupBy("object").agg(F.sum("_hits").alias("total_count"))
+    numbered = placed.join(held.drop("_n", "_hits", "n_chunks", "count"), ["object", "detector", "_part"]).withColumn(
+        "_rank", F.col("_before") + F.col("_pos") - F.col("_first"))
+    chunks = (numbered.groupBy("object", "detector", F.floor(F.col("_rank") / chunk_cells).alias("chunk"))
+              .agg(F.sort_array(F.collect_list(F.struct("_rank", "row", "column", "columnName"))).alias("_cells")))
+    counts = held.select("object", "detector", "count", "n_chunks").distinct()
+    return chunks.join(counts, ["object", "detector"]).join(total, "object").select(
+        "object", "detector", "chunk", "total_count", "count", "n_chunks",
+        F.transform("_cells", lambda c: F.struct(c["row"].alias("row"), c["column"].alias("column"),
+                                                 c["columnName"].alias("columnName"))).alias("cells"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.text import normalize_key, text_features, tokenize
+from ..functions.text import hashing_tf, normalize_key, text_features, tokenize
 from ..operators import dims, match, scan, usage
 from ..session import scratch_path
 from ..sources import files, jdbc, sinks
@@ -29,6 +29,7 @@ LSH_BANDS, LSH_ROWS = match.LSH_BANDS, match.LSH_ROWS
 INGEST_DAY = "2025-07-01"
 SNAPSHOT_DAYS = ("2025-06-30", "2025-07-01")
 WATERMARK = "1998-08-01"
+FIRST_LOAD_MONTH = "1998-04"
 PROJECTION_REGIONS = ("us-east-1", "eu-west-1")
 PROJECTION_DAYS = ("2024-01-05", "2024-01-12")
 FLOW_HOURS = ("09", "17")
@@ -103,9 +104,8 @@ def q_routed_ingest(spark, d):
     """The legacy extract job end to end: scan, rename, casts, stamp, then a
     partition overwrite by ``ingest_date`` into the table the environment
     routes to (a non-main environment gets its own namespace)."""
-    from ..session import checkpoint_root
     df = C.stamp_ingest_date(C.bool_normalize(_legacy_typed(spark, d), ["is_active"]), INGEST_DAY)
-    path = sinks.table_path(checkpoint_root(spark) + "/lake", "dev", "legacy_fund_master")
+    path = sinks.table_path(scratch_path(spark, "lake"), "dev", "legacy_fund_master")
     sinks.partition_overwrite(df, path, "ingest_date", schema="legacy_fund_master")
     sinks.partition_overwrite(df, path, "ingest_date", schema="legacy_fund_master")  # a rerun replaces, never duplicates
     return sinks.read_table(spark, path, "legacy_fund_master")
@@ -116,6 +116,20 @@ def q_watermark_extract(spark, d):
     return jdbc.watermark_filter(S.table(spark, d, "orders"), "o_orderdate", WATERMARK)
 
 
+@query("incremental_load")
+def q_incremental_load(spark, d):
+    """Three loads into one table by month: orders up to a month of which some
+    rows are late, then all orders, then again with nothing new."""
+    orders = S.table(spark, d, "orders")
+    path = scratch_path(spark, "orders_incremental")
+    late = (F.date_format("o_orderdate", "yyyy-MM") == FIRST_LOAD_MONTH) & (F.col("o_orderkey") % 7 == 0)
+    first = orders.filter((F.date_format("o_orderdate", "yyyy-MM") <= FIRST_LOAD_MONTH) & ~late)
+    marks = [jdbc.incremental_load(spark, load, path, "o_orderdate", "o_month", "yyyy-MM") for load in (first, orders, orders)]
+    if marks[:2] != [None, FIRST_LOAD_MONTH] or marks[2] <= FIRST_LOAD_MONTH:
+        raise RuntimeError(f"unexpected marks: {marks}")
+    return sinks.read_partitioned(spark, path, ["o_month"])
+
+
 # ---------------------------------------------------------------- sinks
 
 def _month_schema(spark, d):
@@ -244,6 +258,16 @@ def q_tokenize(spark, d):
         F.md5(F.array_join("t", " ")).alias("tokens_md5"))
 
 
+@query("hashing_features")
+def q_hashing_features(spark, d):
+    """Hashed term counts of all documents, as ``index:count`` pairs in order."""
+    docs = S.documents(spark, d, ["doc_id", "text"])
+    out = hashing_tf(docs.select("doc_id", tokenize("text").alias("tokens")), "tokens")
+    pairs = F.zip_with("indices", "counts", lambda i, n: F.concat_ws(":", i, n))
+    return out.select("doc_id", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("n_tokens"),
+                      F.size("indices").cast("long").alias("n_indices"), F.array_join(pairs, " ").alias("features"))
+
+
 # ---------------------------------------------------------------- matching
 
 @query("exact_match_pairs")
@@ -534,6 +558,15 @@ def q_sensitive_lines(spark, d):
     return cells.select("object", F.col("row").cast("long").alias("line"), "column", "columnName", "detector", "hits")
 
 
+@query("finding_documents")
+def q_finding_documents(spark, d):
+    """Nested findings of all documents and of the legacy CSV; the ordered cell
+    positions of a chunk as JSON."""
+    lc = scan.scan_cells(_legacy_raw(spark, d), "fund_id", object_name="legacy_fund_master")
+    out = scan.finding_documents(_doc_cells(spark, d).unionByName(lc))
+    return out.withColumns({"cells": F.to_json("cells"), "n_cells": F.size("cells").cast("long")})
+
+
 @query("hash_sample")
 def q_hash_sample(spark, d):
     docs = S.table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")

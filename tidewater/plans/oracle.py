@@ -356,6 +356,25 @@ FROM h WHERE hits > 0 GROUP BY 1, 2, 3, 4""",
     "sensitive_totals": f"""WITH {DOC_CELLS}, {LEGACY_CELLS}, cells AS (SELECT * FROM dc UNION ALL SELECT * FROM lc),
 {cell_hits('cells')}
 SELECT object, CAST(sum(hits) AS BIGINT) AS total_count FROM h WHERE hits > 0 GROUP BY 1""",
+    "finding_documents": f"""WITH {DOC_CELLS}, {LEGACY_CELLS}, cells AS (SELECT * FROM dc UNION ALL SELECT * FROM lc),
+{cell_hits('cells')},
+n AS (SELECT *, row_number() OVER (PARTITION BY object, detector
+                                   ORDER BY TRY_CAST(row AS BIGINT) NULLS LAST, row, "column", columnName) - 1 AS rank,
+             CAST(sum(hits) OVER (PARTITION BY object) AS BIGINT) AS total_count,
+             CAST(sum(hits) OVER (PARTITION BY object, detector) AS BIGINT) AS "count",
+             (count(*) OVER (PARTITION BY object, detector) + 99) // 100 AS n_chunks
+      FROM h WHERE hits > 0)
+SELECT object, detector, rank // 100 AS chunk, total_count, "count", n_chunks, count(*) AS n_cells,
+       CAST(to_json(list(struct_pack("row" := row, "column" := "column", "columnName" := columnName) ORDER BY rank)) AS VARCHAR) AS cells
+FROM n GROUP BY ALL""",
+    "incremental_load": "SELECT *, strftime(o_orderdate, '%Y-%m') AS o_month FROM orders",
+    "hashing_features": f"""WITH t AS (
+  SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 7) AS BIGINT) % 512 AS i
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{TOKP}')) AS tok FROM documents)),
+c AS (SELECT doc_id, i, count(*) AS n FROM t GROUP BY ALL)
+SELECT d.doc_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_tokens, count(i) AS n_indices,
+       coalesce(string_agg(i || ':' || n, ' ' ORDER BY i), '') AS features
+FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id GROUP BY d.doc_id""",
     "sensitive_lines": f"""WITH {LEGACY_CELLS},
 n AS (SELECT CAST(p_partkey AS VARCHAR) AS row, 'bucket=' || (p_partkey % 8) AS bucket,
              1 + row_number() OVER (PARTITION BY p_partkey % 8 ORDER BY p_partkey) AS line FROM part),
