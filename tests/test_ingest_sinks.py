@@ -173,3 +173,104 @@ def test_a_half_done_swap_is_put_right(spark, tmp_dir):
     spark.range(5).withColumn("p", F.lit(0)).write.partitionBy("p").parquet(path + "__old")  # new folder in place
     assert sinks.recover_swap(spark, path, ["p"]) == "removed old"
     assert sinks.recover_swap(spark, path, ["p"]) == "nothing"
+
+
+class _Lost(Exception):
+    pass
+
+
+def test_a_publish_cut_short_anywhere_is_finished(spark, tmp_dir, monkeypatch):
+    """The driver is lost before each rename and each deletion in turn; the next
+    call finishes the batch before it wipes the stage."""
+    schema = "k int, hour string"
+    frame = lambda ks, hours: spark.createDataFrame([(k, h) for k in ks for h in hours], schema)
+    checks = [sinks.Expectation("k_known", F.col("k").isNotNull())]
+    monkeypatch.setattr(sinks, "SWAP_THREADS", 1)
+    real = {"rename_path": sinks.rename_path, "delete_path": sinks.delete_path}
+    step, cut = 0, True
+    while cut:
+        main, stage = os.path.join(tmp_dir, f"main{step}"), os.path.join(tmp_dir, f"stage{step}")
+        sinks.write_audit_publish(spark, frame([1], ["08", "09", "10"]), main, stage, "hour", checks)
+        left, cut = [step], False
+
+        def spy(name):
+            def call(*args):
+                nonlocal cut
+                if left[0] == 0:
+                    cut = True
+                    raise _Lost
+                left[0] -= 1
+                return real[name](*args)
+            return call
+
+        for name in real:
+            monkeypatch.setattr(sinks, name, spy(name))
+        try:
+            sinks.write_audit_publish(spark, frame([2, 3], ["09", "10", "11"]), main, stage, "hour", checks)
+        except _Lost:
+            pass
+        for name, fn in real.items():
+            monkeypatch.setattr(sinks, name, fn)
+        sinks.write_audit_publish(spark, frame([4], ["12"]), main, stage, "hour", checks)
+        got = sorted((r.hour, r.k) for r in spark.read.schema(schema).parquet(main).collect())
+        assert got == [("08", 1), ("09", 2), ("09", 3), ("10", 2), ("10", 3), ("11", 2), ("11", 3), ("12", 4)], step
+        assert not os.path.exists(main + "__old") and not os.path.exists(main + "__journal")
+        step += 1
+    assert step > 6
+
+
+def test_swap_of_many_folders_is_quick(spark, tmp_dir):
+    import time
+    for name in ("new", "table"):
+        for i in range(720):
+            os.makedirs(os.path.join(tmp_dir, name, f"hour={i:03d}"))
+            open(os.path.join(tmp_dir, name, f"hour={i:03d}", name), "w").close()
+    began = time.time()
+    assert sinks.swap_partitions(spark, os.path.join(tmp_dir, "new"), os.path.join(tmp_dir, "table"), ["hour"]) == 720
+    took = time.time() - began
+    assert all("new" in os.listdir(os.path.join(tmp_dir, "table", f"hour={i:03d}")) for i in range(720))
+    assert not os.path.exists(os.path.join(tmp_dir, "table__old")) and took < 15, took
+
+
+def test_compaction_spreads_equal_rows_over_the_planned_files(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "same")
+    df = spark.range(20_000).select(F.lit("x" * 40).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("w"),
+                                    F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("p"))
+    df.withColumn("w", F.when(F.col("p") == "b", F.col("w")).otherwise("same")).repartition(12).write.partitionBy("p").parquet(path)
+    sizes = {r.p: r.bytes for r in sinks.file_stats(spark, path, ["p"]).collect()}
+    rep = {r.p: r.files_after for r in sinks.compact_partitions(spark, path, "p", target_mb=sizes["a"] / 3 / 1024 / 1024).collect()}
+    after = {r.p: r for r in sinks.file_stats(spark, path, ["p"]).collect()}
+    assert rep["a"] == 3 and {p: r.files_before for p, r in after.items()} == rep
+    assert spark.read.parquet(path).count() == 20_000
+    by_file = spark.read.parquet(path).filter("p = 'a'").groupBy(F.input_file_name()).count().collect()
+    assert len(by_file) == 3 and min(r["count"] for r in by_file) > 5000
+
+
+def test_incremental_loads_equal_the_full_load(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "inc")
+    rows = [(i, dt.datetime(2025, 5 + i % 3, 1 + i % 28, 13), f"v{i}") for i in range(90)]
+    rows += [(100, None, "no day"), (101, dt.datetime(2025, 7, 31, 23, 59), "last")]
+    source = spark.createDataFrame(rows, "id int, at timestamp, v string").withColumn("at", F.col("at"))
+    load = lambda df, lookback=0: jdbc.incremental_load(spark, df, path, "at", "month", "yyyy-MM", lookback)
+    read = lambda: sorted((r.id, r.v, r.month) for r in sinks.read_partitioned(spark, path, ["month"]).collect())
+    want = sorted((r.id, r.v, r.m) for r in source.withColumn("m", F.date_format("at", "yyyy-MM")).collect())
+    assert jdbc.loaded_watermark(spark, path, "month") is None
+    assert load(source.filter("at < '2025-06-20'")) is None      # June is loaded before it is complete
+    assert load(source.filter("at < '2025-07-10' AND id % 9 <> 4")) == "2025-06"  # without its late rows
+    assert load(source, 1) == "2025-06"                           # they arrive: one partition back
+    assert read() == want
+    assert load(source.filter("at > '2026-01-01'")) == "2025-07" and read() == want  # nothing new
+    assert load(source) == "2025-07" and read() == want           # a rerun
+    with pytest.raises(ValueError):
+        jdbc.incremental_load(spark, source, path, "at", "month", "dd-MM-yyyy")
+
+
+def test_incremental_bound_is_pushed(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "orders")
+    os.makedirs(os.path.join(path, "o_month=1998-07"))
+    plans = []
+    monkeypatch.setattr(jdbc, "partition_overwrite",
+                        lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert jdbc.incremental_load(spark, orders, path, "o_orderdate", "o_month", "yyyy-MM") == "1998-07"
+    assert "GreaterThanOrEqual(o_orderdate,1998-07-01" in plans[0]

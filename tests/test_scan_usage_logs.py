@@ -149,3 +149,27 @@ def test_audit_log_projection_and_flow_pruning(spark):
     fl = files.read_flow_logs(spark, S.write_flow_logs(spark, d)).filter(F.col("hour") == "09")
     plan = fl._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(hour" in plan
+
+
+def test_finding_documents_of_a_hot_object(spark):
+    """One object with most findings, in chunks of 7: every position once, in
+    order, and no chunk longer than that."""
+    import random
+    rng = random.Random(4)
+    cells = [("hot", str(i), i % 3 + 1, f"c{i % 3}", rng.choice("de"), rng.randint(1, 3)) for i in range(500)]
+    cells += [("hot", "key-a", 1, "c0", "d", 1), ("hot", "5", 1, "c0", "d", 1), ("hot", "5", 1, "c0", "d", 1), ("cold", "1", 2, "c1", "d", 4)]
+    rng.shuffle(cells)
+    df = spark.createDataFrame(cells, "object string, row string, column int, columnName string, detector string, hits long").repartition(9)
+    out = scan.finding_documents(df, 7).collect()
+    want = {}
+    for o, r, c, n, det, h in cells:
+        want.setdefault((o, det), []).append(((not r.isdigit(), int(r) if r.isdigit() else 0, r, c), (r, c, n), h))
+    assert len(out) == len({(r.object, r.detector, r.chunk) for r in out})
+    for (o, det), found in want.items():
+        mine = sorted((r for r in out if (r.object, r.detector) == (o, det)), key=lambda r: r.chunk)
+        assert [r.chunk for r in mine] == list(range(-(-len(found) // 7))) and {r.n_chunks for r in mine} == {len(mine)}
+        assert [tuple(c) for r in mine for c in r.cells] == [x[1] for x in sorted(found, key=lambda x: x[0])]
+        assert all(len(r.cells) <= 7 for r in mine)
+        assert {r["count"] for r in mine} == {sum(x[2] for x in found)}
+        assert {r.total_count for r in mine} == {sum(x[5] for x in cells if x[0] == o)}
+    assert scan.finding_documents(df.limit(0)).collect() == []

@@ -100,3 +100,17 @@ def test_rules_table_round_trip(spark, tmp_dir):
         "struct<regex:string,canonical_name:string,priority:int>"
     raw = spark.read.option("header", "true").csv(write(tmp_dir, "legacy.csv", LEGACY))
     assert C.canonicalize_columns(raw, rules).columns == C.canonicalize_columns(raw).columns
+
+
+def test_hashing_tf_equals_counting(spark):
+    import hashlib
+    from collections import Counter
+    from tidewater.functions.text import hashing_tf
+    rows = [(1, ["a", "b", "a", None, "名前"]), (2, []), (3, None), (4, [f"w{i % 700}" for i in range(3000)]), (4, ["a"])]
+    df = spark.createDataFrame(rows, "sorted int, starts array<string>")
+    for dims in (4, 512):
+        out = hashing_tf(df, "starts", dims)
+        assert out.columns == ["sorted", "starts", "indices", "counts"]
+        for r, (k, tokens) in zip(out.collect(), rows):
+            want = Counter(int(hashlib.md5(t.encode()).hexdigest()[:7], 16) % dims for t in tokens or [] if t is not None)
+            assert r[0] == k and list(zip(r.indices, r.counts)) == sorted(want.items())

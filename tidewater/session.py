@@ -129,20 +129,51 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = hadoop_fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    d = jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(d.getParent())
+def rename_path(spark: SparkSession, src: str, dst: str, fs=None) -> None:
+    """Rename a folder or file; the parent of ``dst`` is made. With the file
+    system given (:func:`hadoop_fs`), the parent must be there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    d = path(dst)
+    if fs is None:
+        fs, s = hadoop_fs(spark, src)
+        fs.mkdirs(d.getParent())
+    else:
+        s = path(src)
     if not fs.rename(s, d):
         raise RuntimeError(f"rename failed: {src} -> {dst}")
 
 
+def make_dirs(spark: SparkSession, path: str, fs=None) -> None:
+    fs = fs or hadoop_fs(spark, path)[0]
+    fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = hadoop_fs(spark, path)
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, whole or not at all: written beside and renamed."""
+    fs, p = hadoop_fs(spark, path + ".part")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    rename_path(spark, path + ".part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right under ``path`` (none if it does not exist)."""
     fs, p = hadoop_fs(spark, path.rstrip("/") + "/*")
