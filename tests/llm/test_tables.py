@@ -267,7 +267,7 @@ def test_pipeline_stages(spark, tmp_dir):
         if name == "language_id":
             assert n1 == 200 and docs.filter("doc_id >= 10000").count() == 0
         if name == "line_dedup":
-            want = {(r.doc_id, r.text) for r in line_chunks.dedup(before.select("doc_id", "text")).collect()}
+            want = {(r.doc_id, r.text) for r in line_chunks.dedup(before.select("doc_id", "text"), extend=True).collect()}
             assert n0 == n1 and {(r.doc_id, r.text) for r in docs.collect()} == want
             assert docs.filter("n_chars != length(text)").count() == 0
         if name == "near_duplicates":

@@ -126,7 +126,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_chunks.dedup(docs, counts=("n_lines", "n_removed"), runs=True)
+    out = line_chunks.dedup(docs, counts=("n_lines", "n_removed"), extend=True)
     kept = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_lines", "n_removed", F.length(kept).cast("long").alias("kept_chars"),
                       F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
