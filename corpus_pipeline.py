@@ -28,9 +28,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated chunks of lines out of the texts; ``n_chars`` follows. A
-    document of which nothing is left stays, with an empty text."""
-    out = line_chunks.dedup(docs)
+    """Cut repeated chunks of lines out of the texts, as far as they repeat on
+    both sides; ``n_chars`` follows. A document of which nothing is left stays,
+    with an empty text."""
+    out = line_chunks.dedup(docs, extend=True)
     if "n_chars" in out.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))
