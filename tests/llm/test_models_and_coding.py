@@ -140,3 +140,25 @@ def test_additive_model_learns_a_pair():
     assert np.mean((model.score(x) > 0.5) == y) > 0.95
     alone = quality_gam.fit(x, y, np.ones(len(y)), n_pairs=0)
     assert np.mean((alone.score(x) > 0.5) == y) < 0.7
+
+
+def test_samples_are_bounded_whatever_the_ids(spark, monkeypatch):
+    """One id, no id, or the same row on thousands of rows: about ``sample_rows``
+    documents come to the driver, and not none."""
+    texts = [" ".join(["the", "cat", f"sat{i}", "on", f"mat{i * 7}", "again."] * (1 + i % 5)) for i in range(4000)]
+    for key in (7, None):
+        docs = spark.createDataFrame([(key, t, "en" if i % 2 else "fr") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+        seen = []
+        monkeypatch.setattr(langid, "_ftrl", lambda data, *a, real=langid._ftrl: seen.append(len(data)) or real(data[:50], *a))
+        langid.train(docs, sample_rows=1000)
+        assert 500 * 0.8 <= seen[0] <= 1100  # a fifth is held back for the temperature
+        monkeypatch.undo()
+    same = spark.createDataFrame([(1, "one text", "en")] * 3000 + [(2, "un texte", "fr")], "doc_id long, text string, lang string")
+    assert langid.train(same, sample_rows=100).langs == ["en", "fr"]
+
+    docs = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1)] * 4000 + [(1, 0)] * 300 + [(2, 1), (None, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y, w, **how: seen.append((len(y), y.mean())))
+    quality_gam.train(docs, labels, sample_rows=1000)
+    assert 500 <= seen[0][0] <= 1150 and 0.3 < seen[0][1] < 0.7

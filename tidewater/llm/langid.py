@@ -97,7 +97,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _sample_counts(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
-    """(label, features, counts) of each row: its distinct n-grams, packed."""
+    """(label, h, features, counts) of each row: its distinct n-grams, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, text_col, 1 << 20):
             texts = part.column(text_col).to_pylist()
@@ -109,10 +109,10 @@ def _sample_counts(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
                 ids.append(f[keep].astype("<i4").tobytes())
                 counts.append(n[keep].astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column(label_col), pa.array(ids, type=pa.binary()), pa.array(counts, type=pa.binary())],
-                names=["label", "features", "counts"])
+                [part.column(label_col), part.column("h"), pa.array(ids, type=pa.binary()), pa.array(counts, type=pa.binary())],
+                names=["label", "h", "features", "counts"])
 
-    return df.select(label_col, text_col).mapInArrow(vec.trimmed(run), "label string, features binary, counts binary")
+    return df.mapInArrow(vec.trimmed(run), "label string, h long, features binary, counts binary")
 
 
 def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_col: str = "doc_id",
@@ -120,18 +120,22 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_co
           l1: float = 0.02, l2: float = 0.1) -> Model:
     """Fit on a sample of about ``sample_rows`` labelled rows, the same share
     of them for each language as far as it has rows. The sample is chosen by
-    a hash of ``key_col``; only its n-gram counts come to the driver, and their
-    size is bounded by ``sample_rows`` and the number of features."""
+    a hash of ``key_col`` and the text among the rows that differ in either; rows
+    alike in both count once. Only n-gram counts come to the driver, and
+    their size is bounded by ``sample_rows`` (drawn by hash, so a few per cent
+    more or less) and the number of features."""
     rows = df.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    n = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}  # one row per language
+    both = F.xxhash64(F.col(key_col).cast("string"), F.col(text_col), F.lit(9))
+    found = rows.groupBy(label_col).agg(F.count("*"), F.approx_count_distinct(both, 0.02)).collect()  # one row per language
+    n, distinct = {r[0]: r[1] for r in found}, {r[0]: r[2] for r in found}
     langs = sorted(n)
     if not langs:
         return Model([], np.zeros(((1 << BITS) + 1, 0), dtype=np.float32), np.zeros(0))
     share = sample_rows / len(langs)
     steps = 1 << 30
-    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(steps * min(1.0, share / n[k]))))])
-    hashed = F.pmod(F.xxhash64(F.col(key_col).cast("string"), F.lit(9)), F.lit(steps))
-    got = _sample_counts(rows.filter(hashed < rate[F.col(label_col)]), text_col, label_col).collect()
+    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(steps * min(1.0, share / max(distinct[k], 1)))))])
+    drawn = rows.filter(F.pmod(both, F.lit(steps)) < rate[F.col(label_col)]).select(label_col, text_col, both.alias("h"))
+    got = _sample_counts(drawn, text_col, label_col).distinct().collect()
     got.sort(key=lambda r: (r["label"], bytes(r["features"]), bytes(r["counts"])))
     order = np.random.default_rng(9).permutation(len(got))
     docs = [(langs.index(got[i]["label"]), np.frombuffer(got[i]["features"], dtype="<i4"),

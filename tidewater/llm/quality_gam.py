@@ -227,27 +227,38 @@ def train(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col:
           label_col: str = "quality", sample_rows: int = 20_000, **how) -> Model:
     """Fit on about ``sample_rows`` labelled documents, half of them of either
     class as far as it has rows, weighted back to the shares of all labels.
-    The sample is chosen by a hash of the key; what comes to the driver is one
-    row of features per sampled label."""
+    The sample is chosen by a hash of the key among the distinct labelled keys
+    and, where keys stand on several documents, by a hash of key and text among
+    those; rows alike in both count once. What comes to the
+    driver is one row of features per sampled document, about ``sample_rows``
+    (the share is drawn by hash, so a few per cent more or less)."""
     rows = labels.select(F.col(key_col).alias("k"), F.col(label_col).cast("int").alias("y")).filter(
-        F.col("k").isNotNull() & F.col("y").isin(0, 1))
+        F.col("k").isNotNull() & F.col("y").isin(0, 1)).distinct()
     n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}  # two rows
     steps = 1 << 30
     take = {y: min(1.0, sample_rows / 2 / c) for y, c in n.items()}
-    hashed = F.pmod(F.xxhash64(F.col("k").cast("string"), F.lit(1)), F.lit(steps))
-    keep = F.lit(False)
-    for y, r in take.items():
-        keep = keep | ((F.col("y") == y) & (hashed < int(steps * r)))
-    sample = F.broadcast(rows.filter(keep))  # bounded by sample_rows
+
+    def drawn(hashed, share: dict):
+        keep = F.lit(False)
+        for y, r in share.items():
+            keep = keep | ((F.col("y") == y) & (F.pmod(hashed, F.lit(steps)) < int(steps * r)))
+        return keep
+
+    sample = F.broadcast(rows.filter(drawn(F.xxhash64(F.col("k").cast("string"), F.lit(1)), take)))  # bounded by sample_rows
     joined = docs.select(F.col(key_col).alias("k"), F.col(text_col).alias("text")).join(sample, "k")
+    both = F.xxhash64(F.col("k").cast("string"), F.coalesce("text", F.lit("")), F.lit(2))
+    found = {r["y"]: r["m"] for r in joined.groupBy("y").agg(F.approx_count_distinct(both, 0.02).alias("m")).collect()}
+    again = {y: min(1.0, sample_rows / 2 / m) if m > 0.6 * sample_rows else 1.0 for y, m in found.items()}
+    take = {y: r * again.get(y, 1.0) for y, r in take.items()}
+    joined = joined.filter(drawn(both, again)).select("y", "text", both.alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, "text"):
             x = features(part.column("text")).astype("<f8")
-            yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([r.tobytes() for r in x], type=pa.binary())],
-                                             names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([part.column("y"), part.column("h"), pa.array([r.tobytes() for r in x], type=pa.binary())],
+                                             names=["y", "h", "x"])
 
-    got = joined.select("y", "text").mapInArrow(vec.trimmed(run), "y int, x binary").collect()
+    got = joined.mapInArrow(vec.trimmed(run), "y int, h long, x binary").distinct().collect()
     got.sort(key=lambda r: (r["y"], bytes(r["x"])))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), dtype="<f8").reshape(len(got), len(FEATURES))
     y = np.array([r["y"] for r in got], dtype=np.float64)
