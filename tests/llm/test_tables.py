@@ -280,7 +280,9 @@ def test_pipeline_stages(spark, tmp_dir):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     extra = [(10_000, None, None, None, None), (10_001, "12 34", "en", "src0", 5), (10_002, "", "fr", None, 0)]
-    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumns({"own": F.lit(1), "key": F.lit("k"), "__x": F.lit(2)})
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumns({
+        c: F.lit(c) for c in ("own", "key", "k", "r", "h", "n", "i", "copies", "one", "lang_pred", "score", "cut", "later", "nth",
+                              "__own", "__h", "__k", "__key", "__lang", "__score", "_own", "_h")})
     for i, (name, stage) in enumerate(P.STAGES):
         before = docs
         out = stage(spark, docs, sf)

@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm import names
 from tidewater.session import materialize
 
 BLOCK = 4096
@@ -192,10 +193,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def take(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as ``mixed`` (of the
     same table) takes it, with the columns of ``docs``."""
-    h = F.xxhash64(F.col(key).cast("string"), F.col(text), F.col(source))
-    each = F.row_number().over(Window.partitionBy("__h").orderBy("__h"))
-    left = docs.withColumn("__h", h).withColumn("__n", each)
-    right = (mixed.select(F.col("h").alias("__h"), F.col("copies").alias("__copies"))
-             .withColumn("__n", F.row_number().over(Window.partitionBy("__h").orderBy("__copies"))))
-    return (left.join(right, ["__h", "__n"]).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .filter("__copies > 0").select(*docs.columns))
+    h, n, copies, i = names.free(docs, "h", "n", "copies", "i")
+    hashed = F.xxhash64(F.col(key).cast("string"), F.col(text), F.col(source))
+    left = docs.withColumn(h, hashed).withColumn(n, F.row_number().over(Window.partitionBy(h).orderBy(h)))
+    right = (mixed.select(F.col("h").alias(h), F.col("copies").alias(copies))
+             .withColumn(n, F.row_number().over(Window.partitionBy(h).orderBy(copies))))
+    return (left.join(right, [h, n]).withColumn(i, F.explode(F.sequence(F.lit(1), F.col(copies))))
+            .filter(F.col(copies) > 0).select(*docs.columns))

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm import vec
+from tidewater.llm import names, vec
 from tidewater.llm.components import connected_components
 from tidewater.session import materialize
 
@@ -567,16 +567,18 @@ def keep_one(df: DataFrame, classes: DataFrame, key: str = "doc_id", text: str =
     heads = alike.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("k", "r", "copies")).alias("head")).select("head.*")
     empty = alike.filter("component IS NULL").select(
         "k", "r", F.when(F.col("k") == -(1 << 63), F.lit(1)).otherwise(F.col("copies")).alias("copies"))
-    kept = materialize(heads.unionByName(empty).select(*[F.col(c).alias(f"__{c}") for c in ("k", "r", "copies")]), "kept", "parquet")
+    k, r, copies, one = names.free(df, "k", "r", "copies", "one")
+    kept = materialize(heads.unionByName(empty).select(
+        F.col("k").alias(k), F.col("r").alias(r), F.col("copies").alias(copies)), "kept", "parquet")
 
     def rows_of(some: DataFrame) -> DataFrame:
-        return df.join(some, (F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) == F.col("__k"))
-                       & (F.xxhash64(F.col(text)) == F.col("__r")))
+        return df.join(some, (F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) == F.col(k))
+                       & (F.xxhash64(F.col(text)) == F.col(r)))
 
-    out = rows_of(kept.filter("__copies = 1")).select(*df.columns)
-    several = kept.filter("__copies > 1")
+    out = rows_of(kept.filter(F.col(copies) == 1)).select(*df.columns)
+    several = kept.filter(F.col(copies) > 1)
     if several.isEmpty():
         return out
     whole = F.struct(*df.columns)
-    one = rows_of(several).groupBy("__k", "__r").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("__one"))
-    return out.unionByName(one.select("__one.*"))
+    chosen = rows_of(several).groupBy(k, r).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias(one))
+    return out.unionByName(chosen.select(f"{one}.*"))
