@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, cube_mix, langid, line_chunks, ngram_join
+from tidewater.llm import bpe, cube_mix, langid, line_chunks, names, ngram_join
 from tidewater.llm.queries import tokenizer_file
 from tidewater.session import scratch_path
 
@@ -20,11 +20,14 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose text is in a language that the labels know;
-    rows without text, without letters, or unlike every language go."""
+    """Keep the documents whose text is in a language that the labels know: rows
+    without text or letters go, and rows whose likeliest language has a
+    probability under ``LEAST_LANGUAGE_SCORE`` (which with four languages or
+    fewer is never so, or hardly)."""
     model = langid.train(docs.select("doc_id", "text", "lang"))
-    scored = langid.predict(docs, model, lang_col="__lang", score_col="__score")
-    return scored.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = names.free(docs, "lang_pred", "score")
+    scored = langid.predict(docs, model, lang_col=lang, score_col=score)
+    return scored.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
