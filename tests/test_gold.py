@@ -163,3 +163,24 @@ def test_scd2_refresh_with_late_snapshot(spark):
          for r in refreshed.filter("k = 'A'").collect()}
     assert a == {("x", "2025-01-01", "2025-01-04"), ("z", "2025-01-05", "2025-01-09"),
                  ("y", "2025-01-10", "9999-12-31")}
+
+
+def test_scd2_refresh_rebuilds_neighbours_only(spark, tmp_dir):
+    """Versions that no late day borders come back as they are, even where the
+    history would give others; the history is read once."""
+    day = lambda i: dt.date(2025, 1, 1) + dt.timedelta(days=i)
+    path = f"{tmp_dir}/scd_history"
+    spark.createDataFrame([("A", day(10 * i), f"v{i}") for i in range(9)] + [("B", day(0), "p")],
+                          "k string, d date, v string").write.parquet(path)
+    hist = spark.read.parquet(path)
+    dim = dims.scd2_dimension(hist, "k", "d", ["v"], sk_col=None)
+    marked = spark.createDataFrame(dim.withColumn("v", F.concat("v", F.lit("!"))).collect(), dim.schema)
+    out = dims.scd2_refresh(marked, hist, spark.createDataFrame([("A", day(45), "late")], "k string, d date, v string"),
+                            "k", "d", ["v"], sk_col=None)
+    got = {(r.k, r.effective_start_date): (r.v, r.effective_end_date) for r in out.collect()}
+    rebuilt = {day(30): "v3", day(40): "v4", day(45): "late", day(50): "v5"}
+    for i in range(9):
+        assert got["A", day(10 * i)][0] == rebuilt.get(day(10 * i), f"v{i}!")
+    assert got["A", day(40)] == ("v4", day(44)) and got["A", day(45)] == ("late", day(49)) and got["B", day(0)][0] == "p!"
+    assert len(got) == 11
+    assert out._jdf.queryExecution().sparkPlan().toString().count("scd_history") == 1

@@ -59,6 +59,22 @@ def test_scd2_equals_python(spark, days):
     assert got == sorted(want, key=key)
 
 
+@settings(**SETTINGS)
+@given(days=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 25), st.sampled_from(["x", "y", None]), st.booleans()),
+                     min_size=1, max_size=30, unique_by=lambda x: (x[0], x[1], x[3])))
+def test_scd2_refresh_equals_a_full_rebuild(spark, days):
+    """Late, early, repeated and new days of known and unknown keys."""
+    base = dt.date(2025, 1, 1)
+    old = {(k, base + dt.timedelta(days=d)): v for k, d, v, late in days if not late}
+    new = {(k, base + dt.timedelta(days=d)): v for k, d, v, late in days if late}
+    frame = lambda x: spark.createDataFrame([(*k, v) for k, v in x.items()], "k int, day date, v string")
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    dim = dims.scd2_dimension(frame(old), "k", "day", ["v"])
+    got = dims.scd2_refresh(dim, frame(old), frame(new), "k", "day", ["v"])
+    full = dims.scd2_dimension(frame({**old, **new}), "k", "day", ["v"]).select(*got.columns)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, full.collect()), key=key)
+
+
 PIECES = ["from ", "FROM ", "join ", "JOIN ", "(", "select 1 ", '"', "`", ".", "a", "b1", "sys",
           "information_schema", "unnest", "json_table", "x_y", "$", " ", "\n"]
 

@@ -84,24 +84,73 @@ def surrogate_key(key: Column, start: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def _touched_spans(dim: DataFrame, new: DataFrame, key: str, day_col: str) -> tuple[DataFrame, DataFrame]:
+    """(versions that stay, spans to rebuild) of the keys in ``new``.
+
+    A version is touched if a new day falls into it (days before the first
+    version count for that one), or if it borders one that is. Touched versions
+    in a row form a span (``_lo``, ``_hi``, ``_cur``: holds the open version)."""
+    versions = dim.withColumns({"_day": F.col("effective_start_date"), "_new": F.lit(0)})
+    days = new.select(F.col(key), F.col(day_col).alias("_day"), F.lit(1).alias("_new"))
+    u = versions.unionByName(days, allowMissingColumns=True)
+    along = Window.partitionBy(key).orderBy("_day", "_new").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumns({"_n": F.sum("_new").over(along), "_all": F.sum("_new").over(Window.partitionBy(key))})
+    w = Window.partitionBy(key).orderBy("_day")
+    v = u.filter("_new = 0").withColumns({
+        "_first": F.lag("_n").over(w).isNull(),
+        "_hit": (F.coalesce(F.lead("_n").over(w), F.col("_all")) > F.col("_n"))
+                | (F.lag("_n").over(w).isNull() & (F.col("_n") > 0))})
+    v = v.withColumn("_touched", F.col("_hit") | F.coalesce(F.lag("_hit").over(w), F.lit(False))
+                     | F.coalesce(F.lead("_hit").over(w), F.lit(False)))
+    v = v.withColumn("_span", F.sum((~F.col("_touched")).cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = (v.filter("_touched").groupBy(key, "_span")
+             .agg(F.min(F.when(F.col("_first"), F.lit("0001-01-01").cast("date")).otherwise(F.col("_day"))).alias("_lo"),
+                  F.max("effective_end_date").alias("_hi"), F.max("current_flag").alias("_cur")).drop("_span"))
+    return v.filter("NOT _touched").select(*dim.columns), spans
+
+
 def scd2_refresh(dim: DataFrame, history: DataFrame, new_rows: DataFrame, key: str, day_col: str,
                  attrs: list[str], sk_col: str | None = "dim_sk",
                  open_end: str = SCD2_OPEN_END) -> DataFrame:
-    """W1 with late or out-of-order loads: rebuild only the keys that changed.
+    """W1 with late or out-of-order loads: rebuild only what a new day borders.
 
     ``history`` holds the daily rows the current ``dim`` was built from;
     ``new_rows`` may fall anywhere in time (before, between or after known
-    days); of a known day the new row wins. The keys they touch are rebuilt from their complete history (a
-    semi-join, so only those keys' rows move); every other key keeps its
-    rows from ``dim``. Equal to a full rebuild, at the cost of the changed
-    keys only.
+    days); of a known day the new row wins. Only the versions a new day falls
+    into, and their neighbours (with which they may merge), are rebuilt from
+    the history of those days; all other rows of ``dim`` come back as they
+    are. Equal to a full rebuild. The history is read once (a semi-join on the
+    touched keys), and its days find their span by an as-of merge, so a key
+    with many late days costs no product of days and spans. No new rows: ``dim``.
     """
-    affected = materialize(new_rows.select(key).distinct(), "affected", "parquet")
-    both = history.withColumn("_load", F.lit(0)).unionByName(new_rows.withColumn("_load", F.lit(1)))
-    touched = both.join(affected, key, "left_semi")
-    touched = latest_snapshot(touched, [key, day_col], day_col, ["_load"]).drop("_load")
-    rebuilt = scd2_dimension(touched, key, day_col, attrs, sk_col=sk_col, open_end=open_end)
-    return dim.join(affected, key, "left_anti").unionByName(rebuilt.select(*dim.columns))
+    new = materialize(latest_snapshot(new_rows.select(key, day_col, *attrs), [key, day_col], day_col, [day_col]),
+                      "new_days", "parquet")
+    affected = new.select(key).distinct()
+    kept, spans = _touched_spans(dim.join(affected, key, "left_semi"), new, key, day_col)
+    daily = (history.select(key, day_col, *attrs).join(affected, key, "left_semi").withColumn("_kind", F.lit(1))
+             .unionByName(new.withColumn("_kind", F.lit(2))))
+    tup = F.struct(*[F.col(a) for a in attrs])
+    newest = Window.partitionBy(key, day_col).orderBy(F.desc("_kind"), tup.desc())
+    daily = daily.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    marks = spans.select(key, F.col("_lo").alias(day_col), F.lit(0).alias("_kind"), F.struct("_lo", "_hi", "_cur").alias("_in"))
+    along = (Window.partitionBy(key).orderBy(day_col, "_kind")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # a new day outside all spans belongs to a key that had no version yet
+    days = (daily.unionByName(marks, allowMissingColumns=True).withColumn("_in", F.last("_in", ignorenulls=True).over(along))
+            .filter((F.col("_kind") > 0) & F.when(F.col("_in").isNull(), F.col("_kind") == 2)
+                    .otherwise(F.col(day_col) <= F.col("_in._hi"))))
+    w = Window.partitionBy(key, "_in").orderBy(day_col)
+    starts = (days.withColumn("_prev", F.lag(tup).over(w))
+              .filter(F.col("_prev").isNull() | ~tup.eqNullSafe(F.col("_prev")))
+              .withColumn("_next", F.lead(F.col(day_col)).over(w)))
+    rebuilt = starts.select(
+        F.col(key), *[F.col(a) for a in attrs], F.col(day_col).alias("effective_start_date"),
+        F.coalesce(F.date_sub("_next", 1), "_in._hi", F.lit(open_end).cast("date")).alias("effective_end_date"),
+        (F.col("_next").isNull() & F.coalesce("_in._cur", F.lit(True))).alias("current_flag"))
+    if sk_col:
+        rebuilt = rebuilt.withColumn(sk_col, surrogate_key(F.col(key), F.col("effective_start_date")))
+    return dim.join(affected, key, "left_anti").unionByName(kept).unionByName(rebuilt.select(*dim.columns))
 
 
 def assert_unique(df: DataFrame, cols: list[str] | str) -> None:
