@@ -151,6 +151,36 @@ def test_audit_log_projection_and_flow_pruning(spark):
     assert "PartitionFilters: [isnotnull(hour" in plan
 
 
+def test_projected_glob_names_the_same_days():
+    """Every pattern, opened out, covers exactly the folders of ``projected_paths``."""
+    ranges = [(None, None), (dt.date(2024, 1, 5), dt.date(2024, 1, 12)), (dt.date(2023, 11, 30), dt.date(2025, 2, 1)),
+              (dt.date(2024, 2, 1), dt.date(2024, 2, 29)), (dt.date(2024, 12, 31), dt.date(2025, 12, 31))]
+    for start, end in ranges:
+        glob = files.projected_glob("/x/", ["us-east-1", "eu-west-1"], start, end)
+        head, regions, parts = glob[:glob.index("{")], *[p.split("}")[0].split(",") for p in glob.split("{")[1:]]
+        prefixes = [f"{head}{r}/{p}" for r in regions for p in parts]
+        days = files.projected_paths("/x", ["us-east-1", "eu-west-1"], start, end)
+        assert all(sum(d == p or d.startswith(p + "/") for p in prefixes) == 1 for d in days)
+        every = files.projected_paths("/x", ["us-east-1", "eu-west-1"])
+        assert sum(any(d == p or d.startswith(p + "/") for p in prefixes) for d in every) == len(days)
+        assert len(parts) <= 11 + 22 + 60
+    assert files.projected_glob("/x", ["us-east-1"], dt.date(2024, 2, 2), dt.date(2024, 2, 1)) == ""
+
+
+def test_audit_log_reads_day_folders_only(spark, tmp_dir):
+    import os
+    for folder in ("us-east-1/2024/01/05", "us-east-1/2024/01/06", "us-east-1/2024/01", "us-east-1/2024/01/05/more", "xx-east-1/2024/01/05"):
+        os.makedirs(f"{tmp_dir}/{folder}", exist_ok=True)
+        with open(f"{tmp_dir}/{folder}/f.json", "w") as f:
+            f.write('{"eventid": "%s"}\n' % folder)
+    got = files.read_audit_log(spark, tmp_dir).select("eventid", "region", "day").collect()
+    assert sorted(map(tuple, got)) == [("us-east-1/2024/01/05", "us-east-1", "05"), ("us-east-1/2024/01/06", "us-east-1", "06")]
+    one = files.read_audit_log(spark, tmp_dir, start=dt.date(2024, 1, 6), end=dt.date(2024, 1, 8))
+    assert [r.day for r in one.collect()] == ["06"] and len(one.inputFiles()) == 1
+    assert files.read_audit_log(spark, tmp_dir, ["eu-west-1"]).count() == 0
+    assert files.read_audit_log(spark, tmp_dir, start=dt.date(2024, 1, 6), end=dt.date(2024, 1, 5)).count() == 0
+
+
 def test_finding_documents_of_a_hot_object(spark):
     """One object with most findings, in chunks of 7: every position once, in
     order, and no chunk longer than that."""

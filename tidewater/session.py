@@ -174,12 +174,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right under ``path`` (none if it does not exist)."""
-    fs, p = hadoop_fs(spark, path.rstrip("/") + "/*")
-    return [str(st.getPath().getName()) for st in (fs.globStatus(p) or []) if st.isDirectory()]
-
-
 def list_partition_dirs(spark: SparkSession, root: str, keys: list[str]) -> list[str]:
     """Relative ``k1=v1/k2=v2/...`` folders under ``root`` (one glob, no data read)."""
     fs, p = hadoop_fs(spark, root)

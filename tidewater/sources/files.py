@@ -10,12 +10,11 @@ from __future__ import annotations
 import datetime as _dt
 import itertools
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import list_dirs
-
 
 def versioned_path(base: str, version: str) -> str:
     """S1 naming: ``{base}_{version}.csv``."""
@@ -131,29 +130,49 @@ def with_template_partitions(df: DataFrame) -> DataFrame:
     })
 
 
-def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those of the day folders that storage has: one listing per month folder."""
-    by_month: dict[str, list[str]] = {}
-    for p in paths:
-        by_month.setdefault(p.rsplit("/", 1)[0], []).append(p)
-    out = []
-    for month, days in by_month.items():
-        there = set(list_dirs(spark, month))
-        out += [p for p in days if p.rsplit("/", 1)[1] in there]
-    return out
+def projected_glob(root: str, regions: list[str] | tuple[str, ...] = AUDIT_REGIONS,
+                   start: _dt.date | None = None, end: _dt.date | None = None,
+                   years: tuple[int, int] = AUDIT_YEARS) -> str:
+    """S9 as one pattern: whole years and months of ``start..end`` by their own
+    folder, the rest by days. It names at most the years, 22 months and 60
+    days, whatever the range."""
+    first, last = _dt.date(years[0], 1, 1), _dt.date(years[1], 12, 31)
+    lo, hi = start or first, end or last
+    if lo < first or hi > last:
+        raise ValueError(f"{lo}..{hi} leaves the projected years {years[0]}..{years[1]}")
+    parts, day = [], lo
+    while day <= hi:
+        year_end = _dt.date(day.year, 12, 31)
+        month_end = (day.replace(day=28) + _dt.timedelta(days=4)).replace(day=1) - _dt.timedelta(days=1)
+        if (day.month, day.day) == (1, 1) and year_end <= hi:
+            parts, day = [*parts, f"{day:%Y}"], year_end
+        elif day.day == 1 and month_end <= hi:
+            parts, day = [*parts, f"{day:%Y/%m}"], month_end
+        else:
+            parts.append(f"{day:%Y/%m/%d}")
+        day += _dt.timedelta(days=1)
+    return f"{root.rstrip('/')}/{{{','.join(regions)}}}/{{{','.join(parts)}}}" if parts and regions else ""
 
 
 def read_audit_log(spark: SparkSession, root: str, regions=AUDIT_REGIONS,
                    start: _dt.date | None = None, end: _dt.date | None = None) -> DataFrame:
     """S8 + S9: gzip JSON audit events from the projected folders.
 
-    Folders that the projection names but storage lacks are skipped (one
-    listing per region and month; days are not probed one by one).
+    Spark gets the projection as one pattern and lists what lies under the
+    folders it names, in parallel; folders that storage lacks are skipped. Only
+    files right in a day folder of the template are read. Without any: no rows.
     """
-    paths = existing_paths(spark, projected_paths(root, regions, start, end))
-    if not paths:
-        return spark.createDataFrame([], AUDIT_SCHEMA + ", region string, year string, month string, day string")
-    return with_template_partitions(spark.read.schema(AUDIT_SCHEMA).json(paths))
+    glob = projected_glob(root, regions, start, end)
+    none = spark.createDataFrame([], AUDIT_SCHEMA + ", region string, year string, month string, day string")
+    if not glob:
+        return none
+    try:
+        df = spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").json(glob)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return none
+        raise
+    return with_template_partitions(df.filter(F.col("_metadata.file_path").rlike(AUDIT_PATH_RE)))
 
 
 def audit_flat(df: DataFrame) -> DataFrame:
