@@ -23,6 +23,28 @@ def test_ascii_fast_path_matches_python(spark):
     assert _norm(spark, vals) == want
 
 
+def test_distinct_values_are_normalised_once(spark, monkeypatch):
+    """The dictionary has one row per different non-ASCII value of all fields, however
+    often it stands there; one value is a third of all cells."""
+    from tidewater.functions import text
+    rows = [("Ｆｕｎｄ　Ａ", "Plain Co") if i % 3 else (f"株式 {i % 7}", "Ｆｕｎｄ　Ａ") for i in range(600)]
+    rows += [(None, ""), ("", None), ("ABC d", "(ｸﾞﾙｯﾄ)" * 400), (" ", "\u3000")]
+    df = spark.createDataFrame(rows, "key string, hot string").repartition(5)
+    written, inner = [], text.materialize
+    monkeypatch.setattr(text, "materialize", lambda d, *a: written.append(inner(d, *a)) or written[-1])
+    got = text.normalize_distinct(df, ["key", "hot"])
+    want = df.withColumns({"key_norm": normalize_key("key"), "hot_norm": normalize_key("hot")})
+    assert got.columns == want.columns
+    order = lambda r: tuple((x is None, x or "") for x in r)
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(map(tuple, want.collect()), key=order)
+    values = [v for r in rows for v in r if v and not v.isascii()]
+    assert [d.count() for d in written] == [len(set(values))]
+    empty = text.normalize_distinct(df.limit(0), ["key", "hot"])
+    assert empty.collect() == [] and empty.columns == want.columns
+    keys = [sorted(r.det_key for r in det_key(df, ["key", "hot"], repeated=x).collect()) for x in (False, True)]
+    assert keys[0] == keys[1]
+
+
 def test_nfkc_makes_nicknames_equal(spark):
     a, b = _norm(spark, ["ぐるっと世界（グルット）", "ぐるっと世界(ｸﾞﾙｯﾄ)"])
     assert a == b

@@ -3,7 +3,8 @@
 Only NFKC needs Python: Spark has no Unicode normal-form function. It runs
 as an Arrow-batched pandas UDF (one Arrow transfer per batch, not per row),
 and only for non-ASCII text: NFKC leaves ASCII unchanged, so ASCII values
-are folded by JVM built-ins. Everything else is a JVM built-in so it stays
+are folded by JVM built-ins. Where values repeat, ``normalize_distinct`` folds
+each different one once. Everything else is a JVM built-in so it stays
 inside whole-stage codegen.
 """
 
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import materialize
+
 # Fixed values that must equal the reference's behaviour:
 #   key normaliser = null -> "", NFKC, lower-case, delete every (Unicode) whitespace char
 #   composite key separator "_", text feature separator " "
@@ -65,15 +68,53 @@ def normalize_key(c: Column | str) -> Column:
     return F.when(ascii_only, jvm).otherwise(_fold(F.when(ascii_only, F.lit(None)).otherwise(col)))
 
 
+def normalize_distinct(df: DataFrame, fields: list[str], suffix: str = "_norm") -> DataFrame:
+    """F1 of columns whose values repeat (names, companies): every different
+    non-ASCII value of all ``fields`` goes through Python once.
+
+    The different values are counted (combined map-side), folded and written as a
+    dictionary by digest, which the fields are joined with. Values that hold more
+    than a hundredth of the cells are fewer than 100; those of up to 4096 bytes
+    are broadcast. The rest is an ordinary join, which AQE broadcasts if it measures small. Rows that need
+    no entry (ASCII, null, common value) get keys of their own in that join, so
+    that no task has them all. Adds ``<field><suffix>``, the same as ``normalize_key``.
+    """
+    def wide(f):
+        return F.when(F.length(f) != F.octet_length(f), F.col(f))
+
+    cells = df.select(F.explode(F.array(*[wide(f) for f in fields])).alias("value")).filter("value IS NOT NULL")
+    folded = materialize(cells.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+                         .select(digest("value").alias("d"), "n", _fold("value").alias("folded")), "folded", "parquet")
+    share = (folded.agg(F.sum("n")).first()[0] or 0) / 100
+    common = (F.col("n") > share) & (F.octet_length("folded") <= 4096)
+    often, rest = folded.filter(common), folded.filter(~common)
+    low = {c.lower() for c in df.columns} | {f"{f}{suffix}".lower() for f in fields}
+    names = ["key", "hot", "hot_folded", "at", "rest_folded"]
+    k, h, hf, at, rf = (next(n for n in (f"{'_' * i}{x}" for i in range(1, 99)) if n not in low) for x in names)
+    for f in fields:
+        df = df.withColumn(k, digest(wide(f)))
+        df = df.join(F.broadcast(often.select(F.col("d").alias(h), F.col("folded").alias(hf))), F.col(k) == F.col(h), "left")
+        own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+        df = df.withColumn(k, F.when(F.col(h).isNull() & F.col(k).isNotNull(), F.col(k)).otherwise(own))
+        df = df.join(rest.select(F.col("d").alias(at), F.col("folded").alias(rf)), F.col(k) == F.col(at), "left")
+        ascii_form = F.regexp_replace(F.lower(f), _ASCII_WS, "")
+        df = df.withColumn(f"{f}{suffix}", F.coalesce(hf, rf, ascii_form, F.lit(""))).drop(k, h, hf, at, rf)
+    return df
+
+
 def det_key(df: DataFrame, fields: list[str], out: str = "det_key",
-            suffix: str = "_norm") -> DataFrame:
+            suffix: str = "_norm", repeated: bool = False) -> DataFrame:
     """normalise each field into ``<field><suffix>`` and join them with "_".
 
     Also adds ``<out>_empty`` (every normalised field is empty); such rows
-    carry no identity and are kept out of exact matching.
+    carry no identity and are kept out of exact matching. ``repeated``: the
+    values repeat, so each different one is normalised once.
     """
     normed = [f"{f}{suffix}" for f in fields]
-    df = df.withColumns({n: normalize_key(f) for f, n in zip(fields, normed)})
+    if repeated:
+        df = normalize_distinct(df, fields, suffix)
+    else:
+        df = df.withColumns({n: normalize_key(f) for f, n in zip(fields, normed)})
     return df.withColumns({
         out: F.concat_ws(KEY_SEPARATOR, *[F.col(n) for n in normed]),
         f"{out}_empty": F.greatest(*[F.length(n) for n in normed], F.lit(0)) == 0,
