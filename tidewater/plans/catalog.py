@@ -74,7 +74,8 @@ def q_rename_map(spark, d):
 
 @query("canonicalize_columns")
 def q_canonicalize_columns(spark, d):
-    return C.canonicalize_columns(_legacy_raw(spark, d))
+    """The rules come from their table."""
+    return C.canonicalize_columns(_legacy_raw(spark, d), C.rules_frame(spark))
 
 
 def _legacy_typed(spark, d):
@@ -234,7 +235,7 @@ def q_normalize_key(spark, d):
 def _part_keys(spark, d):
     from ..functions.text import det_key
     p = S.table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    return det_key(p, ["p_name", "p_brand", "p_type"])
+    return det_key(p, ["p_name", "p_brand", "p_type"], repeated=True)
 
 
 @query("det_key")
@@ -371,10 +372,13 @@ def q_match_job(spark, d):
                                       text_col=None, tokens_col="toks"), "similar_pairs")
     docs = S.table(spark, d, "documents")
     fees = save(match.fee_diff(similar, docs, docs, "doc_id", "doc_id", "n_chars"), "scored_pairs")
-    return (exact.select("v2_id", "lg_id", F.lit("exact").alias("kind"), F.lit(0.0).alias("jaccard_dist"),
-                         F.lit(None).cast("long").alias("fee_diff"))
-            .unionByName(fees.select("v2_id", "lg_id", F.lit("similar").alias("kind"), "jaccard_dist",
+    out = (exact.select("v2_id", "lg_id", F.lit("exact").alias("kind"), F.lit(0.0).alias("jaccard_dist"),
+                        F.lit(None).cast("long").alias("fee_diff"))
+           .unionByName(fees.select("v2_id", "lg_id", F.lit("similar").alias("kind"), "jaccard_dist",
                                      F.col("fee_diff").cast("long").alias("fee_diff"))))
+    for name in ("exact_pairs", "similar_pairs", "scored_pairs"):  # the names go, the files of this run stay for the result
+        spark.sql(f"DROP TABLE {name}_{tag}")
+    return out
 
 
 @query("fee_diff")
