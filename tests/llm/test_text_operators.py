@@ -123,6 +123,52 @@ def test_ngram_join_empty_and_keep_one(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_ngram_join_null_ids(spark):
+    """A row without id has none in the result and names no component that has another id."""
+    a, b, c = (" ".join(words(random.Random(i), 50)) for i in range(3))
+    rows = [(None, a), (7, a), (None, b), (None, b + " end"), (3, c), (None, ""), (None, None), (2, "")]
+    got = ngram_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(None, 7), (7, 7), (None, None), (None, None), (3, 3), (None, None), (None, None), (2, 2)], key=str)
+
+
+def test_sketch_bounds_the_difference():
+    """The bound never exceeds the distance, whatever the sizes, and is near it for small ones."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (0, 1, 5, 60, 300, 900, 4000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate((base[n // 4:], rng.integers(0, 1 << 63, n // 3 + 1, dtype=np.uint64))))]
+    sketches = [ngram_join._sketch(x) for x in sets]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    bound = ngram_join._sketch_bound(sketches, sketches, i, j)
+    apart = np.array([len(np.setxor1d(sets[x], sets[y])) for x, y in zip(i, j)])
+    assert (bound <= apart).all()
+    one = ngram_join._sketch_bound(sketches[6:7], sketches[7:8], np.zeros(1, int), np.zeros(1, int))[0]
+    assert one >= 0.7 * len(np.setxor1d(sets[6], sets[7]))
+
+
+def test_ngram_join_on_a_template_makes_few_candidates(spark, monkeypatch):
+    """Documents that share 60 of 84 words link with nothing; four times as many
+    documents may not make more than six times the candidates."""
+    counts, inner = [], ngram_join._candidates
+
+    def counted(*args):
+        out = inner(*args)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    for n in (400, 1600):
+        rng = random.Random(n)
+        shared = words(random.Random(0), 60)
+        rows = [(i, " ".join(shared[:30] + [f"a{rng.randrange(1 << 30)}" for _ in range(12)] + shared[30:]
+                             + [f"b{rng.randrange(1 << 30)}" for _ in range(12)])) for i in range(n)]
+        got = ngram_join.near_duplicates(frame(spark, rows)).collect()
+        assert all(r.component_id == r.doc_id for r in got)
+    assert counts[1] <= max(6 * counts[0], 100), counts
+
+
 def test_keep_one_keeps_one_row_of_a_component(spark):
     """Repeated rows, one id with two texts, and rows without an id."""
     rng = random.Random(8)

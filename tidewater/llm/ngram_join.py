@@ -34,8 +34,11 @@ are named by 64-bit hashes of their words.
 
 Defined cases: a document of fewer than ``k`` words has its whole sequence as
 one shingle; without words (or with null text) its set is empty and links
-with nothing, itself being its component; repeated rows are one set; a null
-key is read as the smallest long; only key and text are read.
+with nothing, itself being its component; repeated rows are one set; a text of
+any length is read whole; an empty table gives an empty result. A null key
+comes back as null and is never the key of a component that has another one; a
+component of rows without key has none. Of equal keys or texts nothing is
+chosen here (a tie changes no row); only key and text are read.
 """
 
 from __future__ import annotations
@@ -57,6 +60,8 @@ COMMON = 100_000  # so many of the most frequent counted shingles are known as c
 BLOCK = 512
 BANDS, ROWS = 8, 3
 FLUSH = 2_000_000
+NO_KEY = -(1 << 63)  # stands for a null key between the steps
+SKETCH = (256, 2048)  # bits of a sketch: the power of two above 5/4 of the set's size, within these
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -92,6 +97,33 @@ def _most_apart(n: np.ndarray) -> np.ndarray:
     return n - (3 * n + 3) // 4
 
 
+def _sketch(x: np.ndarray) -> bytes:
+    """Parity sketch of a set. The width is a power of two, so that a wide sketch
+    folds to a narrow one by xor."""
+    wide = min(max(1 << int(5 * len(x) // 4).bit_length(), SKETCH[0]), SKETCH[1])
+    odd = np.bincount((x & U64(wide - 1)).astype(np.int64), minlength=wide) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of ``width`` bytes."""
+    out = np.empty((len(sketches), width), dtype=np.uint8)
+    for i, x in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(x, dtype=np.uint8).reshape(-1, width), axis=0)
+    return out.view(np.uint64)
+
+
+def _sketch_bound(a: list[bytes], b: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many shingles the sets a[i] and b[j] differ at least."""
+    width = min(map(len, a + b))
+    x, y = _folded(a, width), _folded(b, width)
+    out = np.empty(len(i), dtype=np.int64)
+    for at in range(0, len(i), 1 << 15):
+        part = slice(at, at + (1 << 15))
+        out[part] = np.bitwise_count(x[i[part]] ^ y[j[part]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 # Packets of step 1. kind 0: for sets (a: set names, b: counts); 1: shingles
 # that a task saw in one set (a: shingles, b: set names, c: shingles per set
 # name); 2: shingles it saw in several (a: shingles, b: in how many); 3:
@@ -436,7 +468,7 @@ def _candidates(texts: DataFrame, comps: DataFrame, anchors: DataFrame, common:
         often = shared.value
         for part in vec.chunks(batches, "text"):
             sets = shingle_sets(part.column("text"), k)
-            xs, pos, count = [], [], []
+            xs, pos, count, sketch = [], [], [], []
             for x in sets:
                 place = np.where(x < COUNTED, 0, 1)
                 if len(often):
@@ -446,28 +478,31 @@ def _candidates(texts: DataFrame, comps: DataFrame, anchors: DataFrame, common:
                 xs.append(x[np.argsort(place, kind="stable")[:p]])
                 pos.append(np.arange(len(xs[-1]), dtype=np.int32))
                 count.append(len(xs[-1]))
+                sketch += [_sketch(x), *[None] * (count[-1] - 1)] if len(x) else []
             who = np.repeat(np.arange(len(sets)), count)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(xs).view(np.int64)), pa.array(part.column("own").to_numpy()[who]),
                  pa.array(np.array([len(x) for x in sets], dtype=np.int32)[who]), pa.array(np.concatenate(pos)),
-                 pa.array(part.column("comp").to_numpy()[who]), pa.array(part.column("anchor").to_numpy()[who])],
-                names=["x", "own", "n", "pos", "comp", "anchor"])
+                 pa.array(part.column("comp").to_numpy()[who]), pa.array(part.column("anchor").to_numpy()[who]),
+                 pa.array(sketch, type=pa.binary())],  # with a set's first entry only
+                names=["x", "own", "n", "pos", "comp", "anchor", "sketch"])
 
     known = comps.join(anchors.select(F.col("own").alias("ao"), "anchor"), F.col("own") == F.col("ao"), "left").select(
         F.col("own").alias("o"), "comp", F.coalesce("anchor", "own").alias("anchor"))
     with_comp = texts.join(known, F.col("own") == F.col("o")).select("own", "text", "comp", "anchor")
     entries = materialize(with_comp.mapInArrow(
-        vec.trimmed(enter), "x long, own long, n int, pos int, comp long, anchor long"), "index", "parquet")
+        vec.trimmed(enter), "x long, own long, n int, pos int, comp long, anchor long, sketch binary"), "index", "parquet")
     mixed = entries.groupBy("x").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("anchor").alias("a0"), F.max("anchor").alias("a1")
     ).filter("lo < hi AND a0 < a1").select(F.col("x").alias("mx"))
-    listed = entries.join(mixed, F.col("x") == F.col("mx")).withColumn(
+    listed = entries.drop("sketch").join(mixed, F.col("x") == F.col("mx")).withColumn(
         "cls", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + F.lit(1e-9)).cast("int")).drop("mx")
     listed = materialize(listed, "lists", "parquet")
     load = listed.groupBy("x", "cls").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select(
         F.col("x").alias("lx"), F.col("cls").alias("lc"), "blocks")
-    entry = F.struct("own", "comp", "n", "pos", "anchor")
-    blocks = (listed.join(load, (F.col("x") == F.col("lx")) & (F.col("cls") == F.col("lc")))
+    entry = F.struct("own", "comp", "n", "pos", "anchor", "sketch")
+    sketches = entries.filter("sketch IS NOT NULL").select(F.col("own").alias("so"), "sketch")
+    blocks = (listed.join(sketches, F.col("own") == F.col("so")).join(load, (F.col("x") == F.col("lx")) & (F.col("cls") == F.col("lc")))
               .withColumn("no", F.pmod(F.xxhash64("own"), F.col("blocks")).cast("int"))
               .groupBy("x", "cls", "no").agg(
                   F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"),
@@ -491,13 +526,16 @@ def _candidates(texts: DataFrame, comps: DataFrame, anchors: DataFrame, common:
                 lists = batch.column(c)
                 flat = lists.flatten()
                 sides.append((vec.lengths_to_offsets(lists.value_lengths().to_numpy()),
-                              *[flat.field(f).to_numpy() for f in ("own", "comp", "n", "pos", "anchor")]))
+                              *[flat.field(f).to_numpy() for f in ("own", "comp", "n", "pos", "anchor")], flat.field("sketch")))
             for r in range(batch.num_rows):
-                (ao, ac, an, ap, al), (bo, bc, bn, bp, bl) = ([v[s[0][r]:s[0][r + 1]] for v in s[1:]] for s in sides)
+                (ao, ac, an, ap, al, asks), (bo, bc, bn, bp, bl, bsks) = ([v[s[0][r]:s[0][r + 1]] for v in s[1:]] for s in sides)
                 need = 3 * (an[:, None].astype(np.int64) + bn[None, :])
                 ok = 7 * np.minimum((an - ap)[:, None], (bn - bp)[None, :]).astype(np.int64) >= need
                 ok &= (ac[:, None] != bc[None, :]) & (al[:, None] != bl[None, :])
                 i, j = np.nonzero(ok)
+                if len(i):
+                    may = 7 * _sketch_bound(asks.to_pylist(), bsks.to_pylist(), i, j) <= an[i].astype(np.int64) + bn[j]
+                    i, j = i[may], j[may]
                 if len(i):
                     u, v = ao[i], bo[j]
                     both = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v))), axis=1)
@@ -532,7 +570,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     the least key that links reach from it. With ``rows``, two more columns
     that tell rows of one key (or of none) apart: row, a hash of the text, and
     component, a name of the component (null for an empty set)."""
-    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("key"), F.col(text).alias("text"),
+    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"),
                      F.xxhash64(F.col(text)).alias("row"))
     sets, passed, common = _passed(docs, k)
     wanted = passed.select("own", "n", F.col("first.key").alias("fk"), F.col("first.row").alias("fr"))
@@ -541,7 +579,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     links, comps, anchors = _by_leaders(texts, k)
     more = _derived(_candidates(texts, comps, anchors, common, k), texts, anchors, k)
     final = connected_components(links.unionByName(more))
-    classes = sets.filter("n > 0").groupBy("own").agg(F.min("key").alias("least"))
+    known = F.nullif(F.col("key"), F.lit(NO_KEY))
+    classes = sets.filter("n > 0").groupBy("own").agg(F.min(known).alias("least"))
     named = materialize(classes.join(final, F.col("own") == F.col("node")).select("own", "component", "least"), "named", "parquet")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = named.select(F.col("own").alias("no"), F.col("component").alias("nc")).join(
@@ -549,8 +588,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     by_set = classes.join(linked, F.col("own") == F.col("no"), "left").select(
         F.col("own").alias("so"), F.coalesce("cid", "least").alias("component_id"), F.coalesce("nc", "own").alias("component"))
     full = sets.filter("n > 0").join(by_set, F.col("own") == F.col("so")).select("key", "n", "component_id", "row", "component")
-    empty = sets.filter("n = 0").select("key", "n", F.col("key").alias("component_id"), "row", F.lit(None).cast("long").alias("component"))
-    return full.unionByName(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id",
+    empty = sets.filter("n = 0").select("key", "n", known.alias("component_id"), "row", F.lit(None).cast("long").alias("component"))
+    return full.unionByName(empty).select(known.alias(key), F.col("n").alias("n_shingles"), "component_id",
                                           *(["row", "component"] if rows else []))
 
 
@@ -563,16 +602,16 @@ def keep_one(df: DataFrame, classes: DataFrame, key: str = "doc_id", text: str =
     without them are found anew."""
     if not {"row", "component"} <= set(classes.columns):
         classes = near_duplicates(df, key, text, rows=True)
-    alike = classes.groupBy("component", F.col(key).alias("k"), F.col("row").alias("r")).agg(F.count("*").alias("copies"))
+    alike = classes.groupBy("component", F.coalesce(F.col(key), F.lit(NO_KEY)).alias("k"), F.col("row").alias("r")).agg(F.count("*").alias("copies"))
     heads = alike.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("k", "r", "copies")).alias("head")).select("head.*")
     empty = alike.filter("component IS NULL").select(
-        "k", "r", F.when(F.col("k") == -(1 << 63), F.lit(1)).otherwise(F.col("copies")).alias("copies"))
+        "k", "r", F.when(F.col("k") == NO_KEY, F.lit(1)).otherwise(F.col("copies")).alias("copies"))
     k, r, copies, one = names.free(df, "k", "r", "copies", "one")
     kept = materialize(heads.unionByName(empty).select(
         F.col("k").alias(k), F.col("r").alias(r), F.col("copies").alias(copies)), "kept", "parquet")
 
     def rows_of(some: DataFrame) -> DataFrame:
-        return df.join(some, (F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) == F.col(k))
+        return df.join(some, (F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)) == F.col(k))
                        & (F.xxhash64(F.col(text)) == F.col(r)))
 
     out = rows_of(kept.filter(F.col(copies) == 1)).select(*df.columns)
