@@ -10,7 +10,9 @@ scored whole: the class weights of all its n-grams are looked up and averaged.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 rows with a null label are never learned from; without any labelled row every
-text is ``und``. Equal texts get equal results whatever else is in the table;
+text is ``und``; an empty table gives an empty result. Rows that repeat and equal
+texts get equal results whatever else is in the table; very long texts are scored
+whole, in chunks of rows bounded by their text;
 of equally likely languages the first in code point order is taken. Extra
 columns pass through; a column that bears an output name is replaced.
 """
@@ -33,6 +35,7 @@ UNKNOWN = "und"
 BITS = 16
 SCALE = 30.0  # keeps the shares of n-grams near unit size for the penalties
 _LETTER = regex.compile(r"\p{L}").search
+_WORDS_ONLY = regex.compile(r"[^\p{L}\p{M}\s]+")
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
@@ -91,6 +94,23 @@ class Model:
         return names, score
 
 
+    def known(self, texts: list[str | None]) -> np.ndarray:
+        """Per text: the share of its n-grams that bear a weight for some
+        language, of n-grams of letters and blanks only (numbers, signs and what
+        they border are left out). Texts in the learned languages come near 1,
+        however many languages there are; a text without letters has 0."""
+        bears = np.append((self.weights[:-1] != 0).any(axis=1), False)
+        grams, offs = _grams([_WORDS_ONLY.sub(" ", t) if t else None for t in texts])
+        out = np.zeros(len(texts))
+        if offs[-1]:
+            full = np.flatnonzero(offs[1:] > offs[:-1])
+            at = offs[full]
+            hit = sum(np.add.reduceat(bears[f], at, dtype=np.int64) for f in grams)
+            every = sum(np.add.reduceat(f < 1 << BITS, at, dtype=np.int64) for f in grams)
+            out[full] = hit / every
+        return out
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -194,19 +214,26 @@ def _temperature(held, w: np.ndarray, bias: np.ndarray) -> float:
     return float(min(grid, key=loss))
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text",
-            lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """All columns of ``df`` plus the predicted language and its calibrated probability."""
-    kept = [f for f in df.schema.fields if f.name not in (lang_col, score_col)]
+def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred",
+            score_col: str = "score", known_col: str | None = None) -> DataFrame:
+    """All columns of ``df`` plus the predicted language and its calibrated
+    probability, and under ``known_col``, if named, the share of known n-grams
+    (:meth:`Model.known`)."""
+    added = [T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType())]
+    if known_col:
+        added.append(T.StructField(known_col, T.DoubleType()))
+    new = [f.name for f in added]
+    kept = [f for f in df.schema.fields if f.name not in new]
     names = [f.name for f in kept]
-    schema = T.StructType(kept + [T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in vec.chunks(batches, text_col, 1 << 20):
-            langs, score = shared.value.predict(part.column(text_col).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in names] + [pa.array(langs, type=pa.string()), pa.array(score, type=pa.float64())],
-                names=names + [lang_col, score_col])
+            texts = part.column(text_col).to_pylist()
+            langs, score = shared.value.predict(texts)
+            out = [pa.array(langs, type=pa.string()), pa.array(score, type=pa.float64())]
+            if known_col:
+                out.append(pa.array(shared.value.known(texts), type=pa.float64()))
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + out, names=names + new)
 
-    return df.mapInArrow(vec.trimmed(run), schema)
+    return df.mapInArrow(vec.trimmed(run), T.StructType(kept + added))
