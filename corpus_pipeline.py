@@ -15,19 +15,22 @@ from tidewater.llm import bpe, cube_mix, langid, line_chunks, names, ngram_join
 from tidewater.llm.queries import tokenizer_file
 from tidewater.session import scratch_path
 
-#: A document goes if no language is found in it, or none is this likely.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A document goes if no language is found in it, or if the model knows less
+#: than this share of its n-grams of letters.
+LEAST_KNOWN_SHARE = 0.75
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose text is in a language that the labels know: rows
-    without text or letters go, and rows whose likeliest language has a
-    probability under ``LEAST_LANGUAGE_SCORE`` (which with four languages or
-    fewer is never so, or hardly)."""
+    without text or letters go, and rows of whose n-grams of letters less than
+    ``LEAST_KNOWN_SHARE`` bear a weight in the model (other scripts, distant
+    languages, random letters). The share does not depend on how many languages
+    there are, as a probability would. An empty table gives an empty result; a
+    table without labels teaches no language, so every row goes."""
     model = langid.train(docs.select("doc_id", "text", "lang"))
-    lang, score = names.free(docs, "lang_pred", "score")
-    scored = langid.predict(docs, model, lang_col=lang, score_col=score)
-    return scored.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score, known = names.free(docs, "lang_pred", "score", "known")
+    scored = langid.predict(docs, model, lang_col=lang, score_col=score, known_col=known)
+    return scored.filter((F.col(lang) != langid.UNKNOWN) & (F.col(known) >= LEAST_KNOWN_SHARE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
