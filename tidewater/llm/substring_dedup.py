@@ -26,8 +26,9 @@ repeats comes back dealt by document.
 Defined cases: null text has no words; a document shorter than ``width`` loses
 nothing; rows that repeat are places of their own, so both lose all their
 windows; overlapping places in one document count; ``width`` applies to the
-input, not to what is left. Rows are told apart by id and text; extra columns
-are not read.
+input, not to what is left; very long texts are cut whole, a chunk of rows at a
+time; an empty table gives an empty result. Rows are told apart by a 64-bit hash
+of id and text; extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.llm import names as own_names
 from tidewater.llm import vec
 
 U64 = np.uint64
@@ -223,15 +225,15 @@ def _repeated(entries: DataFrame, parts: int) -> DataFrame:
     return entries.repartition("to").sortWithinPartitions("to").mapInArrow(vec.trimmed(count), _ENTRY).select("to", "own", "n", "at")
 
 
-def _by_document(df: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
-    """All rows with ``__own`` (names the row: a hash of key and text) and
-    ``__to``, the part of the documents that the row is dealt to."""
+def _by_document(df: DataFrame, key: str, text: str, row: str, place: str) -> tuple[DataFrame, int]:
+    """All rows with ``row`` (names the row: a hash of key and text) and
+    ``place``, the part of the documents that the row is dealt to."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.xxhash64(F.col(key).cast("string"), F.col(text))
-    return df.withColumn("__own", own).withColumn("__to", F.pmod("__own", F.lit(parts)).cast("int")), parts
+    return df.withColumn(row, own).withColumn(place, F.pmod(F.col(row), F.lit(parts)).cast("int")), parts
 
 
-def _spans(dealt: DataFrame, parts: int, text: str, width: int) -> DataFrame:
+def _spans(dealt: DataFrame, parts: int, text: str, width: int, row: str, place: str) -> DataFrame:
     """(to, own, starts, ends): the word ranges of each document that repeated
     windows cover, as two arrays. Documents without any are left out."""
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +242,7 @@ def _spans(dealt: DataFrame, parts: int, text: str, width: int) -> DataFrame:
             p = Parse(*vec.buffer(part.column(text)))
             ok = p.bounded(width)
             doc = p.doc[ok]
-            own = part.column("__own").to_numpy()[doc]
+            own = part.column(row).to_numpy()[doc]
             yield from out.add(p.name[ok], np.zeros(len(doc), dtype=np.uint32), own, p.first[ok] - p.word_offs[doc])
         yield from out.flush()
 
@@ -250,7 +252,7 @@ def _spans(dealt: DataFrame, parts: int, text: str, width: int) -> DataFrame:
         several = np.unique(_spot(own, at))
         for part in vec.chunks(iter(docs.to_batches()), text):
             p = Parse(*vec.buffer(part.column(text)))
-            mine = part.column("__own").to_numpy()
+            mine = part.column(row).to_numpy()
             spot = _spot(mine[p.doc], p.first - p.word_offs[p.doc])
             start = p.open_starts(width, p.bounded(width) & ~np.isin(spot, several))
             doc = np.searchsorted(p.word_offs, start, side="right") - 1
@@ -276,8 +278,8 @@ def _spans(dealt: DataFrame, parts: int, text: str, width: int) -> DataFrame:
                  pa.ListArray.from_arrays(offs, pa.array(start.astype(np.int32))),
                  pa.ListArray.from_arrays(offs, pa.array(end.astype(np.int32)))], names=["to", "own", "starts", "ends"])
 
-    several = _repeated(dealt.select(text, "__own").mapInArrow(vec.trimmed(symbols), _ENTRY), parts)
-    entries = dealt.groupBy("__to").cogroup(several.groupBy("to")).applyInArrow(windows, _ENTRY)
+    several = _repeated(dealt.select(text, row).mapInArrow(vec.trimmed(symbols), _ENTRY), parts)
+    entries = dealt.groupBy(place).cogroup(several.groupBy("to")).applyInArrow(windows, _ENTRY)
     return (_repeated(entries, parts).repartition("to").sortWithinPartitions("to")
             .mapInArrow(vec.trimmed(merge), "to int, own long, starts array<int>, ends array<int>"))
 
@@ -297,8 +299,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     shuffles them once and reads that shuffle twice."""
     kept = df.select(*[c for c in df.columns if c not in counts])
     names, at_text = kept.columns, kept.columns.index(text)
-    dealt, parts = _by_document(kept, key, text)
-    spans = _spans(dealt, parts, text, width)
+    row, place = own_names.free(kept, "own", "to")
+    dealt, parts = _by_document(kept, key, text, row, place)
+    spans = _spans(dealt, parts, text, width, row, place)
     schema = T.StructType(kept.schema.fields + [T.StructField(c, T.LongType()) for c in counts])
 
     def cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
@@ -306,17 +309,17 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
         order = np.argsort(whose, kind="stable")
         whose = whose[order]
         lists = [spans.column(c).combine_chunks().take(pa.array(order)) for c in ("starts", "ends")]
-        out = [_without(part, at_text, names, counts, whose, lists)
+        out = [_without(part, at_text, names, counts, row, whose, lists)
                for part in vec.chunks(iter(docs.to_batches()), text)]
         vec.release()
         return pa.Table.from_batches(out) if out else docs.select(names).append_column(
             counts[0], pa.array([], type=pa.int64())).append_column(counts[1], pa.array([], type=pa.int64()))
 
-    return dealt.groupBy("__to").cogroup(spans.groupBy("to")).applyInArrow(cut, schema)
+    return dealt.groupBy(place).cogroup(spans.groupBy("to")).applyInArrow(cut, schema)
 
 
 def _without(part: pa.RecordBatch, at_text: int, names: list[str], counts: tuple[str, str],
-             whose: np.ndarray, lists: list[pa.Array]) -> pa.RecordBatch:
+             row: str, whose: np.ndarray, lists: list[pa.Array]) -> pa.RecordBatch:
     """A chunk of documents without the words in their spans."""
     data, offs = vec.buffer(part.column(names[at_text]))
     start, end, doc = vec.word_spans(data, offs)
@@ -325,11 +328,11 @@ def _without(part: pa.RecordBatch, at_text: int, names: list[str], counts: tuple
     base = vec.lengths_to_offsets(words)
     delta = np.zeros(len(start) + 1, dtype=np.int64)
     if len(whose):
-        own = part.column("__own").to_numpy()
-        row = np.minimum(np.searchsorted(whose, own), len(whose) - 1)
-        has = np.flatnonzero(whose[row] == own)
+        own = part.column(row).to_numpy()
+        at_row = np.minimum(np.searchsorted(whose, own), len(whose) - 1)
+        has = np.flatnonzero(whose[at_row] == own)
         for column, sign in zip(lists, (1, -1)):
-            mine = column.take(pa.array(row[has]))
+            mine = column.take(pa.array(at_row[has]))
             many = mine.value_lengths().to_numpy()
             at = np.minimum(np.repeat(base[has], many) + mine.flatten().to_numpy(), np.repeat(base[has + 1], many))
             np.add.at(delta, at, sign)
