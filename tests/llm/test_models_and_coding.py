@@ -88,6 +88,27 @@ def test_langid_cases(spark):
     assert unlabelled.langs == []
 
 
+def test_known_share_tells_unseen_languages_and_junk(spark):
+    import corpus_pipeline as P
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    floor = P.LEAST_KNOWN_SHARE
+    rng = random.Random(3)
+    junk = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(60))
+    odd = ["W czasie gdy wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+           "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由在尊严和权利上一律平等",
+           junk("abcdefghijklmnopqrstuvwxyz"), junk("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), "123 456", "", None]
+    clean = [r.text for r in docs.filter("doc_id % 5 = 0 AND text RLIKE '[a-z]'").collect()]
+    extra = [(-1 - i, t) for i, t in enumerate(odd)] + [(10_000_000 + i, "+1 (236) 555-3833 4690149265297988 " + t) for i, t in enumerate(clean)]
+    model = langid.train(docs.filter("doc_id % 5 != 0"))
+    assert model.known(odd).max() < floor and model.known(odd)[-3:].tolist() == [0, 0, 0]
+    assert model.known(clean).min() > floor
+    assert model.known(["the " * 100_000])[0] == 1.0 and model.known([]).tolist() == []
+    table = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)
+    kept = {r.doc_id for r in P.language_id(spark, table, "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect()} | {10_000_000 + i for i in range(len(clean))}
+
+
 def test_langid_trains_alike_whatever_the_partitioning(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     a, b = (langid.train(d, sample_rows=60) for d in (docs.repartition(1), docs.repartition(5)))

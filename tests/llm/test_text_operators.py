@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.util import documents, frame, key, words
-from tidewater.llm import line_chunks, ngram_join, queries, substring_dedup, vec, winnowing
+from tidewater.llm import bpe, cube_mix, langid, line_chunks, ngram_join, quality_gam, queries, substring_dedup, vec, winnowing
 
 
 def _words(text):
@@ -247,6 +247,74 @@ def test_with_next_takes_the_next_document(spark):
     assert [(r.text, r.next_text) for r in one] == [("alone", "alone")]
 
 
+def test_one_id_spreads_over_ranges(spark):
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, 4)) for _ in range(900)] + [None, "", None] + ["copy"] * 40
+    rows = [(7, t) for t in texts] + [(None, t) for t in texts[:300]] + [(i, "k %d" % i) for i in range(20, 300)]
+    df = frame(spark, rows, 4)
+    keyed = df.select(F.coalesce("doc_id", F.lit(-5)).alias("k"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("t"))
+    sizes = [r["count"] for r in winnowing.ranges_of(keyed, "k", "t", "b").groupBy("b").count().collect()]
+    assert max(sizes) < len(rows) / 8 and len(sizes) > 10
+    got = Counter((r.doc_id, r.text, r.next_text or None) for r in winnowing.with_next(df, "doc_id").collect())
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, (r[1] or "").encode()))
+    assert got == Counter((i, t, order[(j + 1) % len(order)][1] or None) for j, (i, t) in enumerate(order))
+
+
+CLASHING = ("own", "to", "key", "tie", "bucket", "next", "first", "least", "h", "n", "k", "i", "copies", "lang", "score", "known",
+            "__own", "__to", "__h", "__k", "__key", "__lang", "__score", "__b", "__bucket", "__next", "__first", "__block",
+            "_own", "_h", "fingerprint_h", "__fingerprint_h", "fingerprint_w2", "Salt", "part", "at", "weight", "label", "features",
+            "name", "bits", "starts", "ends", "set", "size", "rank", "p", "n_source", "vec", "text_id", "place", "word", "words")
+
+
+def _clashing(df):
+    return df.withColumns({c: F.lit(c) for c in CLASHING if c not in df.columns})
+
+
+def _applied(name, df):
+    """The operator on a table (doc_id, text, ...) and the names of the columns that it makes."""
+    import public_tokenizers
+    file = lambda f: open(public_tokenizers.path(f), "rb").read()
+    if name == "quality_gam":
+        model = quality_gam.train(df, df.select("doc_id", F.pmod("doc_id", F.lit(2)).cast("int").alias("quality")))
+        return quality_gam.score(df, model), {"score"}
+    if name == "substring_dedup":
+        return substring_dedup.remove_repeats(df), {"n_words", "n_removed"}
+    if name == "add_fingerprint":
+        return winnowing.add_fingerprint(df), {"fingerprint"}
+    if name == "with_next":
+        return winnowing.with_next(df, "doc_id", derive=winnowing.add_fingerprint), {"fingerprint", "next_text", "next_fingerprint"}
+    if name == "take":
+        docs = df.withColumn("source", F.lit("a"))
+        return cube_mix.take(docs, cube_mix.mix(docs)), {"source"}
+    if name == "bpe":
+        return bpe.encode(df, file("byte_bpe_50k.json"), ids_col="ids", decoded_col="decoded"), {"ids", "decoded"}
+    if name == "line_chunks":
+        return line_chunks.dedup(df, extend=True), {"n_lines", "n_removed"}
+    if name == "langid":
+        model = langid.train(df.withColumn("lang", F.lit("x")))
+        return langid.predict(df, model, lang_col="lang_pred", score_col="p_lang", known_col="p_known"), {"lang_pred", "p_lang", "p_known"}
+    if name == "ngram_join":
+        return ngram_join.keep_one(df, ngram_join.near_duplicates(df, rows=True)), set()
+    raise KeyError(name)
+
+
+@pytest.mark.parametrize("name", ["quality_gam", "substring_dedup", "add_fingerprint", "with_next", "take", "bpe", "line_chunks",
+                                  "langid", "ngram_join"])
+def test_clashing_columns_pass_through(spark, name):
+    rows = documents(6, 40)
+    df = _clashing(frame(spark, rows))
+    out, made = _applied(name, df)
+    assert set(df.columns) <= set(out.columns) and set(out.columns) - set(df.columns) <= made | {"n_lines", "n_removed"}
+    got = out.select("doc_id", *[c for c in CLASHING if c not in made]).collect()
+    assert all(r[c] == c for r in got for c in CLASHING if c not in made)
+    if name not in ("take", "ngram_join"):
+        assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    plain = _applied(name, frame(spark, rows))[0]
+    for c in set(plain.columns) & (made | {"text"}):  # as without the columns
+        same = [Counter(map(repr, (r[0] for r in x.select(c).collect()))) for x in (out, plain)]
+        assert same[0] == same[1], c
+
+
 def test_op5_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
