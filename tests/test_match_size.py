@@ -102,3 +102,22 @@ def test_queries_match_by_digests(spark, tmp_dir, monkeypatch, name):
         if not exact:
             assert {(r.v2_id, r.lg_id) for r in out} == whole
         assert all(len(set(texts[r.v2_id].split()) & set(texts[r.lg_id].split())) == r.inter for r in out)
+
+
+@pytest.mark.parametrize("cell", [4, 256])
+def test_tokens_are_shuffled_per_cell_not_per_pair(spark, monkeypatch, cell):
+    """40 x 40 near copies: 1600 pairs, each found once with its counts; a set is sent once a cell."""
+    monkeypatch.setattr(match, "CELL_ROWS", cell)
+    common = " ".join(f"c{i}" for i in range(30))
+    rows = [(i, f"{common} own{i % 80}") for i in range(120)]
+    left, right = (spark.createDataFrame(rows[i::2], "id long, text string") for i in (0, 1))
+    sent = []
+    real = match.cell_rows
+    monkeypatch.setattr(match, "cell_rows", lambda *x: sent.append(real(*x)) or sent[-1])
+    for join in (match.jaccard_join(left, right, "id", "id", 0.5), match.lsh_similarity_join(left, right, "id", "id", threshold=0.5, num_bands=40, rows_per_band=1)):
+        got = {(r.v2_id, r.lg_id): (r.n_left, r.n_right, round(r.jaccard_dist, 9)) for r in join.collect()}
+        assert join.count() == len(got) == 1600
+        assert {(v[0] + v[1]) // 2 for v in got.values()} <= {1, 2} and {v[2] for v in got.values()} == {round(1 - 30 / 32, 9)}
+        n = sent[-1].count()
+        assert n == 80 if cell == 256 else 80 < n < 1600
+        assert sent[-1].groupBy("fam", "bl", "br").count().agg({"count": "max"}).first()[0] <= 4 * cell
