@@ -6,6 +6,7 @@ import pytest
 
 from tidewater.operators import match
 from tidewater.plans import QUERIES, catalog
+from tidewater.session import path_exists
 
 
 def _pairs(left, right, most):
@@ -121,3 +122,38 @@ def test_tokens_are_shuffled_per_cell_not_per_pair(spark, monkeypatch, cell):
         n = sent[-1].count()
         assert n == 80 if cell == 256 else 80 < n < 1600
         assert sent[-1].groupBy("fam", "bl", "br").count().agg({"count": "max"}).first()[0] <= 4 * cell
+
+
+@pytest.mark.parametrize("rounds", [2, 4])
+def test_buckets_are_met_in_rounds(spark, monkeypatch, rounds):
+    """Each round shuffles the index rows of its own buckets only; together they lose
+    no pair and give each once, also where hot lists are cut into blocks."""
+    monkeypatch.setattr(match, "ROUND_BUCKETS", -(-match.LEAST_BUCKETS // rounds))
+    monkeypatch.setattr(match, "BLOCK_ROWS", 16)
+    released, met = [], []
+    real, release = match.jaccard_candidates, match.release_shuffles
+    monkeypatch.setattr(match, "release_shuffles", lambda s: released.append(1) or release(s))
+    monkeypatch.setattr(match, "jaccard_candidates",
+                        lambda rows, p, q: met.append({r.bucket for r in rows.select("bucket").distinct().collect()}) or real(rows, p, q))
+    rows = _texts(200, 7)
+    left, right = (spark.createDataFrame(rows[i::2], "id long, text string") for i in (0, 1))
+    got = [(r.v2_id, r.lg_id) for r in match.jaccard_join(left, right, "id", "id", 0.5).collect()]
+    want = _pairs(rows[0::2], rows[1::2], 0.5)
+    assert len(got) == len(set(got)) and set(got) == want and want
+    assert len(met) == rounds and sum(map(len, met)) == len(set().union(*met)) == match.LEAST_BUCKETS
+    assert len(released) > rounds
+    found = {(r.v2_id, r.lg_id) for r in match.lsh_similarity_join(left, right, "id", "id", threshold=0.5, num_bands=40, rows_per_band=1).collect()}
+    assert len(met) == 2 * rounds and found <= want and len(found) >= 0.98 * len(want)
+
+
+@pytest.mark.parametrize("name", ["distance_summary", "fee_diff", "match_job", "match_preview"])
+def test_digests_are_gone_once_the_sets_are_written(spark, tmp_dir, monkeypatch, name):
+    rows = _texts(80, 8)
+    spark.createDataFrame([(i, t, "en", f"src{i}", len(t)) for i, t in rows],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_dir}/documents.parquet")
+    paths, there = [], []
+    real, meet = catalog.scratch_path, match.jaccard_candidates
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, n: paths.append(real(s, n)) or paths[-1])
+    monkeypatch.setattr(match, "jaccard_candidates", lambda *x: there.append(path_exists(spark, paths[0])) or meet(*x))
+    out = QUERIES[name](spark, tmp_dir).collect()
+    assert out and "doc_digests" in paths[0] and there == [False]
