@@ -1,6 +1,7 @@
 """BPE against the tokenizers library; the trained models on held-out rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -45,6 +46,20 @@ def test_bpe_on_code_points(library):
     _same(library, ["a" + chr(c) + "1 " + chr(c) + " b" for c in cps])
 
 
+def test_bpe_memory_of_a_chunk(library):
+    """A chunk takes less than 10 bytes for each byte of its texts, the texts aside."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(600)]
+    t = bpe.tables(queries.tokenizer_file())
+    tracemalloc.start()
+    bpe.encode_texts(texts, t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * sum(map(len, texts))
+    _same(library, texts[:50])
+
+
 def test_bpe_frames(spark, library):
     df = frame(spark, documents()).withColumns({"ids": F.lit(1), "decoded": F.lit("x"), "t": F.lit(2)})
     out = bpe.encode(df, queries.tokenizer_file(), decoded_col="decoded")

@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ from tidewater.llm import vec
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _NONE = np.int32(2**31 - 1)
+#: Ranges whose positions are held at once.
+GATHERED = 1 << 15
 _TABLES: dict[bytes, "Tables"] = {}
 
 
@@ -203,6 +206,18 @@ def encode_texts(texts: list[str], t: Tables) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(whole), np.array(ends)
 
 
+def _gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``values`` of the ranges, one after the other. The positions, several times
+    the size of the result, are made for ``GATHERED`` ranges at a time."""
+    out = np.empty(int(lengths.sum()), dtype=values.dtype)
+    to = 0
+    for at in range(0, len(starts), GATHERED):
+        where = vec.ranges(starts[at:at + GATHERED], lengths[at:at + GATHERED])
+        np.take(values, where, out=out[to:to + len(where)], mode="clip")  # never out of range; "raise" copies
+        to += len(where)
+    return out
+
+
 def _encode_stretches(texts: list[str], t: Tables) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of texts without added tokens.
 
@@ -213,16 +228,14 @@ def _encode_stretches(texts: list[str], t: Tables) -> tuple[np.ndarray, np.ndarr
     where white space meets a cut is split as a whole."""
     first, later = _Numbers(), _Numbers()
     heads, tails = first.__getitem__, later.__getitem__
-    each = []
+    each, many = array("i"), []
     for text in texts:
         parts = text.split(" ")
-        head = heads(parts[0])
-        parts = list(map(tails, parts))
-        parts[0] = head
-        each.append(parts)
-    counts = np.array([len(row) for row in each], dtype=np.int64)
-    flat = np.fromiter(chain.from_iterable(each), dtype=np.int64, count=int(counts.sum()))
-    del each
+        each.append(heads(parts[0]))
+        each.extend(map(tails, islice(parts, 1, None)))
+        many.append(len(parts))
+    counts, flat = np.array(many, dtype=np.int64), np.array(each, dtype=np.int32)
+    del each, many
     heads_at = vec.lengths_to_offsets(counts)
     later_mask = np.ones(len(flat), dtype=bool)
     later_mask[heads_at[:-1][counts > 0]] = False
@@ -230,31 +243,35 @@ def _encode_stretches(texts: list[str], t: Tables) -> tuple[np.ndarray, np.ndarr
     segments = list(first) + [" " + s for s in later]
     meets = np.array([bool(s) and s[-1].isspace() for s in first]
                      + [not s or s[0].isspace() or s[-1].isspace() for s in later], dtype=bool)
+    del first, later, heads, tails, later_mask
     # a text of one segment has no cut; white space at its ends meets nothing
     odd = np.bitwise_or.reduceat(meets[flat], heads_at[:-1]) & (counts > 1) if len(flat) else np.zeros(0, bool)
     if odd.any():
         base, extra = len(segments), [texts[i] for i in np.flatnonzero(odd)]
         segments += extra
         new_counts = np.where(odd, 1, counts)
-        keep = np.ones(len(flat), dtype=bool)
-        keep[vec.ranges(heads_at[:-1][odd], counts[odd])] = False
+        keep = ~np.repeat(odd, counts)
         keep[heads_at[:-1][odd]] = True
         flat[heads_at[:-1][odd]] = base + np.arange(len(extra))
         flat, counts = flat[keep], new_counts
     numbers = _Numbers()
     number = numbers.__getitem__
-    pieces = [list(map(number, t.split(s))) for s in segments]
-    n_pieces = np.array([len(p) for p in pieces], dtype=np.int64)
-    piece = np.fromiter(chain.from_iterable(pieces), dtype=np.int64, count=int(n_pieces.sum()))
-    at = vec.lengths_to_offsets(n_pieces)
-    del pieces, segments
-    ids, offs = encode_pieces([p.encode("utf-8", "surrogatepass") for p in numbers], t)
+    each, many = array("i"), []
+    for s in segments:
+        found = t.split(s)
+        each.extend(map(number, found))
+        many.append(len(found))
+    piece, at = np.array(each, dtype=np.int32), vec.lengths_to_offsets(np.array(many, dtype=np.int64))
+    raw = [p.encode("utf-8", "surrogatepass") for p in numbers]
+    del each, many, segments, numbers, number
+    ids, offs = encode_pieces(raw, t)
+    del raw
     # ids of each segment, then of each text, by gathering ranges
     lengths = offs[piece + 1] - offs[piece]
-    seg_ids = ids[vec.ranges(offs[piece], lengths)]
+    seg_ids = _gathered(ids, offs[piece], lengths)
     seg_offs = vec.lengths_to_offsets(lengths)[at]
     lengths = seg_offs[flat + 1] - seg_offs[flat]
-    stream = seg_ids[vec.ranges(seg_offs[flat], lengths)]
+    stream = _gathered(seg_ids, seg_offs[flat], lengths)
     return stream, vec.lengths_to_offsets(lengths)[vec.lengths_to_offsets(counts)]
 
 
@@ -267,12 +284,18 @@ def decode_ids(stream: np.ndarray, offs: np.ndarray, t: Tables) -> list[str]:
     return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
 
 
+def _packed(stream: np.ndarray, offs: np.ndarray) -> pa.Array:
+    """The id ranges as little-endian unsigned 32-bit integers, a binary each."""
+    ends = (offs * 4).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offs) - 1, [None, pa.py_buffer(ends), pa.py_buffer(stream.astype("<u4"))])
+
+
 def _columns_but(df: DataFrame, *names: str) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name not in names]
 
 
 def encode(df: DataFrame, tokenizer: bytes, text_col: str = "text", ids_col: str = "ids",
-           decoded_col: str | None = None, chunk_bytes: int = 6 << 20) -> DataFrame:
+           decoded_col: str | None = None, chunk_bytes: int = 4 << 20) -> DataFrame:
     """All columns of ``df`` plus ``ids_col``: the token ids of ``text_col``
     as little-endian unsigned 32-bit integers in one binary value, and, if
     ``decoded_col`` is named, the text that those ids decode to. A column of
@@ -293,9 +316,8 @@ def encode(df: DataFrame, tokenizer: bytes, text_col: str = "text", ids_col: str
         t = tables(shared.value)
         for part in vec.chunks(batches, text_col, chunk_bytes):
             stream, offs = encode_texts(part.column(text_col).to_pylist(), t)
-            raw, ends = stream.astype("<u4").tobytes(), (offs * 4).tolist()
             out = [part.column(c) for c in names]
-            out.append(pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], type=pa.binary()))
+            out.append(_packed(stream, offs))
             if decoded_col:
                 out.append(pa.array(decode_ids(stream, offs, t), type=pa.string()))
             yield pa.RecordBatch.from_arrays(out, names=names + new)
