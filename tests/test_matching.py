@@ -2,6 +2,7 @@
 exact Jaccard, fee difference, MinHash LSH."""
 
 import decimal
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,23 @@ def test_identical_sets_collapse(spark):
     assert got == {(1, 10): (3, 1, 0.25), (4, 11): (1, 1, 0.0)}
 
 
+def test_distance_summary_counts_every_pair_of_rows(spark):
+    """Rows behind one token set are pairs of their own; a single pair has no deviation."""
+    texts = [["a b c"] * 3 + ["x y", "p q r s"], ["a b c d", "c b d a", "x y", "p q r s t", "p q r"]]
+    left, right = (spark.createDataFrame(list(enumerate(t)), "id long, text string") for t in texts)
+    pairs = match.jaccard_join(left, right, "id", "id", 0.5)
+    dists = [1 - len(a & b) / len(a | b) for a in (set(t.split()) for t in texts[0]) for b in (set(t.split()) for t in texts[1])]
+    dists = [x for x in dists if x < 0.5]
+    got = match.distance_summary(pairs).first()
+    assert (got.n, got.min, got.max) == (len(dists), min(dists), max(dists)) and got.n > pairs.count()
+    assert got["mean"] == pytest.approx(statistics.mean(dists), abs=1e-6)
+    assert got.stddev == pytest.approx(statistics.stdev(dists), abs=1e-6)
+    one = match.distance_summary(pairs.filter("v2_id = 3")).first()
+    assert tuple(one) == (1, 0.0, None, 0.0, 0.0)
+    assert tuple(match.distance_summary(pairs.filter("v2_id > 9")).first()) == (0, None, None, None, None)
+    assert match.distance_summary(pairs.select("jaccard_dist")).first().n == pairs.count()
+
+
 @pytest.mark.parametrize("seed", [1, 42])
 def test_lsh_like_the_reference_settings(masters, seed):
     """One row per band, 8 tables, 512 dimensions, distance below 1."""
