@@ -1,10 +1,13 @@
 """What the similarity joins keep and shuffle: one row per set, digests instead of tokens."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidewater.operators import match
+from tidewater.operators import match, meet
 from tidewater.plans import QUERIES, catalog
 from tidewater.session import path_exists
 
@@ -157,3 +160,87 @@ def test_digests_are_gone_once_the_sets_are_written(spark, tmp_dir, monkeypatch,
     monkeypatch.setattr(match, "jaccard_candidates", lambda *x: there.append(path_exists(spark, paths[0])) or meet(*x))
     out = QUERIES[name](spark, tmp_dir).collect()
     assert out and "doc_digests" in paths[0] and there == [False]
+
+
+def _index_rows(sets, p, q):
+    """One batch of ``meet.INDEX`` rows of (side, tokens)."""
+    part = pa.RecordBatch.from_arrays(
+        [pa.array([x for x, _ in sets], pa.int32()), pa.array(range(len(sets)), pa.int64()), pa.array([len(t) for _, t in sets], pa.int32()),
+         pa.array([list(t) for _, t in sets], pa.list_(pa.int64()))], names=["side", "name", "n", "hashes"])
+    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return list(meet.prefix_keys(*none, p, q)([part]))
+
+
+def _bucket_rows(index, buckets, held, ranked=True):
+    """``meet.PACKED`` rows of all buckets, sorted as a task gets them."""
+    none = np.zeros(0, dtype=np.uint64), np.zeros((0, 2), dtype=np.int64)
+    rows = pa.Table.from_batches(meet.pack_keys(*none, buckets, held, ranked, (0, buckets))(index))
+    return rows.sort_by([("bucket", "ascending"), ("side", "ascending")]).combine_chunks().to_batches(max_chunksize=100)
+
+
+@pytest.mark.parametrize("held", [0, 1])
+@pytest.mark.parametrize("p, q", [(0, 1), (1, 5), (1, 2), (4, 5)])
+def test_places_and_folded_sketches_rule_out_no_pair(p, q, held):
+    """Sets of 1 to 4000 tokens, so sketches of all widths meet; whichever side is held."""
+    rng = random.Random(p * 10 + q)
+    pool, sets = [rng.getrandbits(63) for _ in range(5000)], []
+    for _ in range(40):
+        base = rng.sample(pool, rng.choice((1, 2, 30, 150, 800, 4000)))
+        for _ in range(6):
+            kept = rng.sample(base, max(1, int(len(base) * rng.choice((0.25, 0.6, 0.9, 1)))))
+            sets.append((rng.randint(0, 1), set(kept) | set(rng.sample(pool, rng.choice((0, 1, len(kept) // 5))))))
+    want = {(i, j) for i, (x, a) in enumerate(sets) for j, (y, b) in enumerate(sets) if x < y and len(a & b) * q > p * len(a | b)}
+    got = [(a, b) for r in meet.meeting(p, q)(_bucket_rows(_index_rows(sets, p, q), 3, held)) for a, b in zip(*(c.to_pylist() for c in r.columns))]
+    assert want and want <= set(got) and all(sets[a][0] == 0 and sets[b][0] == 1 for a, b in got)
+
+
+@pytest.mark.parametrize("place, met", [(1, 1), (10, 1), (11, 0), (30, 0)])
+def test_a_key_that_comes_too_late_in_a_set_makes_no_pair(place, met):
+    """Sets of 90 and 60 tokens are alike by half with 51 common ones at least, so the first of
+    them is among the first ten of the smaller set."""
+    index = pa.RecordBatch.from_arrays(
+        [pa.array([0, 1], pa.int32()), pa.array([0, 1], pa.int64()), pa.array([90, 60], pa.int32()), pa.array([b"\0" * 64] * 2, pa.binary()),
+         pa.array([[*range(100, 120), 5], [*range(200, 199 + place), 5]], pa.list_(pa.int64()))], names=["side", "name", "n", "sketch", "keys"])
+    assert sum(r.num_rows for r in meet.meeting(1, 2)(_bucket_rows([index], 1, 1))) == met
+
+
+def test_a_task_holds_one_side_of_a_bucket_only():
+    """What a task holds does not grow with the other side."""
+    rng = np.random.default_rng(3)
+    sets = [(1, rng.integers(0, 1 << 60, 120).tolist()) for _ in range(2000)]
+    held = _bucket_rows(_index_rows(sets, 1, 2), 1, 1)
+    other = _bucket_rows(_index_rows([(0, t) for _, t in sets[:500]], 1, 2), 1, 1)
+    peaks = []
+    for times in (1, 20):
+        tracemalloc.start()
+        pairs = sum(r.num_rows for r in meet.meeting(1, 2)(iter(held + other * times)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert pairs == 500 * times
+    assert peaks[1] < 1.2 * peaks[0]
+
+
+def test_buckets_follow_from_the_bytes_of_one(spark, monkeypatch):
+    """No bucket's held side is much larger than ``BUCKET_BYTES``, and no pair is lost."""
+    monkeypatch.setattr(match, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(match, "MOST_ROUNDS", 2)
+    sizes = []
+    real = match.jaccard_candidates
+
+    def spy(rows, p, q):
+        for r in rows.filter("side < 2").selectExpr("bucket", "length(sketch) w", "length(keys) div 4 k").collect():
+            sizes.append((r.bucket, r.w + meet.ROW_BYTES + r.k * meet.ENTRY_BYTES))
+        return real(rows, p, q)
+
+    monkeypatch.setattr(match, "jaccard_candidates", spy)
+    rows = _texts(400, 9)
+    left, right = (spark.createDataFrame(rows[i::2], "id long, text string") for i in (0, 1))
+    got = [(r.v2_id, r.lg_id) for r in match.jaccard_join(left, right, "id", "id", 0.5).collect()]
+    want = _pairs(rows[0::2], rows[1::2], 0.5)
+    assert len(got) == len(set(got)) and set(got) == want and want
+    total = {}
+    for bucket, size in sizes:
+        total[bucket] = total.get(bucket, 0) + size
+    assert len(total) > match.LEAST_BUCKETS and sum(total.values()) / len(total) < 22_000 and max(total.values()) < 60_000
+    assert meet.buckets_for([(64, 10, 100)], 1, 96 << 20, 12) == 12
+    assert meet.buckets_for([(128, 10**7, 10**9)], 1, 96 << 20, 12) < meet.buckets_for([(128, 10**8, 10**10)], 1, 96 << 20, 12)
